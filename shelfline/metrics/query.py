@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 from functools import reduce
@@ -137,11 +137,20 @@ def _base(query: _Query) -> DataFrame:
             joined.setdefault(d.entity, set()).add(d.column)
     columns |= {layer.entities[e].fact_key for e in joined}
 
-    out = query.sources.fact(sorted(columns)).withColumn(DAY, F.col(layer.date_column))
-    for name in sorted(joined):
-        entity = layer.entities[name]
-        frame = query.sources.entities[name]([entity.dim_key, *sorted(joined[name])])
-        renamed = frame.select(entity.dim_key, *[F.col(c).alias(f"_{name}_{c}") for c in sorted(joined[name])])
+    fact = query.sources.fact(sorted(columns)).withColumn(DAY, F.col(layer.date_column))
+    return with_entities(layer, query.sources, fact, joined)
+
+
+def with_entities(
+    layer: Layer, sources: Sources, fact: DataFrame, attributes: Mapping[str, Iterable[str]]
+) -> DataFrame:
+    """Add dimension attributes by entity name, as _entity_column. Only the
+    entities named are joined, each with its key and those attributes."""
+    out = fact
+    for name in sorted(attributes):
+        entity, wanted = layer.entities[name], sorted(attributes[name])
+        frame = sources.entities[name]([entity.dim_key, *wanted])
+        renamed = frame.select(entity.dim_key, *[F.col(c).alias(f"_{name}_{c}") for c in wanted])
         out = many_to_one(out, renamed, entity.fact_key, entity.dim_key)
     return out
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -20,15 +21,20 @@ class TableSpec:
 
     @property
     def schema(self) -> T.StructType:
+        """The Spark schema; needs an active session."""
         return T.StructType.fromDDL(self.columns)
 
+    @property
+    def _declarations(self) -> list[list[str]]:
+        return [d.split() for d in re.split(r",(?![^(]*\))", self.columns)]
+
     @property
     def column_names(self) -> list[str]:
-        return self.schema.fieldNames()
+        return [d[0] for d in self._declarations]
 
     @property
     def required(self) -> list[str]:
-        return [f.name for f in self.schema.fields if not f.nullable]
+        return [d[0] for d in self._declarations if d[-2:] == ["NOT", "NULL"]]
 
 
 NOW = "current_timestamp()"

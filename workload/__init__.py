@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ("published",)
+SECTIONS = ("published", "scans")
 
 
 def load_all() -> None:
