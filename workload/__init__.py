@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ("published", "scans")
+SECTIONS = ("published", "scans", "joining", "grouping")
 
 
 def load_all() -> None:
