@@ -31,9 +31,8 @@ def metric_catalog(spark: SparkSession, layer: Layer) -> DataFrame:
 def catalog_terms(catalog: DataFrame) -> DataFrame:
     """Every word a metric or dimension answers to: its name, label and synonyms."""
     words = F.array_union(F.array("name", "label"), "synonyms")
-    return catalog.select(
-        F.lower(F.explode(F.array_distinct(F.transform(words, F.lower)))).alias("term"), "name", "kind"
-    )
+    lowered = F.array_distinct(F.transform(words, F.lower))
+    return catalog.select(F.explode(lowered).alias("term"), "name", "kind")
 
 
 def lookup_terms(terms: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.joins import orphans
-
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -44,22 +42,36 @@ FOREIGN_KEYS = (
 
 
 def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
-    """Orphan keys per relationship whose tables are both given; NULL keys are fine."""
-    results = []
-    for k in keys:
-        if k.fact in tables and k.dim in tables:
-            found = orphans(tables[k.fact], k.fact_key, tables[k.dim], k.dim_key)
-            results.append(
-                found.agg(F.count(F.lit(1)).alias("orphan_keys")).select(
-                    F.lit(k.fact).alias("fact_table"),
-                    F.lit(k.fact_key).alias("fk_column"),
-                    F.lit(k.dim).alias("dim_table"),
-                    F.lit(k.dim_key).alias("pk_column"),
-                    "orphan_keys",
-                    (F.col("orphan_keys") == 0).alias("is_valid"),
-                )
-            )
-    return reduce(DataFrame.unionByName, results)
+    """Orphan keys per relationship whose tables are both given; NULL keys are fine.
+
+    Each table is read once, however many relationships it takes part in: its
+    keys are stacked as (relationship, key), reduced to different ones before
+    the shuffle, and both sides meet in one aggregation. Keys are integers."""
+    present = [k for k in keys if k.fact in tables and k.dim in tables]
+    spark = next(iter(tables.values())).sparkSession
+
+    def stacked(table: str, named: list[tuple[int, str]], in_fact: bool) -> DataFrame:
+        cells = [F.struct(F.lit(i).alias("_check"), F.col(c).cast("bigint").alias("_key")) for i, c in named]
+        seen = tables[table].select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
+        side = seen.where(F.col("_key").isNotNull()).distinct()
+        return side.select("_check", "_key", F.lit(in_fact).alias("_used"), F.lit(not in_fact).alias("_known"))
+
+    sides: dict[tuple[str, bool], list[tuple[int, str]]] = {}
+    for i, k in enumerate(present):
+        sides.setdefault((k.fact, True), []).append((i, k.fact_key))
+        sides.setdefault((k.dim, False), []).append((i, k.dim_key))
+    both = reduce(DataFrame.unionByName, [stacked(t, named, f) for (t, f), named in sides.items()])
+    per_key = both.groupBy("_check", "_key").agg(F.bool_or("_used").alias("_used"), F.bool_or("_known").alias("_known"))
+    counted = per_key.groupBy("_check").agg(F.count_if(F.col("_used") & ~F.col("_known")).alias("_orphans"))
+    listed = spark.createDataFrame(
+        [(i, k.fact, k.fact_key, k.dim, k.dim_key) for i, k in enumerate(present)],
+        "_check INT, fact_table STRING, fk_column STRING, dim_table STRING, pk_column STRING",
+    )
+    orphan_keys = F.coalesce(F.col("_orphans"), F.lit(0))
+    return listed.join(counted, "_check", "left").select(
+        "fact_table", "fk_column", "dim_table", "pk_column",
+        orphan_keys.alias("orphan_keys"), (orphan_keys == 0).alias("is_valid"),
+    )
 
 
 def check_primary_key(df: DataFrame, table: str, key: Sequence[str] | str) -> DataFrame:

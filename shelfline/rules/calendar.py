@@ -32,16 +32,18 @@ def build_dim_date(days: DataFrame, *columns: str) -> DataFrame:
 
 
 def day_weight() -> Column:
-    """Unnormalised sales weight of a date-dimension row."""
-    return (
+    """Unnormalised sales weight of a date-dimension row; a decimal, so that sums are exact."""
+    product = (
         F.when(F.col("quarter_num") == 4, params.FOURTH_QUARTER_UPLIFT).otherwise(1.0)
         * F.when(F.col("is_black_friday") | F.col("is_cyber_monday"), params.SALE_DAY_UPLIFT).otherwise(1.0)
         * F.when(F.col("is_weekend"), params.WEEKEND_UPLIFT).otherwise(1.0)
         * F.when(F.col("is_back_to_school"), params.BACK_TO_SCHOOL_UPLIFT).otherwise(1.0)
     )
+    return product.cast("decimal(12,4)")
 
 
 def seasonality(dim_date: DataFrame) -> DataFrame:
     """Share of each day in all sales; shares add up to 1. One row per calendar day."""
     weighted = dim_date.withColumn("raw_weight", day_weight())
-    return weighted.withColumn("weight", F.col("raw_weight") / F.sum("raw_weight").over(Window.partitionBy()))
+    total = F.sum("raw_weight").over(Window.partitionBy())
+    return weighted.withColumn("weight", F.col("raw_weight").cast("double") / total.cast("double"))

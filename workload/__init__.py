@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ("published", "scans", "joining", "grouping")
+SECTIONS = ("published", "scans", "joining", "grouping", "windowing", "scalars", "measures", "business", "checks")
 
 
 def load_all() -> None:

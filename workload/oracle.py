@@ -190,8 +190,8 @@ SELECT employee_sk, 'EMP-' || {pad("employee_sk", 6)} AS employee_nk, sha256('Em
   {pick(("Sales Associate", "Senior Sales Associate", "Floor Manager", "Assistant Store Manager", "Store Manager", "District Manager", "Visual Merchandiser", "Stock Associate", "Cashier"), "employee_sk")} AS job_title,
   {pick(("Sales", "Operations", "Management", "Merchandising", "Inventory"), "employee_sk")} AS department,
   store_sk, {date_sk("hired")} AS hire_date_sk,
-  CASE WHEN employee_sk * 31 % 20 = 0 THEN {date_sk("(hired + CAST(employee_sk % 1320 + 180 AS INTEGER))")} END AS termination_date_sk,
-  employee_sk * 31 % 20 <> 0 AS is_active, hired AS effective_date, DATE '9999-12-31' AS expiry_date, TRUE AS is_current_flag
+  CASE WHEN employee_sk * 31 % 19 = 0 THEN {date_sk("(hired + CAST(employee_sk % 1320 + 180 AS INTEGER))")} END AS termination_date_sk,
+  employee_sk * 31 % 19 <> 0 AS is_active, hired AS effective_date, DATE '9999-12-31' AS expiry_date, TRUE AS is_current_flag
 FROM (SELECT *, DATE '1995-01-01' - CAST(employee_sk % 1970 + 30 AS INTEGER) AS hired
   FROM (SELECT store_sk, store_sk * 100 + unnest(range(1, store_sk % 11 + 6)) AS employee_sk FROM c_stores WHERE NOT is_digital))""",
     "c_promotions": f"""
