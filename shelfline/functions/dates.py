@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -122,44 +124,44 @@ def is_back_to_school(day: Column) -> Column:
     return F.month(day).isin(7, 8) & (F.dayofmonth(day) >= 15)
 
 
-def calendar_columns(day: Column) -> dict[str, Column]:
-    """All attributes of the date dimension, by column name, in table order."""
-    named = holiday_name(day)
-    return {
-        "date_sk": date_to_sk(day),
-        "full_date": day,
-        "day_of_week_num": F.dayofweek(day).cast("tinyint"),
-        "day_of_week_name": F.date_format(day, "EEEE"),
-        "day_of_week_abbr": F.date_format(day, "EEE"),
-        "day_of_month": F.dayofmonth(day).cast("tinyint"),
-        "day_of_year": F.dayofyear(day).cast("smallint"),
-        "week_of_year": F.weekofyear(day).cast("tinyint"),
-        "iso_week_number": F.weekofyear(day).cast("tinyint"),
-        "month_num": F.month(day).cast("tinyint"),
-        "month_name": F.date_format(day, "MMMM"),
-        "month_abbr": F.date_format(day, "MMM"),
-        "month_year": F.date_format(day, "MMM-yyyy"),
-        "quarter_num": F.quarter(day).cast("tinyint"),
-        "quarter_name": quarter_label(day),
-        "year_num": F.year(day).cast("smallint"),
-        "first_day_of_month": period_start(day, "month"),
-        "last_day_of_month": F.last_day(day),
-        "first_day_of_quarter": period_start(day, "quarter"),
-        "last_day_of_quarter": quarter_end(day),
-        "fiscal_week_num": fiscal_week(day).cast("tinyint"),
-        "fiscal_month_num": fiscal_month(day).cast("tinyint"),
-        "fiscal_quarter_num": fiscal_quarter(day).cast("tinyint"),
-        "fiscal_year_num": fiscal_year(day).cast("smallint"),
-        "fiscal_quarter_name": fiscal_quarter_label(day),
-        "retail_period_num": retail_period(day).cast("tinyint"),
-        "retail_week_num": retail_week(day).cast("smallint"),
-        "retail_year_num": retail_year(day).cast("smallint"),
-        "is_weekday": ~is_weekend(day),
-        "is_weekend": is_weekend(day),
-        "is_holiday": named.isNotNull(),
-        "holiday_name": named,
-        "is_black_friday": is_black_friday(day),
-        "is_cyber_monday": is_cyber_monday(day),
-        "is_back_to_school": is_back_to_school(day),
-        "season": season(day),
+def calendar_columns(day: Column, names: Sequence[str] = ()) -> dict[str, Column]:
+    """The named attributes of the date dimension; by default all, in table order."""
+    attributes = {
+        "date_sk": lambda: date_to_sk(day),
+        "full_date": lambda: day,
+        "day_of_week_num": lambda: F.dayofweek(day).cast("tinyint"),
+        "day_of_week_name": lambda: F.date_format(day, "EEEE"),
+        "day_of_week_abbr": lambda: F.date_format(day, "EEE"),
+        "day_of_month": lambda: F.dayofmonth(day).cast("tinyint"),
+        "day_of_year": lambda: F.dayofyear(day).cast("smallint"),
+        "week_of_year": lambda: F.weekofyear(day).cast("tinyint"),
+        "iso_week_number": lambda: F.weekofyear(day).cast("tinyint"),
+        "month_num": lambda: F.month(day).cast("tinyint"),
+        "month_name": lambda: F.date_format(day, "MMMM"),
+        "month_abbr": lambda: F.date_format(day, "MMM"),
+        "month_year": lambda: F.date_format(day, "MMM-yyyy"),
+        "quarter_num": lambda: F.quarter(day).cast("tinyint"),
+        "quarter_name": lambda: quarter_label(day),
+        "year_num": lambda: F.year(day).cast("smallint"),
+        "first_day_of_month": lambda: period_start(day, "month"),
+        "last_day_of_month": lambda: F.last_day(day),
+        "first_day_of_quarter": lambda: period_start(day, "quarter"),
+        "last_day_of_quarter": lambda: quarter_end(day),
+        "fiscal_week_num": lambda: fiscal_week(day).cast("tinyint"),
+        "fiscal_month_num": lambda: fiscal_month(day).cast("tinyint"),
+        "fiscal_quarter_num": lambda: fiscal_quarter(day).cast("tinyint"),
+        "fiscal_year_num": lambda: fiscal_year(day).cast("smallint"),
+        "fiscal_quarter_name": lambda: fiscal_quarter_label(day),
+        "retail_period_num": lambda: retail_period(day).cast("tinyint"),
+        "retail_week_num": lambda: retail_week(day).cast("smallint"),
+        "retail_year_num": lambda: retail_year(day).cast("smallint"),
+        "is_weekday": lambda: ~is_weekend(day),
+        "is_weekend": lambda: is_weekend(day),
+        "is_holiday": lambda: holiday_name(day).isNotNull(),
+        "holiday_name": lambda: holiday_name(day),
+        "is_black_friday": lambda: is_black_friday(day),
+        "is_cyber_monday": lambda: is_cyber_monday(day),
+        "is_back_to_school": lambda: is_back_to_school(day),
+        "season": lambda: season(day),
     }
+    return {n: attributes[n]() for n in names or attributes}

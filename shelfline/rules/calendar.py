@@ -26,9 +26,8 @@ def days_of(df: DataFrame, day: str) -> DataFrame:
 
 def build_dim_date(days: DataFrame, *columns: str) -> DataFrame:
     """The date dimension, or some of its columns, for the days of ``date_day``."""
-    attributes = calendar_columns(F.col("date_day"))
-    names = columns or tuple(attributes)
-    return days.select(*[attributes[n].alias(n) for n in names])
+    attributes = calendar_columns(F.col("date_day"), columns)
+    return days.select(*[c.alias(n) for n, c in attributes.items()])
 
 
 def day_weight() -> Column:

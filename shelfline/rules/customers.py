@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -47,7 +48,7 @@ def ltv_band(tier: Column, draw: Column) -> Column:
     return result
 
 
-def build_dim_customer(raw: DataFrame, epoch: date) -> DataFrame:
+def build_dim_customer(raw: DataFrame, epoch: date, columns: Sequence[str] = ()) -> DataFrame:
     """From (customer_sk, customer_segment, country_code, state_code, city) to customers."""
     sk = F.col("customer_sk")
     member = F.pmod(sk, F.lit(20)) < 13
@@ -58,33 +59,34 @@ def build_dim_customer(raw: DataFrame, epoch: date) -> DataFrame:
     born = F.date_add(F.lit(date(1960, 1, 1)), F.pmod(sk * 37, F.lit(16400)).cast("int"))
     enrolled = F.date_sub(F.lit(epoch), (F.pmod(sk, F.lit(1470)) + 30).cast("int"))
     number = sk.cast("string")
-    base = raw.select(
-        sk,
-        F.concat(F.lit("CRM-"), F.upper(F.substring(F.md5(number), 1, 8))).alias("customer_nk"),
-        F.concat(F.lit("FirstName"), number).alias("first_name"),
-        F.concat(F.lit("LastName"), number).alias("last_name"),
-        sha256_hex(F.concat(F.lit("customer"), number, F.lit("@email.com"))).alias("email_address_hash"),
-        sha256_hex(F.concat(F.lit("+1"), F.lpad(number, 10, "5"))).alias("phone_hash"),
-        date_to_sk(born).alias("date_of_birth_sk"),
-        gender.alias("gender_code"),
-        member.alias("loyalty_member_flag"),
-        tier.alias("loyalty_tier"),
-        F.when(member, F.pmod(sk * 97, F.lit(50000))).otherwise(0).cast("int").alias("loyalty_points_balance"),
-        F.when(member, date_to_sk(enrolled)).alias("loyalty_enroll_date_sk"),
-        F.col("customer_segment"),
-        pick(words(SPORTS), sk).alias("preferred_sport"),
-        ltv_band(tier, spread_100(sk, 104729)).alias("lifetime_value_band"),
-        pick(words(ACQUISITION), sk).alias("acquisition_channel"),
-        F.col("city"),
-        F.col("state_code").alias("state_province"),
-        F.col("country_code"),
-        (F.pmod(sk, F.lit(90000)) + 10000).cast("string").alias("postal_code"),
-        F.date_sub(F.lit(epoch), F.pmod(sk, F.lit(730)).cast("int")).alias("effective_date"),
-        F.lit(params.FAR_FUTURE).alias("expiry_date"),
-        F.lit(True).alias("is_current_flag"),
-    )
+    attributes = {
+        "customer_sk": lambda: sk,
+        "customer_nk": lambda: F.concat(F.lit("CRM-"), F.upper(F.substring(F.md5(number), 1, 8))),
+        "first_name": lambda: F.concat(F.lit("FirstName"), number),
+        "last_name": lambda: F.concat(F.lit("LastName"), number),
+        "email_address_hash": lambda: sha256_hex(F.concat(F.lit("customer"), number, F.lit("@email.com"))),
+        "phone_hash": lambda: sha256_hex(F.concat(F.lit("+1"), F.lpad(number, 10, "5"))),
+        "date_of_birth_sk": lambda: date_to_sk(born),
+        "gender_code": lambda: gender,
+        "loyalty_member_flag": lambda: member,
+        "loyalty_tier": lambda: tier,
+        "loyalty_points_balance": lambda: F.when(member, F.pmod(sk * 97, F.lit(50000))).otherwise(0).cast("int"),
+        "loyalty_enroll_date_sk": lambda: F.when(member, date_to_sk(enrolled)),
+        "customer_segment": lambda: F.col("customer_segment"),
+        "preferred_sport": lambda: pick(words(SPORTS), sk),
+        "lifetime_value_band": lambda: ltv_band(tier, spread_100(sk, 104729)),
+        "acquisition_channel": lambda: pick(words(ACQUISITION), sk),
+        "city": lambda: F.col("city"),
+        "state_province": lambda: F.col("state_code"),
+        "country_code": lambda: F.col("country_code"),
+        "postal_code": lambda: (F.pmod(sk, F.lit(90000)) + 10000).cast("string"),
+        "effective_date": lambda: F.date_sub(F.lit(epoch), F.pmod(sk, F.lit(730)).cast("int")),
+        "expiry_date": lambda: F.lit(params.FAR_FUTURE),
+        "is_current_flag": lambda: F.lit(True),
+    }
     tracked = ("loyalty_tier", "customer_segment", "lifetime_value_band", "city", "state_province", "country_code")
-    return base.withColumn("record_checksum", record_checksum(*[F.col(c) for c in tracked]))
+    attributes["record_checksum"] = lambda: record_checksum(*[attributes[c]() for c in tracked])
+    return raw.select(*[attributes[c]().alias(c) for c in columns or attributes])
 
 
 def with_guest(customers: DataFrame, since: date) -> DataFrame:

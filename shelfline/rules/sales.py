@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline import params
 from shelfline.operators.filters import revenue_tier, source_system
 from shelfline.operators.joins import many_to_one, valid_promotion
 from shelfline.rules.pricing import (
@@ -29,39 +32,58 @@ STORE_COLUMNS = ("currency_code", "exchange_rate", "source_system")
 USD_COLUMNS = ("net_revenue_usd", "revenue_tier")
 
 
+def needed_line_columns(columns: Iterable[str]) -> list[str]:
+    """Line columns that the wanted sales columns are made from."""
+    wanted = set(columns)
+    needed = wanted & set(LINE_COLUMNS) | {"transaction_date_sk"}
+    if wanted & {*PRICE_COLUMNS, *USD_COLUMNS}:
+        needed |= {"product_sk", "quantity_sold", "discount_rate", "tax_rate"}
+    if wanted & {*STORE_COLUMNS, *USD_COLUMNS}:
+        needed |= {"store_sk", "order_number"}
+    return [c for c in LINE_COLUMNS if c in needed]
+
+
 def sales_columns(
-    lines: DataFrame, prices: DataFrame, stores: DataFrame, columns: tuple[str, ...], tiers=None
+    lines: DataFrame,
+    prices: Callable[[], DataFrame],
+    stores: Callable[[], DataFrame],
+    columns: tuple[str, ...],
+    tiers: Sequence[tuple[object, str]] = params.REVENUE_TIERS,
 ) -> DataFrame:
     """The wanted columns of the sales fact. Prices and stores are only joined
     when a wanted column needs them. Lines without a date are dropped.
 
-    ``prices``: product_sk, unit_retail_price, unit_cost_price.
-    ``stores``: store_sk, region_code, is_digital."""
+    ``prices`` gives product_sk, unit_retail_price, unit_cost_price.
+    ``stores`` gives store_sk, region_code, is_digital."""
     wanted = set(columns)
     usd = wanted & set(USD_COLUMNS)
     out = lines.where(F.col("transaction_date_sk").isNotNull())
     if usd or wanted & set(PRICE_COLUMNS):
-        out = many_to_one(out, prices, "product_sk")
+        out = many_to_one(out, prices(), "product_sk")
         quantity, retail = F.col("quantity_sold"), F.col("unit_retail_price")
         discount = rate_discount(quantity, retail, F.col("discount_rate"))
-        out = out.withColumns(line_amounts(quantity, retail, F.col("unit_cost_price"), discount, F.col("tax_rate")))
+        amounts = line_amounts(quantity, retail, F.col("unit_cost_price"), discount, F.col("tax_rate"))
+        out = out.withColumns({n: c for n, c in amounts.items() if n in wanted or (usd and n == "net_revenue")})
     if usd or wanted & set(STORE_COLUMNS):
-        out = many_to_one(out, stores.select("store_sk", "region_code", "is_digital"), "store_sk")
-        currency = line_currency(F.col("region_code"), F.col("order_number"))
-        out = out.withColumns(
-            {
-                "currency_code": currency,
-                "exchange_rate": exchange_rate(currency),
-                "source_system": source_system(F.col("is_digital")),
-            }
-        )
+        out = _with_currency(many_to_one(out, stores(), "store_sk"))
     if usd:
         out = out.withColumn("net_revenue_usd", to_usd(F.col("net_revenue"), F.col("exchange_rate")))
-        tier = revenue_tier(F.col("net_revenue_usd"), tiers) if tiers else revenue_tier(F.col("net_revenue_usd"))
-        out = out.withColumn("revenue_tier", tier)
+    if "revenue_tier" in wanted:
+        out = out.withColumn("revenue_tier", revenue_tier(F.col("net_revenue_usd"), tiers))
     return out.select(*columns)
 
 
+def _with_currency(placed: DataFrame) -> DataFrame:
+    currency = line_currency(F.col("region_code"), F.col("order_number"))
+    return placed.withColumns(
+        {
+            "currency_code": currency,
+            "exchange_rate": exchange_rate(currency),
+            "source_system": source_system(F.col("is_digital")),
+        }
+    )
+
+
 def build_fact_sales(lines: DataFrame, prices: DataFrame, stores: DataFrame, promotions: DataFrame) -> DataFrame:
     """Sales lines priced with the promotion that was valid on the day, if any."""
     dated = lines.where(F.col("transaction_date_sk").isNotNull())
@@ -70,17 +92,9 @@ def build_fact_sales(lines: DataFrame, prices: DataFrame, stores: DataFrame, pro
     promoted = valid_promotion(placed, promotions, keep=("discount_type", "discount_value"))
     quantity, retail = F.col("quantity_sold"), F.col("unit_retail_price")
     discount = promotion_discount(quantity * retail, F.col("discount_type"), F.col("discount_value"))
-    currency = line_currency(F.col("region_code"), F.col("order_number"))
     amounts = line_amounts(quantity, retail, F.col("unit_cost_price"), discount, F.col("tax_rate"))
     return (
-        promoted.withColumns(amounts)
-        .withColumns(
-            {
-                "currency_code": currency,
-                "exchange_rate": exchange_rate(currency),
-                "source_system": source_system(F.col("is_digital")),
-            }
-        )
+        _with_currency(promoted.withColumns(amounts))
         .withColumn("net_revenue_usd", to_usd(F.col("net_revenue"), F.col("exchange_rate")))
         .select(
             "transaction_sk", "transaction_id", "line_number", "transaction_date", "transaction_date_sk",

@@ -133,7 +133,7 @@ def promotion_discounts(s: Star) -> DataFrame:
 def dated_lines(s: Star) -> DataFrame:
     """Each order line as an offer that starts on its day and runs 7 to 44 days."""
     days = (F.pmod("order_number", F.lit(38)) + 7).cast("int")
-    return s.lines().select("transaction_sk", promotions.clamped_end(F.col("transaction_date"), days, HORIZON).alias("end_date"))
+    return s.lines("transaction_sk", "transaction_date", "order_number").select("transaction_sk", promotions.clamped_end(F.col("transaction_date"), days, HORIZON).alias("end_date"))
 
 
 ENDS = "least(transaction_date + CAST(order_number % 38 + 7 AS INTEGER), DATE '2001-08-01')"

@@ -25,7 +25,9 @@ add(
     lambda s: reports.revenue_rollup(
         s.sales("product_sk", "store_sk", "transaction_date_sk", "return_flag", "quantity_sold", "net_revenue_usd",
                 "gross_revenue", "discount_amount", "cost_of_goods_sold", "gross_margin"),
-        s.dates(), s.products(), s.stores(),
+        s.dates("date_sk", "year_num", "quarter_name", "month_name"),
+        s.products("product_sk", "division_name", "category_name"),
+        s.stores("store_sk", "region_name", "country_name"),
     ),
     f"""SELECT {ROLLUP_KEYS}, {money("net_revenue_usd")} AS total_net_revenue, {units("quantity_sold")} AS total_units_sold,
   {money("gross_revenue")} AS total_gross_revenue, {money("discount_amount")} AS total_discount,
@@ -42,7 +44,7 @@ JOIN c_sites USING (store_sk) WHERE full_date = last_day(full_date) GROUP BY 1,
 
 
 def inventory_report(s):
-    return reports.period_end_inventory(s.inventory(), s.dates(), s.items(), s.sites())
+    return reports.period_end_inventory(s.inventory(), s.dates("date_sk", "full_date", "month_year"), s.items(), s.sites())
 
 
 add("q_period_end_inventory", inventory_report, INVENTORY_SQL)
@@ -65,7 +67,10 @@ FROM (SELECT year_num, quarter_name, category_name, region_name, {money("net_rev
 
 
 def ratio_report(s):
-    return reports.non_additive_ratios(s.sales(*SALES), s.dates(), s.products(), s.stores())
+    return reports.non_additive_ratios(
+        s.sales(*SALES), s.dates("date_sk", "year_num", "quarter_name"), s.products("product_sk", "category_name"),
+        s.stores("store_sk", "region_name"),
+    )
 
 
 add("q_non_additive_ratios", ratio_report, RATIOS_SQL)
@@ -87,7 +92,9 @@ WHERE return_flag = 'N' GROUP BY GROUPING SETS (
 
 def drill_report(s):
     sales = s.sales("product_sk", "transaction_date_sk", "return_flag", "quantity_sold", "gross_margin", "net_revenue_usd")
-    return reports.hierarchy_drill(sales, s.dates(), s.products())
+    return reports.hierarchy_drill(
+        sales, s.dates("date_sk", *reports.DATE_LEVELS), s.products("product_sk", *reports.PRODUCT_LEVELS)
+    )
 
 
 add("q_hierarchy_grouping_sets", drill_report, DRILL_SQL)
@@ -111,7 +118,10 @@ RETURNED = ("product_sk", "return_date_sk", "refund_amount", "quantity_returned"
 
 
 def net_report(s):
-    return reports.net_after_returns(s.sales(*SOLD), s.returns(*RETURNED), s.dates(), s.products())
+    return reports.net_after_returns(
+        s.sales(*SOLD), s.returns(*RETURNED), s.dates("date_sk", "year_num", "quarter_name"),
+        s.products("product_sk", "category_name"),
+    )
 
 
 add("q_net_after_returns", net_report, NET_SQL)

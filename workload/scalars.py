@@ -23,7 +23,7 @@ def calendar_attributes(name: str, *columns: str) -> None:
     """Attributes of every date on which something was ordered."""
 
     def run(s: Star) -> DataFrame:
-        known = dates.calendar_columns(F.col("full_date"))
+        known = dates.calendar_columns(F.col("full_date"), columns)
         return order_days(s).select("full_date", *[known[c].alias(c) for c in columns])
 
     add(name, run, f"SELECT full_date, {', '.join(columns)} FROM ({calendar_sql(DAYS)})")

@@ -123,8 +123,7 @@ class Star:
         )
 
     def stores(self, *columns: str) -> DataFrame:
-        built = stores.build_dim_store(self.raw_stores(), EPOCH)
-        return built.select(*columns) if columns else built
+        return stores.build_dim_store(self.raw_stores(), EPOCH, columns)
 
     def raw_products(self) -> DataFrame:
         kind = F.when(F.col("p_type").isin("SMALL", "MEDIUM"), "FW").when(
@@ -143,11 +142,10 @@ class Star:
         )
 
     def products(self, *columns: str) -> DataFrame:
-        built = products.build_dim_product(self.raw_products(), EPOCH)
-        return built.select(*columns) if columns else built
+        return products.build_dim_product(self.raw_products(), EPOCH, columns)
 
     def prices(self) -> DataFrame:
-        return self.products().select(
+        return self.products("product_sk", "standard_retail_price", "standard_cost").select(
             "product_sk",
             F.col("standard_retail_price").alias("unit_retail_price"),
             F.col("standard_cost").alias("unit_cost_price"),
@@ -159,8 +157,7 @@ class Star:
             F.col("c_custkey").alias("customer_sk"), F.col("c_mktsegment").alias("customer_segment"),
             "country_code", "state_code", "city",
         )
-        built = customers.build_dim_customer(raw, EPOCH)
-        return built.select(*columns) if columns else built
+        return customers.build_dim_customer(raw, EPOCH, columns)
 
     def employees(self) -> DataFrame:
         return stores.build_dim_employee(self.stores("store_sk", "is_digital"), EPOCH)
@@ -182,40 +179,48 @@ class Star:
 
     # --- sales and returns -----------------------------------------------------
 
-    def lines(self) -> DataFrame:
-        """Ticket lines with keys and rates, before pricing."""
+    def lines(self, *columns: str) -> DataFrame:
+        """Ticket lines with keys and rates, before pricing; all columns or the named ones."""
         orders = self.raw("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("_day"))
         joined = self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
         order, store, day = F.col("l_orderkey"), F.col("l_suppkey"), F.col("_day")
         quantity = F.col("l_quantity").cast("decimal(6,0)")
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
         digital = F.pmod(store, F.lit(5)) == 0
-        staff = store * 100 + 1 + F.pmod(order, F.pmod(store, F.lit(11)) + 5)
-        return joined.select(
-            stable_key(order, F.col("l_linenumber"), F.col("l_partkey"), store, cents).alias("transaction_sk"),
-            order.cast("string").alias("transaction_id"),
-            F.col("l_linenumber").alias("line_number"),
-            day.alias("transaction_date"),
-            date_to_sk(day).alias("transaction_date_sk"),
-            period_start(day, "year").alias("transaction_year"),
-            F.when(_mod("o_custkey", 5) != 0, F.col("o_custkey")).alias("customer_sk"),
-            F.col("l_partkey").alias("product_sk"),
-            store.alias("store_sk"),
-            pick(admissible_channels(digital, channel_type(store)), order).alias("channel_sk"),
-            F.when(_mod("l_orderkey", 10) < 3, _mod("l_orderkey", 150) + 1).alias("promotion_sk"),
-            F.when(~digital, staff).alias("employee_sk"),
-            quantity.alias("quantity_sold"),
-            F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
-            F.col("l_tax").cast("decimal(4,2)").alias("tax_rate"),
-            F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("return_flag"),
-            order.alias("order_number"),
-            (_mod("l_orderkey", 40) + 5).cast("int").alias("return_delay"),
-            (F.pmod(order, quantity.cast("bigint")) + 1).cast("int").alias("quantity_returned"),
-        )
+
+        def line_key() -> Column:
+            cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+            return stable_key(order, F.col("l_linenumber"), F.col("l_partkey"), store, cents)
+
+        def staff() -> Column:
+            return F.when(~digital, store * 100 + 1 + F.pmod(order, F.pmod(store, F.lit(11)) + 5))
+
+        known = {
+            "transaction_sk": line_key,
+            "transaction_id": lambda: order.cast("string"),
+            "line_number": lambda: F.col("l_linenumber"),
+            "transaction_date": lambda: day,
+            "transaction_date_sk": lambda: date_to_sk(day),
+            "transaction_year": lambda: period_start(day, "year"),
+            "customer_sk": lambda: F.when(_mod("o_custkey", 5) != 0, F.col("o_custkey")),
+            "product_sk": lambda: F.col("l_partkey"),
+            "store_sk": lambda: store,
+            "channel_sk": lambda: pick(admissible_channels(digital, channel_type(store)), order),
+            "promotion_sk": lambda: F.when(_mod("l_orderkey", 10) < 3, _mod("l_orderkey", 150) + 1),
+            "employee_sk": staff,
+            "quantity_sold": lambda: quantity,
+            "discount_rate": lambda: F.col("l_discount").cast("decimal(4,2)"),
+            "tax_rate": lambda: F.col("l_tax").cast("decimal(4,2)"),
+            "return_flag": lambda: F.when(F.col("l_returnflag") == "R", "Y").otherwise("N"),
+            "order_number": lambda: order,
+            "return_delay": lambda: (_mod("l_orderkey", 40) + 5).cast("int"),
+            "quantity_returned": lambda: (F.pmod(order, quantity.cast("bigint")) + 1).cast("int"),
+        }
+        return joined.select(*[known[c]().alias(c) for c in columns or known])
 
     def sales(self, *columns: str) -> DataFrame:
         wanted = columns or (*sales.LINE_COLUMNS, *sales.PRICE_COLUMNS, *sales.STORE_COLUMNS, *sales.USD_COLUMNS)
-        return sales.sales_columns(self.lines(), self.prices(), self._store_facts(), tuple(wanted), TIERS)
+        lines = self.lines(*sales.needed_line_columns(wanted))
+        return sales.sales_columns(lines, self.prices, self._store_facts, tuple(wanted), TIERS)
 
     def _store_facts(self) -> DataFrame:
         return self.stores("store_sk", "region_code", "is_digital")
@@ -224,7 +229,10 @@ class Star:
         return sales.build_fact_sales(self.lines(), self.prices(), self._store_facts(), self.promotions())
 
     def returned_lines(self) -> DataFrame:
-        back = self.lines().where("return_flag = 'Y'")
+        back = self.lines(
+            "transaction_sk", "transaction_date", "transaction_date_sk", "customer_sk", "product_sk", "store_sk",
+            "channel_sk", "return_flag", "order_number", "return_delay", "quantity_returned",
+        ).where("return_flag = 'Y'")
         return many_to_one(back, self.prices(), "product_sk")
 
     def returns(self, *columns: str) -> DataFrame:
