@@ -114,10 +114,16 @@ class Layer:
 @dataclass(frozen=True)
 class Sources:
     """Where a layer's data comes from. Each callable gets the wanted columns,
-    so that nothing else is read or joined."""
+    so that nothing else is read or joined.
 
-    fact: Callable[[list[str]], DataFrame]
+    A fact that is itself built from a dimension's table can bring that
+    dimension's attributes along, which saves a second join. ``carried`` names
+    such entities; ``fact`` then gets their attributes by entity as a second
+    argument and returns them as _entity_column."""
+
+    fact: Callable[..., DataFrame]
     entities: dict[str, Callable[[list[str]], DataFrame]]
+    carried: frozenset[str] = frozenset()
 
 
 @dataclass(frozen=True)

@@ -120,12 +120,13 @@ def _shifted_name(item: Input) -> str:
     return f"{item.metric}__{item.days_ago}_days_ago"
 
 
-def _base(query: _Query) -> DataFrame:
-    """Fact rows with the group keys and measure inputs, and nothing else."""
+def _base(query: _Query, metrics: Iterable[Metric]) -> DataFrame:
+    """Fact rows that meet the attribute conditions, with the group keys and the
+    inputs of the given metrics, and nothing else."""
     layer = query.layer
-    metrics: list[Metric] = [*query.simple.values(), *query.windowed.values()]
-    metrics += [layer.metrics[i.metric] for i in query.shifted]
-    dims = [*query.attributes.values(), *[d for d, _ in query.conditions if isinstance(d, Dimension)]]
+    metrics = list(metrics)
+    tested = [(d, c) for d, c in query.conditions if isinstance(d, Dimension)]
+    dims = [*query.attributes.values(), *[d for d, _ in tested]]
 
     columns = {layer.date_column}
     columns |= {m.measure.column for m in metrics}
@@ -135,10 +136,15 @@ def _base(query: _Query) -> DataFrame:
     for d in dims:
         if d.entity:
             joined.setdefault(d.entity, set()).add(d.column)
-    columns |= {layer.entities[e].fact_key for e in joined}
+    carried = {e: sorted(a) for e, a in joined.items() if e in query.sources.carried}
+    apart = {e: a for e, a in joined.items() if e not in carried}
+    columns |= {layer.entities[e].fact_key for e in apart}
 
-    fact = query.sources.fact(sorted(columns)).withColumn(DAY, F.col(layer.date_column))
-    return with_entities(layer, query.sources, fact, joined)
+    extra = [carried] if carried else []
+    fact = query.sources.fact(sorted(columns), *extra).withColumn(DAY, F.col(layer.date_column))
+    wide = with_entities(layer, query.sources, fact, apart)
+    kept = _filtered(wide, [_test(_dimension_column(d), c.op, c.value) for d, c in tested])
+    return kept.withColumns({a: _dimension_column(d) for a, d in query.attributes.items()})
 
 
 def with_entities(
@@ -203,7 +209,16 @@ def _window_column(metric: Windowed, keys: Sequence[str]) -> Column:
     return windows.running_total(value, keys, DAY)
 
 
-def _over_days(query: _Query, base: DataFrame) -> DataFrame:
+def _history(query: _Query, metrics: Iterable[Metric]) -> DataFrame:
+    """The rows that windows need: all days, or those the date conditions can reach."""
+    base = _base(query, metrics)
+    if query.date_filter == "before":
+        return _filtered(base, _date_tests(query))
+    start = _history_start(query)
+    return base if start is None else base.where(F.col(DAY) >= F.lit(start))
+
+
+def _over_days(query: _Query) -> DataFrame:
     """One row per group and day with all windowed, shifted and, for queries by
     day, simple metrics."""
     keys = list(query.attributes)
@@ -216,14 +231,16 @@ def _over_days(query: _Query, base: DataFrame) -> DataFrame:
     if query.by_day:
         aggs += [aggregate(m.measure, m.where).alias(n) for n, m in query.simple.items()]
     aggs = aggs or [F.count(F.lit(1)).alias("_rows")]
-    daily = base.groupBy(*day_keys).agg(*aggs)
+    summed = [m for n, m in query.windowed.items() if n not in counted]
+    plain = query.simple.values() if query.by_day else ()
+    daily = _history(query, [*summed, *shifted.values(), *plain]).groupBy(*day_keys).agg(*aggs)
     if query.layer.spine:
         daily = on_spine(windows.spine_days(daily, DAY, keys), daily, DAY, keys)
     for name, metric in counted.items():
         if metric.span != "trailing":
             raise ValueError(f"{name}: distinct counts are only windowed over trailing days")
         daily = windows.with_trailing_distinct(
-            daily, base, keys, DAY, metric.measure.column, metric.days, name, metric.include_today
+            daily, _history(query, [metric]), keys, DAY, metric.measure.column, metric.days, name, metric.include_today
         )
     computed = {
         n: _window_column(m, keys) for n, m in query.windowed.items() if n not in counted
@@ -273,34 +290,24 @@ def metric_query(
     for name in outputs.values():
         query.collect(name)
 
-    base = _filtered(
-        _base(query),
-        [_test(_dimension_column(d), c.op, c.value) for d, c in conditions if isinstance(d, Dimension)],
-    )
-    base = base.withColumns({a: _dimension_column(d) for a, d in query.attributes.items()})
-    dated = _filtered(base, _date_tests(query))
-    group = [F.col(a) for a in query.attributes]
-
-    if not query.runs_over_days:
-        periods = [c.alias(a) for a, c in _period_columns(query).items()]
-        result = _grouped(query, dated, [*group, *periods])
+    if query.runs_over_days:
+        days = _filtered(_over_days(query), _date_tests(query)).withColumns(_period_columns(query))
+        result = days if query.by_day else _last_days(query, days)
     else:
-        history = base
-        start = _history_start(query)
-        if date_filter == "before":
-            history = dated
-        elif start is not None:
-            history = base.where(F.col(DAY) >= F.lit(start))
-        days = _filtered(_over_days(query, history), _date_tests(query))
-        days = days.withColumns(_period_columns(query))
-        result = days if query.by_day else _last_days(query, days, dated)
+        result = _simple_results(query)
 
     columns = [F.col(k) for k in keys] + [_evaluate(layer, n).alias(o) for o, n in outputs.items()]
     answer = result.select(*columns)
     return answer.orderBy(*order_by) if order_by else answer
 
 
-def _last_days(query: _Query, days: DataFrame, dated: DataFrame) -> DataFrame:
+def _simple_results(query: _Query) -> DataFrame:
+    dated = _filtered(_base(query, query.simple.values()), _date_tests(query))
+    periods = [c.alias(a) for a, c in _period_columns(query).items()]
+    return _grouped(query, dated, [*[F.col(a) for a in query.attributes], *periods])
+
+
+def _last_days(query: _Query, days: DataFrame) -> DataFrame:
     """Windowed metrics at coarser keys: the value of the last day of each group.
     Shifted ones add up; simple ones are aggregated from the facts."""
     names = list(query.keys)
@@ -308,6 +315,5 @@ def _last_days(query: _Query, days: DataFrame, dated: DataFrame) -> DataFrame:
     aggs += [F.sum(_shifted_name(i)).alias(_shifted_name(i)) for i in query.shifted]
     parts = [days.groupBy(*names).agg(*aggs)]
     if query.simple:
-        periods = [c.alias(a) for a, c in _period_columns(query).items()]
-        parts.append(_grouped(query, dated, [*[F.col(a) for a in query.attributes], *periods]))
+        parts.append(_simple_results(query))
     return merge_results(parts, names)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,15 +15,24 @@ from shelfline.operators.joins import left_composite, star_inner
 KEPT = "return_flag = 'N'"
 
 
-def revenue_rollup(sales: DataFrame, dates: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+def _star(
+    sales: DataFrame, dates: DataFrame, products: DataFrame | None, stores: DataFrame | None, keys: Sequence[str]
+) -> DataFrame:
+    """Sales joined with the named attributes. A product or store frame that is
+    None means that the sales already carry those attributes."""
+    edges = [(dates, "transaction_date_sk", "date_sk")]
+    edges += [(products, "product_sk", "product_sk")] if products is not None else []
+    edges += [(stores, "store_sk", "store_sk")] if stores is not None else []
+    wanted = [(d.select(pk, *[k for k in keys if k in d.columns]), fk, pk) for d, fk, pk in edges]
+    return star_inner(sales.where(KEPT), *wanted)
+
+
+def revenue_rollup(
+    sales: DataFrame, dates: DataFrame, products: DataFrame | None = None, stores: DataFrame | None = None
+) -> DataFrame:
     """Additive totals rolled up over time, product and place."""
     keys = ["year_num", "quarter_name", "month_name", "division_name", "category_name", "region_name", "country_name"]
-    star = star_inner(
-        sales.where(KEPT),
-        (dates.select("date_sk", *keys[:3]), "transaction_date_sk", "date_sk"),
-        (products.select("product_sk", *keys[3:5]), "product_sk", "product_sk"),
-        (stores.select("store_sk", *keys[5:]), "store_sk", "store_sk"),
-    )
+    star = _star(sales, dates, products, stores, keys)
     totals = rollup_totals(
         star, keys,
         money=["net_revenue_usd", "gross_revenue", "discount_amount", "cost_of_goods_sold", "gross_margin"],
@@ -56,15 +67,12 @@ def period_end_inventory(inventory: DataFrame, dates: DataFrame, products: DataF
     )
 
 
-def non_additive_ratios(sales: DataFrame, dates: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+def non_additive_ratios(
+    sales: DataFrame, dates: DataFrame, products: DataFrame | None = None, stores: DataFrame | None = None
+) -> DataFrame:
     """Ratios of sums by quarter, category and region."""
-    star = star_inner(
-        sales.where(KEPT),
-        (dates.select("date_sk", "year_num", "quarter_name"), "transaction_date_sk", "date_sk"),
-        (products.select("product_sk", "category_name"), "product_sk", "product_sk"),
-        (stores.select("store_sk", "region_name"), "store_sk", "store_sk"),
-    )
-    sums = star.groupBy("year_num", "quarter_name", "category_name", "region_name").agg(
+    keys = ["year_num", "quarter_name", "category_name", "region_name"]
+    sums = _star(sales, dates, products, stores, keys).groupBy(*keys).agg(
         money_sum("net_revenue_usd").alias("net_revenue"),
         money_sum("gross_revenue").alias("gross_revenue"),
         money_sum("gross_margin").alias("gross_margin"),
@@ -102,13 +110,9 @@ LEVEL_FLAGS = {
 }
 
 
-def hierarchy_drill(sales: DataFrame, dates: DataFrame, products: DataFrame) -> DataFrame:
+def hierarchy_drill(sales: DataFrame, dates: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Revenue at each level of the date and product hierarchies and at one mix of both."""
-    star = star_inner(
-        sales.where(KEPT),
-        (dates.select("date_sk", *DATE_LEVELS), "transaction_date_sk", "date_sk"),
-        (products.select("product_sk", *PRODUCT_LEVELS), "product_sk", "product_sk"),
-    )
+    star = _star(sales, dates, products, None, [*DATE_LEVELS, *PRODUCT_LEVELS])
     sets = [DATE_LEVELS[: n + 1] for n in range(4)] + [PRODUCT_LEVELS[: n + 1] for n in range(4)]
     sets.append(("year_num", "division_name", "category_name"))
     totals = grouping_set_totals(star, sets, ["net_revenue_usd", "gross_margin"], ["quantity_sold"], LEVEL_FLAGS)

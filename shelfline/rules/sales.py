@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,12 +30,14 @@ PRICE_COLUMNS = (
 )
 STORE_COLUMNS = ("currency_code", "exchange_rate", "source_system")
 USD_COLUMNS = ("net_revenue_usd", "revenue_tier")
+# Product columns that price a line, with their names on the line.
+PRICES = {"standard_retail_price": "unit_retail_price", "standard_cost": "unit_cost_price"}
 
 
-def needed_line_columns(columns: Iterable[str]) -> list[str]:
-    """Line columns that the wanted sales columns are made from."""
+def needed_line_columns(columns: Iterable[str], entities: Iterable[str] = ()) -> list[str]:
+    """Line columns that the wanted sales columns and entity keys are made from."""
     wanted = set(columns)
-    needed = wanted & set(LINE_COLUMNS) | {"transaction_date_sk"}
+    needed = wanted & set(LINE_COLUMNS) | {"transaction_date_sk"} | {f"{e}_sk" for e in entities}
     if wanted & {*PRICE_COLUMNS, *USD_COLUMNS}:
         needed |= {"product_sk", "quantity_sold", "discount_rate", "tax_rate"}
     if wanted & {*STORE_COLUMNS, *USD_COLUMNS}:
@@ -45,32 +47,51 @@ def needed_line_columns(columns: Iterable[str]) -> list[str]:
 
 def sales_columns(
     lines: DataFrame,
-    prices: Callable[[], DataFrame],
-    stores: Callable[[], DataFrame],
-    columns: tuple[str, ...],
+    products: Callable[[list[str]], DataFrame],
+    stores: Callable[[list[str]], DataFrame],
+    columns: Sequence[str],
     tiers: Sequence[tuple[object, str]] = params.REVENUE_TIERS,
+    product_attributes: Sequence[str] = (),
+    store_attributes: Sequence[str] = (),
 ) -> DataFrame:
-    """The wanted columns of the sales fact. Prices and stores are only joined
-    when a wanted column needs them. Lines without a date are dropped.
-
-    ``prices`` gives product_sk, unit_retail_price, unit_cost_price.
-    ``stores`` gives store_sk, region_code, is_digital."""
+    """The wanted columns of the sales fact, with attributes of product and store
+    as _product_column and _store_column. Each of the two tables is joined at
+    most once, and only when something is wanted from it. Lines without a date
+    are dropped."""
     wanted = set(columns)
     usd = wanted & set(USD_COLUMNS)
+    priced, placed = usd or wanted & set(PRICE_COLUMNS), usd or wanted & set(STORE_COLUMNS)
     out = lines.where(F.col("transaction_date_sk").isNotNull())
-    if usd or wanted & set(PRICE_COLUMNS):
-        out = many_to_one(out, prices(), "product_sk")
+    if priced or product_attributes:
+        prices = PRICES if priced else {}
+        out = many_to_one(out, _renamed(products, "product", prices, product_attributes), "product_sk")
+    if priced:
         quantity, retail = F.col("quantity_sold"), F.col("unit_retail_price")
         discount = rate_discount(quantity, retail, F.col("discount_rate"))
         amounts = line_amounts(quantity, retail, F.col("unit_cost_price"), discount, F.col("tax_rate"))
         out = out.withColumns({n: c for n, c in amounts.items() if n in wanted or (usd and n == "net_revenue")})
-    if usd or wanted & set(STORE_COLUMNS):
-        out = _with_currency(many_to_one(out, stores(), "store_sk"))
+    if placed or store_attributes:
+        own = {"region_code": "region_code", "is_digital": "is_digital"} if placed else {}
+        out = many_to_one(out, _renamed(stores, "store", own, store_attributes), "store_sk")
+    if placed:
+        out = _with_currency(out)
     if usd:
         out = out.withColumn("net_revenue_usd", to_usd(F.col("net_revenue"), F.col("exchange_rate")))
     if "revenue_tier" in wanted:
         out = out.withColumn("revenue_tier", revenue_tier(F.col("net_revenue_usd"), tiers))
-    return out.select(*columns)
+    carried = [f"_product_{c}" for c in product_attributes] + [f"_store_{c}" for c in store_attributes]
+    return out.select(*columns, *carried)
+
+
+def _renamed(
+    read: Callable[[list[str]], DataFrame], name: str, own: Mapping[str, str], attributes: Sequence[str]
+) -> DataFrame:
+    """One read of a dimension: columns the fact itself uses, and carried attributes."""
+    key = f"{name}_sk"
+    frame = read([key, *dict.fromkeys([*own, *attributes])])
+    return frame.select(
+        key, *[F.col(c).alias(n) for c, n in own.items()], *[F.col(c).alias(f"_{name}_{c}") for c in attributes]
+    )
 
 
 def _with_currency(placed: DataFrame) -> DataFrame:

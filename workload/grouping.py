@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.ratios import money_sum, rounded_percent
 from shelfline.metrics.layers import METRIC_VIEW
 from shelfline.metrics.query import aggregate
-from shelfline.operators import aggregates, joins, sampling
+from shelfline.operators import aggregates, sampling
 from shelfline.plans.reports import sold_and_returned
 from shelfline.sources.readers import staging_view
 from workload.oracle import money, units
@@ -75,9 +75,7 @@ PRODUCT = ("division_name", "category_name", "subcategory_name")
 
 
 def product_lines(s: Star, *columns: str) -> DataFrame:
-    return joins.star_inner(
-        s.sales("product_sk", "transaction_year", *columns), (s.products("product_sk", *PRODUCT), "product_sk", "product_sk")
-    )
+    return s.star_sales("transaction_year", *columns, product=PRODUCT)
 
 
 FROM_PRODUCTS = "FROM c_sales JOIN c_products USING (product_sk)"

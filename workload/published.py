@@ -13,7 +13,7 @@ SINCE, SINCE_LATER = date(1998, 1, 1), date(1998, 6, 1)
 COUNTRY = "NATION_3"
 
 SALES = (
-    "transaction_id", "transaction_date_sk", "product_sk", "store_sk", "return_flag", "quantity_sold",
+    "transaction_id", "transaction_date_sk", "return_flag", "quantity_sold",
     "gross_revenue", "discount_amount", "cost_of_goods_sold", "gross_margin", "net_revenue_usd",
 )
 STAR_JOIN = """FROM c_sales f JOIN c_dates d ON d.date_sk = f.transaction_date_sk
@@ -23,11 +23,12 @@ ROLLUP_KEYS = "year_num, quarter_name, month_name, division_name, category_name,
 add(
     "q_rollup_revenue",
     lambda s: reports.revenue_rollup(
-        s.sales("product_sk", "store_sk", "transaction_date_sk", "return_flag", "quantity_sold", "net_revenue_usd",
-                "gross_revenue", "discount_amount", "cost_of_goods_sold", "gross_margin"),
+        s.star_sales(
+            "transaction_date_sk", "return_flag", "quantity_sold", "net_revenue_usd", "gross_revenue",
+            "discount_amount", "cost_of_goods_sold", "gross_margin",
+            product=("division_name", "category_name"), store=("region_name", "country_name"),
+        ),
         s.dates("date_sk", "year_num", "quarter_name", "month_name"),
-        s.products("product_sk", "division_name", "category_name"),
-        s.stores("store_sk", "region_name", "country_name"),
     ),
     f"""SELECT {ROLLUP_KEYS}, {money("net_revenue_usd")} AS total_net_revenue, {units("quantity_sold")} AS total_units_sold,
   {money("gross_revenue")} AS total_gross_revenue, {money("discount_amount")} AS total_discount,
@@ -68,8 +69,8 @@ FROM (SELECT year_num, quarter_name, category_name, region_name, {money("net_rev
 
 def ratio_report(s):
     return reports.non_additive_ratios(
-        s.sales(*SALES), s.dates("date_sk", "year_num", "quarter_name"), s.products("product_sk", "category_name"),
-        s.stores("store_sk", "region_name"),
+        s.star_sales(*SALES, product=("category_name",), store=("region_name",)),
+        s.dates("date_sk", "year_num", "quarter_name"),
     )
 
 
@@ -91,10 +92,11 @@ WHERE return_flag = 'N' GROUP BY GROUPING SETS (
 
 
 def drill_report(s):
-    sales = s.sales("product_sk", "transaction_date_sk", "return_flag", "quantity_sold", "gross_margin", "net_revenue_usd")
-    return reports.hierarchy_drill(
-        sales, s.dates("date_sk", *reports.DATE_LEVELS), s.products("product_sk", *reports.PRODUCT_LEVELS)
+    sales = s.star_sales(
+        "transaction_date_sk", "return_flag", "quantity_sold", "gross_margin", "net_revenue_usd",
+        product=reports.PRODUCT_LEVELS,
     )
+    return reports.hierarchy_drill(sales, s.dates("date_sk", *reports.DATE_LEVELS))
 
 
 add("q_hierarchy_grouping_sets", drill_report, DRILL_SQL)

@@ -7,9 +7,9 @@ product, and key arithmetic picks channels, reasons and the like.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -217,10 +217,23 @@ class Star:
         }
         return joined.select(*[known[c]().alias(c) for c in columns or known])
 
-    def sales(self, *columns: str) -> DataFrame:
+    def sales(self, *columns: str, carried: dict[str, list[str]] | None = None) -> DataFrame:
+        """Columns of the sales fact, optionally with attributes of product and store."""
         wanted = columns or (*sales.LINE_COLUMNS, *sales.PRICE_COLUMNS, *sales.STORE_COLUMNS, *sales.USD_COLUMNS)
-        lines = self.lines(*sales.needed_line_columns(wanted))
-        return sales.sales_columns(lines, self.prices, self._store_facts, tuple(wanted), TIERS)
+        carried = carried or {}
+        lines = self.lines(*sales.needed_line_columns(wanted, carried))
+        return sales.sales_columns(
+            lines, lambda c: self.products(*c), lambda c: self.stores(*c), wanted, TIERS,
+            carried.get("product", ()), carried.get("store", ()),
+        )
+
+    def star_sales(self, *columns: str, product: tuple[str, ...] = (), store: tuple[str, ...] = ()) -> DataFrame:
+        """Sales with attributes of product and store under their own names, without
+        sales of unknown products or stores."""
+        carried = {e: list(a) for e, a in (("product", product), ("store", store)) if a}
+        named = {f"_{e}_{a}": a for e, attributes in carried.items() for a in attributes}
+        found = [F.col(f"_{e}_{attributes[0]}").isNotNull() for e, attributes in carried.items()]
+        return self.sales(*columns, carried=carried).where(reduce(Column.__and__, found)).withColumnsRenamed(named)
 
     def _store_facts(self) -> DataFrame:
         return self.stores("store_sk", "region_code", "is_digital")
@@ -309,10 +322,14 @@ class Star:
     # --- metric layers ---------------------------------------------------------------
 
     def metric_sources(self) -> Sources:
-        def of(method: Callable[..., DataFrame]) -> Callable[[list[str]], DataFrame]:
-            return lambda columns: method(*columns)
-
+        """Prices come from the product table and currencies from the store table,
+        so the fact carries the attributes of both."""
         return Sources(
-            fact=of(self.sales),
-            entities={"store": of(self.stores), "product": of(self.products), "customer": of(self.customers)},
+            fact=lambda columns, carried=None: self.sales(*columns, carried=carried),
+            entities={
+                "store": lambda c: self.stores(*c),
+                "product": lambda c: self.products(*c),
+                "customer": lambda c: self.customers(*c),
+            },
+            carried=frozenset({"product", "store"}),
         )
