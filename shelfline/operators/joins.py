@@ -73,16 +73,17 @@ def left_composite(
 def valid_promotion(
     sales: DataFrame, promotions: DataFrame, day: str = "transaction_date", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Keep a sale's promotion only if the sale falls in its validity; never drop the sale."""
-    valid = promotions.select(
-        F.col("promotion_sk").alias("_promo"),
-        F.col("start_date").alias("_from"),
-        F.col("end_date").alias("_to"),
-        *keep,
+    """Keep a sale's promotion only if the sale falls in its validity; never drop
+    the sale. ``keep`` names promotion columns to add, NULL where none is valid.
+
+    A promotion has one validity, so this is a lookup by key whose result is
+    cleared outside the dates; most sales have no promotion at all."""
+    offers = promotions.select(
+        "promotion_sk", F.col("start_date").alias("_from"), F.col("end_date").alias("_to"), *keep
     )
-    in_range = (F.col("promotion_sk") == F.col("_promo")) & F.col(day).between(F.col("_from"), F.col("_to"))
-    joined = sales.join(broadcast_if_small(valid), in_range, "left")
-    return joined.withColumn("promotion_sk", F.col("_promo")).drop("_promo", "_from", "_to")
+    found = many_to_one(sales, offers, "promotion_sk")
+    valid = F.col(day).between(F.col("_from"), F.col("_to"))
+    return found.withColumns({c: F.when(valid, F.col(c)) for c in ("promotion_sk", *keep)}).drop("_from", "_to")
 
 
 def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
@@ -165,15 +166,16 @@ def with_first_match(left: DataFrame, right: DataFrame, key: str, value: str, al
 
 
 def pair_in_order(
-    left: DataFrame, right: DataFrame, group: str, left_key: str, right_key: str, right_cols: Sequence[str]
+    left: DataFrame, right: DataFrame, group: str, left_key: str, right_key: str, takes_part: str
 ) -> DataFrame:
-    """Give the n-th left row of a group the n-th right row of the same group.
-
-    Both sides are numbered without putting a whole group into one task."""
-    numbered_left = ordinal_within(left, [group], left_key, alias="_n")
-    numbered_right = ordinal_within(right.select(group, right_key, *right_cols), [group], right_key, alias="_rn")
-    numbered_right = numbered_right.select(
-        F.col(group).alias("_group"), "_rn", *dict.fromkeys([right_key, *right_cols])
-    )
+    """Give the n-th left row of a group, counting the rows whose ``takes_part`` is
+    true, the key of the n-th right row of the same group; NULL for all others.
+
+    Both sides are numbered without putting a whole group into one task. Rows
+    that take no part get negative numbers: they match nothing and stay spread."""
+    numbered_left = ordinal_within(left, [group, takes_part], left_key, alias="_n")
+    numbered_left = numbered_left.withColumn("_n", F.when(F.col(takes_part), F.col("_n")).otherwise(-F.col("_n")))
+    numbered_right = ordinal_within(right.select(group, right_key), [group], right_key, alias="_rn")
+    numbered_right = numbered_right.select(F.col(group).alias("_group"), "_rn", right_key)
     same = (F.col(group) == F.col("_group")) & (F.col("_n") == F.col("_rn"))
-    return numbered_left.join(numbered_right, same, "left").drop("_group", "_rn")
+    return numbered_left.join(numbered_right, same, "left").drop("_group", "_rn", "_n")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline import params
-from shelfline.functions.dates import date_to_sk
+from shelfline.functions.dates import date_to_sk, day_ordinal
 from shelfline.functions.ratios import round_half_up
 from shelfline.functions.text import stable_key
 from shelfline.operators.windows import running_total
@@ -36,17 +36,22 @@ def stockout(available_qty: Column) -> Column:
     return F.when(available_qty == 0, "Y").otherwise("N")
 
 
+def _snapshot_days(every: str, first: Column, start: Column, stop: Column) -> Column:
+    """Snapshot days from ``start`` to ``stop``, NULL if there are none: month ends,
+    or every seventh day counted from ``first``."""
+    if every == "month":
+        months = F.sequence(F.trunc(start, "month"), F.trunc(stop, "month"), F.expr("interval 1 month"))
+        return F.when(start <= stop, F.filter(F.transform(months, F.last_day), lambda d: d <= stop))
+    due = F.date_add(start, F.pmod(F.datediff(first, start), F.lit(7)))
+    return F.when(due <= stop, F.sequence(due, stop, F.expr("interval 7 days")))
+
+
 def snapshot_grid(movements: DataFrame, keys: Sequence[str], day: str, last_day: date, every: str) -> DataFrame:
-    """Snapshot days of each stocked pair, from its first movement on: month ends
-    or every seventh day. Only pairs that moved get rows."""
+    """Snapshot days of each stocked pair, from its first movement on. Only pairs
+    that moved get rows."""
     starts = movements.groupBy(*keys).agg(F.min(day).alias("_first"))
-    until = F.lit(last_day)
-    if every == "month":
-        months = F.sequence(F.trunc("_first", "month"), until, F.expr("interval 1 month"))
-        dates = F.filter(F.transform(months, F.last_day), lambda d: d <= until)
-    else:
-        dates = F.sequence(F.col("_first"), until, F.expr("interval 7 days"))
-    return starts.where(F.col("_first") <= until).select(*keys, F.explode(dates).alias(day))
+    days = _snapshot_days(every, F.col("_first"), F.col("_first"), F.lit(last_day))
+    return starts.select(*keys, F.explode(days).alias(day))
 
 
 def stock_levels(
@@ -54,25 +59,32 @@ def stock_levels(
 ) -> DataFrame:
     """Stock at each snapshot day, carried forward from the movements before it.
 
-    ``movements`` holds units_received and units_sold per key and day. Snapshot
-    days are stacked onto them as rows without movement, so one running sum
-    per pair gives every level, with no as-of join."""
+    ``movements`` holds units_received and units_sold per key and day. Each day's
+    level holds until the day before the next movement, so it fills the snapshot
+    days of that stretch: one pass over the movements, no spine and no as-of join."""
     daily = movements.groupBy(*keys, day).agg(
-        F.sum("units_received").alias("units_received"), F.sum("units_sold").alias("units_sold")
-    )
-    grid = snapshot_grid(daily, keys, day, last_day, every)
-    stacked = daily.withColumn("_snapshot", F.lit(0)).unionByName(
-        grid.select(*keys, day, F.lit(0).alias("units_received"), F.lit(0).alias("units_sold"), F.lit(1).alias("_snapshot"))
+        F.sum("units_received").alias("_in"), F.sum("units_sold").alias("_out")
+    ).withColumn("_net", F.col("_in") - F.col("_out"))
+    of_pair = Window.partitionBy(*keys)
+    following = F.lead(day).over(of_pair.orderBy(day_ordinal(F.col(day))))
+    levels = daily.select(
+        *keys,
+        F.col(day).alias("_day"),
+        "_in",
+        "_out",
+        (F.lit(opening) + running_total("_net", keys, day)).cast("bigint").alias("on_hand_qty"),
+        F.min(day).over(of_pair).alias("_first"),
+        F.least(F.date_sub(following, 1), F.lit(last_day)).alias("_until"),
     )
-    merged = stacked.groupBy(*keys, day).agg(
-        F.sum("units_received").alias("units_received_today"),
-        F.sum("units_sold").alias("units_sold_today"),
-        F.max("_snapshot").alias("_snapshot"),
-    ).withColumn("_net", F.col("units_received_today") - F.col("units_sold_today"))
-    return (
-        merged.withColumn("on_hand_qty", (F.lit(opening) + running_total("_net", keys, day)).cast("bigint"))
-        .where("_snapshot = 1")
-        .drop("_snapshot", "_net")
+    days = _snapshot_days(every, F.col("_first"), F.col("_day"), F.col("_until"))
+    filled = levels.select(*keys, F.explode(days).alias(day), "on_hand_qty", "_in", "_out", "_day")
+    moved_today = F.col(day) == F.col("_day")
+    return filled.select(
+        *keys,
+        day,
+        F.when(moved_today, F.col("_in")).otherwise(0).alias("units_received_today"),
+        F.when(moved_today, F.col("_out")).otherwise(0).alias("units_sold_today"),
+        "on_hand_qty",
     )
 
 

@@ -81,17 +81,14 @@ def session_funnel(events: DataFrame) -> DataFrame:
 def attribute_conversions(sessions: DataFrame, digital_sales: DataFrame) -> DataFrame:
     """Link the n-th converting session of a day to the n-th digital sale of that
     day. When the sales run out, the session no longer counts as converted."""
-    buying = sessions.where("purchase_completed_flag")
+    sold = digital_sales.select(
+        F.col("transaction_date").alias("session_date"), F.col("transaction_sk").alias("purchase_transaction_sk")
+    )
     linked = pair_in_order(
-        buying,
-        digital_sales.select(F.col("transaction_date").alias("session_date"), "transaction_sk"),
-        group="session_date", left_key="session_sk", right_key="transaction_sk", right_cols=[],
-    ).withColumnRenamed("transaction_sk", "purchase_transaction_sk").drop("_n")
-    others = sessions.where(~F.col("purchase_completed_flag")).withColumn(
-        "purchase_transaction_sk", F.lit(None).cast("bigint")
+        sessions, sold, "session_date", "session_sk", "purchase_transaction_sk", takes_part="purchase_completed_flag"
     )
     found = F.col("purchase_transaction_sk").isNotNull()
-    return linked.unionByName(others).withColumns(
+    return linked.withColumns(
         {
             "purchase_completed_flag": found,
             "purchase_revenue": F.when(found, F.col("cart_value").cast("decimal(14,4)")),

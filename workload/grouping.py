@@ -222,7 +222,7 @@ def union_all(s: Star) -> DataFrame:
 
 add(
     "set_difference",
-    lambda s: s.customers("customer_sk").subtract(s.sales("customer_sk")),
+    lambda s: s.customers("customer_sk").subtract(s.sales("customer_sk").distinct()),
     "SELECT customer_sk FROM c_customers EXCEPT SELECT customer_sk FROM c_lines",
 )
 add(

@@ -317,7 +317,8 @@ class Star:
 
     def inventory(self, every: str = "month") -> DataFrame:
         valued = self.items().select("product_sk", "unit_cost", "unit_retail")
-        return inventory.build_inventory_snapshot(self.levels(every).join(valued, "product_sk"), "move_date")
+        stocked = many_to_one(self.levels(every), valued, "product_sk", how="inner")
+        return inventory.build_inventory_snapshot(stocked, "move_date")
 
     # --- metric layers ---------------------------------------------------------------
 
