@@ -20,7 +20,7 @@ from shelfline.functions.text import split_first, stable_key
 from shelfline.metrics.model import Sources
 from shelfline.operators.filters import admissible_channels, pick
 from shelfline.operators.joins import many_to_one
-from shelfline.operators.sizing import broadcast_if_small
+from shelfline.operators.sizing import broadcast_if_small, spread_if_few_splits
 from shelfline.rules import calendar, customers, inventory, products, promotions, returns, sales, sessions, stores
 from shelfline.sources.readers import read_parquet
 
@@ -182,9 +182,10 @@ class Star:
     def lines(self, *columns: str) -> DataFrame:
         """Ticket lines with keys and rates, before pricing; all columns or the named ones."""
         orders = self.raw("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("_day"))
-        joined = self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+        joined = spread_if_few_splits(self.raw("lineitem"), "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
         order, store, day = F.col("l_orderkey"), F.col("l_suppkey"), F.col("_day")
-        quantity = F.col("l_quantity").cast("decimal(6,0)")
+        # Units are whole numbers; by way of an integer the cast is much cheaper.
+        quantity = F.col("l_quantity").cast("int").cast("decimal(6,0)")
         digital = F.pmod(store, F.lit(5)) == 0
 
         def line_key() -> Column:
@@ -297,7 +298,7 @@ class Star:
         """Units received and sold per item, site and day."""
         item = self.raw("part").select("p_partkey", stock_item(F.col("p_brand"), F.col("p_type")).alias("_item"))
         site = self.raw("supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("_site"))
-        lines = self.raw("lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_shipdate")
+        lines = spread_if_few_splits(self.raw("lineitem"), "l_partkey").select("l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_shipdate")
         placed = many_to_one(
             many_to_one(lines, item, "l_partkey", "p_partkey", "inner"), site, "l_suppkey", "s_suppkey", "inner"
         )
