@@ -13,13 +13,18 @@ from shelfline.schemas import TABLES
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV with a declared schema; nothing is inferred."""
-    return spark.read.format("csv").option("header", "true").schema(schema).load(path)
+    """Headered CSV with a declared schema; nothing is inferred. A header that
+    does not list the schema's columns in order is an error, not a silent shift."""
+    reader = spark.read.format("csv").option("header", "true").option("enforceSchema", "false")
+    return reader.schema(schema).load(path)
 
 
 def read_csv_like(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Headered CSV with the schema of a catalog table."""
-    return read_csv(spark, path, spark.table(table).schema)
+    """Headered CSV with the column types of a catalog table, in the file's column
+    order: a partitioned table lists its partition columns last, a file may not."""
+    known = {f.name: f for f in spark.table(table).schema.fields}
+    header = spark.read.option("header", "true").csv(path).columns
+    return read_csv(spark, path, T.StructType([known[c] for c in header]))
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

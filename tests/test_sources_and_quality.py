@@ -98,3 +98,69 @@ def test_kpis_of_nothing(spark):
     row = kpis.kpi_profitability(sales).first()
     assert (row.gross_margin_pct, row.avg_order_value, row.transaction_count) == (0.0, 0.0, 0)
     assert kpis.kpi_returns(sales, spark.createDataFrame([], "refund_amount DECIMAL(14,4)")).first().return_rate_pct is None
+
+
+def sales_rows(spark):
+    """Twelve priced lines on three days, in the declared shape."""
+    base = spark.range(12).select(
+        F.col("id").alias("transaction_sk"),
+        F.concat(F.lit("t"), F.floor(F.col("id") / 2)).alias("transaction_id"),
+        (F.col("id") % 2 + 1).alias("line_number"),
+        F.element_at(F.array(F.lit(20240530), F.lit(20240531), F.lit(20240601)), (F.col("id") % 3 + 1).cast("int")).alias("transaction_date_sk"),
+        F.lit(7).alias("product_sk"), F.lit(1).alias("store_sk"), F.lit(1).alias("channel_sk"),
+        *[F.lit(10).alias(c) for c in (
+            "unit_retail_price", "unit_cost_price", "gross_revenue", "net_revenue", "total_transaction_amount",
+            "cost_of_goods_sold", "gross_margin", "net_revenue_usd",
+        )],
+        F.lit("POS_SYSTEM").alias("source_system"),
+    )
+    return writers.conform(base, TABLES["fact_sales_transactions"])
+
+
+def test_date_bounds_prune_partitions_of_the_stored_fact(spark, tmp_path):
+    from shelfline.metrics.layers import METRIC_VIEW
+    from shelfline.metrics.model import Condition, Sources
+    from shelfline.metrics.query import metric_query
+    from shelfline.plans.staging import stg_fact_sales
+
+    spec = TABLES["fact_sales_transactions"]
+    writers.write_star({spec.name: sales_rows(spark)}, str(tmp_path))
+    staged = stg_fact_sales(readers.read_star_table(spark, str(tmp_path), spec.name))
+    answer = metric_query(
+        METRIC_VIEW, Sources(lambda c: staged.select(*c), {}), ["total_net_revenue", "transaction_count"],
+        ["transaction_date"], where=[Condition("transaction_date", ">=", date(2024, 6, 1))],
+    )
+    assert [(r.transaction_date, r.total_net_revenue, r.transaction_count) for r in answer.collect()] == [
+        (date(2024, 6, 1), Decimal("40.0000"), 4)
+    ]
+    plan = answer._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    # the bound on the derived date has become a filter on the partition column
+    assert "cast(transaction_date_sk" in filters
+
+
+def test_load_job(spark, tmp_path):
+    """Files list the partition column first; the table keeps it last."""
+    from shelfline.sources.load import load_csv_tables
+
+    spec = TABLES["fact_sales_transactions"]
+    writers.create_table(spark, spec, "loaded_sales", str(tmp_path / "table"))
+    rows = sales_rows(spark)
+    assert spark.table("loaded_sales").columns != rows.columns
+    writers.write_csv(rows, str(tmp_path / "csv"))
+    for _ in range(2):
+        report = load_csv_tables(spark, {"loaded_sales": str(tmp_path / "csv")}, {"loaded_sales": spec.partition_by})
+        assert [tuple(r) for r in report.collect()] == [("loaded_sales", 12)]
+    back = spark.table("loaded_sales").select(*rows.columns).orderBy("transaction_sk")
+    kept = [c for c in rows.columns if c != "load_timestamp"]
+    assert back.select(*kept).collect() == rows.orderBy("transaction_sk").select(*kept).collect()
+    writers.drop_tables(spark, ["loaded_sales"])
+
+
+def test_csv_header_must_match(spark, tmp_path):
+    import pytest
+
+    spark.range(2).select(F.col("id").alias("b"), F.lit(1).alias("a")).write.option("header", True).csv(str(tmp_path / "c"))
+    schema = spark.createDataFrame([], "a INT, b BIGINT").schema
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path / "c"), schema).collect()
