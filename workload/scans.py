@@ -87,7 +87,7 @@ def drop_if_exists(s: Star) -> DataFrame:
 
 @query(
     "apply_column_defaults",
-    """SELECT transaction_sk, coalesce(nullif(discount_amount, 0), 0) AS discount_amount,
+    """SELECT transaction_sk, CAST(coalesce(nullif(discount_amount, 0), 0) AS DECIMAL(12,4)) AS discount_amount,
   coalesce(nullif(return_flag, 'N'), 'N') AS return_flag, coalesce(nullif(currency_code, 'USD'), 'USD') AS currency_code,
   CAST(coalesce(nullif(exchange_rate, 1), 1.0) AS DECIMAL(10,6)) AS exchange_rate FROM c_sales""",
 )
