@@ -26,7 +26,7 @@ from shelfline.metrics.model import (
     Windowed,
 )
 from shelfline.operators import windows
-from shelfline.operators.joins import many_to_one, merge_results, on_spine
+from shelfline.operators.joins import many_to_one, merge_results
 
 DAY = "_day"
 
@@ -235,7 +235,7 @@ def _over_days(query: _Query) -> DataFrame:
     plain = query.simple.values() if query.by_day else ()
     daily = _history(query, [*summed, *shifted.values(), *plain]).groupBy(*day_keys).agg(*aggs)
     if query.layer.spine:
-        daily = on_spine(windows.spine_days(daily, DAY, keys), daily, DAY, keys)
+        daily = windows.fill_days(daily, DAY, keys)
     for name, metric in counted.items():
         if metric.span != "trailing":
             raise ValueError(f"{name}: distinct counts are only windowed over trailing days")

@@ -51,6 +51,18 @@ def spine_days(daily: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFram
     return ends.where(F.col("_first").isNotNull()).select(*keys, days)
 
 
+def fill_days(daily: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The same rows as a left join of ``spine_days`` with ``daily``, in one pass:
+    each row also yields the empty days up to the next row of its group."""
+    following = F.lead(day).over(_by_day(keys, day))
+    until = F.coalesce(F.date_sub(following, 1), F.col(day))
+    values = [c for c in daily.columns if c != day and c not in keys]
+    stretch = F.sequence(F.col(day), F.col("_until"), F.expr("interval 1 day"))
+    spread = daily.withColumn("_until", until).select("*", F.explode(stretch).alias("_filled"))
+    own = [F.when(F.col("_filled") == F.col(day), F.col(v)).alias(v) for v in values]
+    return spread.select(*keys, F.col("_filled").alias(day), *own)
+
+
 def membership_changes(
     df: DataFrame, keys: Sequence[str], day: str, member: str, days: int, include_today: bool, alias: str
 ) -> DataFrame:
