@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import exact_dedup, fingerprints, language_id, minhash_dedup, mixing, quality_classifier, token_counts
+from shelfline.llm import exact_dedup, fingerprints, language_id, minhash_dedup, mixing, quality_classifier, repeated_passages, sentence_pieces, token_counts, web_archives
 from shelfline.llm.common import crc_mod, table, tokenizer_path
 
 
@@ -16,6 +16,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archives.archive_pages(table(spark, sf_dir, "pages")).drop("record_id", "url")
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -24,6 +28,20 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether they decode to it again."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").withColumn("original", F.sha2(F.translate(F.coalesce("text", F.lit("")), "\u2581", " "), 256))
+    encoded = sentence_pieces.encode_documents(docs, path, keep=("original",))
+    decoded = sentence_pieces.decode_documents(encoded, path)
+    text_sha256 = F.sha2("text", 256)
+    return decoded.select("doc_id", "n_tokens", "ids", text_sha256.alias("decoded_sha256"), (text_sha256 == F.col("original")).alias("round_trip"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_decisions(table(spark, sf_dir, "documents"))
 
@@ -49,12 +67,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_warc_archives": op2_warc_archives,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_repeated_passages": op5_repeated_passages,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_source_mix": op7_source_mix,
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
@@ -65,3 +87,6 @@ ORACLES: dict[str, str] = {
         from d join g on d.text = g.text
     """,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

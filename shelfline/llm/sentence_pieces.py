@@ -19,15 +19,20 @@ rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 SPACE = "▁"
+_SPACED = re.compile(r" +[^ ]*")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 
 
@@ -62,6 +67,7 @@ class Pieces:
 
     def __init__(self, model: bytes):
         self.ids: dict[str, int] = {}
+        self.names: list[str] = []
         self.score: list[float] = []
         self.bytes: list[bytes] = []
         self.byte_ids: dict[int, int] = {}
@@ -79,13 +85,20 @@ class Pieces:
                     raise ValueError("only models with the identity normaliser that keep all white space are supported")
         self.longest = max(map(len, self.ids), default=1)
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids if len(p) > 1):
-            self.words = re.compile(r"(?s).+")  # pieces reach across words
+            self.by_words = False  # pieces reach across words
+            self.words = re.compile(r"(?s).+")
         else:
-            self.words = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
+            self.by_words = True
+            # neither does one join a letter to one of these marks after it
+            before = {m: {p[k - 1] for p in self.ids for k in range(1, len(p)) if p[k] == m} for m in ".,;:!?"}
+            marks = "".join(m for m, chars in before.items() if not any(c.isalpha() for c in chars))
+            ended = f"{SPACE}*+[^\\W\\d_]++(?=[{marks}])|" if marks else ""
+            self.words = re.compile(f"{ended}{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
 
     def _piece(self, field: dict) -> None:
         name = field[1].decode("utf-8")
         kind, i = field.get(3, _NORMAL), len(self.score)
+        self.names.append(name)
         self.score.append(float(np.frombuffer(field.get(2, b"\0" * 4), "<f4")[0]))
         if kind == _BYTE:
             self.byte_ids[int(name[3:5], 16)] = i
@@ -106,123 +119,182 @@ class Pieces:
 class Encoder:
     """Streaming Viterbi over one model."""
 
-    def __init__(self, pieces: Pieces, remembered: int = 300_000):
+    def __init__(self, pieces: Pieces, remembered: int = 400_000):
         self.pieces = pieces
         self.bound = remembered
         self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-
-    def _merged(self, text: str) -> list[str]:
-        """Characters merged in order of score, the leftmost first among equals."""
-        parts, score, ids = list(text), self.pieces.score, self.pieces.ids
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                i = ids.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or score[i] > best):
-                    best, at = score[i], k
-            if best is None:
+        self.word_ids: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
+        self.length = [len(p) for p in pieces.names]
+        # a piece that its own characters do not merge to is never used
+        usable = {p: i for p, i in pieces.ids.items() if not pieces.bpe or self._merged(p) == [i]}
+        self.missing = min(pieces.score, default=0.0) - 10.0  # the score of a character without a piece
+        # the ends of pieces: the id of a piece, -1 for what is only the end of longer ones
+        self.endings = {name[k:]: -1 for name in usable for k in range(1, len(name))} | usable
+
+    def _merged(self, text: str) -> list[int | None]:
+        """Characters merged in order of score, the leftmost first among equals; None for a character without a piece."""
+        ids, names, score = self.pieces.ids, self.pieces.names, self.pieces.score
+        parts = [ids.get(c) for c in text]
+
+        def joined(k: int) -> int | None:
+            a, b = parts[k], parts[k + 1]
+            return None if a is None or b is None else ids.get(names[a] + names[b])
+
+        pairs = [joined(k) for k in range(len(parts) - 1)]
+        while pairs:
+            found = [(-score[i], k) for k, i in enumerate(pairs) if i is not None]
+            if not found:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            at = min(found)[1]
+            parts[at : at + 2] = [pairs[at]]
+            del pairs[at]
+            for k in (at - 1, at):
+                if 0 <= k < len(pairs):
+                    pairs[k] = joined(k)
         return parts
 
-    def _fits(self, last: str, piece: str) -> bool:
-        """Whether merging gives just these two neighbours; `last` is empty at the start."""
-        key = (last, piece)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            known = self.pairs[key] = self._merged(last + piece) == ([last, piece] if last else [piece])
-        return known
-
-    def stream(self, text: str) -> Iterator[str]:
-        """The segmentation, yielded as far as it is final. Characters without a piece are segments of their own."""
-        ids, score, longest, bpe = self.pieces.ids, self.pieces.score, self.pieces.longest, self.pieces.bpe
-        # for each position of the window: the last segment, and the best sum of scores
+    def _step(self, text: str, end: int, base: int, last: list[int], best: list[float]) -> None:
+        """Appends the piece that ends at `end` and the sum of scores; -end stands for a character without a piece."""
+        endings, score, pairs = self.endings.get, self.pieces.score, self.pairs
+        # the pieces that end here, the longest last; no piece ends in what is not the end of any
+        start, ending = end - 1, []
+        while start >= base and (i := endings(text[start:end])) is not None:
+            if i >= 0:
+                ending.append((start, i))
+            start -= 1
+        found, top = -end, 0.0
+        if self.pieces.bpe:
+            for start, i in reversed(ending):
+                before = last[start - base]
+                key = before << 32 | i
+                if before < 0 or (fits := pairs.get(key)) or fits is None and self._first_look(key):
+                    found = i
+                    break
+        else:
+            top = best[end - 1 - base] + self.missing
+            for start, i in reversed(ending):
+                if (total := best[start - base] + score[i]) > top:
+                    found, top = i, total
+        last.append(found)
+        best.append(top)
+
+    def stream(self, text: str) -> Iterator[list[int]]:
+        """Ids of pieces, yielded as far as they are final; -1 - k stands for a character without a piece at position k."""
         base = 0  # all before it is final
-        last: list[str] = [""]
-        best: list[float] = [0.0]
-        missing = min(score, default=0.0) - 10.0
+        last = [-1]  # for each position of the window the piece that ends there
+        best = [0.0]  # and the sum of scores up to it
         for end in range(1, len(text) + 1):
-            found, top = None, 0.0
-            for start in range(max(base, end - longest), end):
-                piece = text[start:end]
-                if start < end - 1 and piece not in ids:
-                    continue
-                if bpe:
-                    if start == end - 1 and piece not in ids or self._fits_after(last[start - base], piece):
-                        found = piece
-                        break
-                else:
-                    i = ids.get(piece)
-                    total = best[start - base] + (missing if i is None else score[i])
-                    if found is None or total > top:
-                        found, top = piece, total
-            last.append(found or text[end - 1])
-            best.append(top)
-            if end - base >= 4 * longest:
-                final = self._meeting(last, base, end, longest)
+            self._step(text, end, base, last, best)
+            if end - base >= 4 * self.pieces.longest:
+                final = self._meeting(last, base, end)
                 if final > base:
-                    yield from self._path(last, base, final)
-                    keep = final - base
-                    last, best = last[keep:], best[keep:]
-                    # the segment that ends at the boundary still decides what may follow it
-                    base = final
-        yield from self._path(last, base, len(text))
-
-    def _fits_after(self, last: str, piece: str) -> bool:
-        return self._fits(last if last in self.pieces.ids else "", piece)
-
-    @staticmethod
-    def _meeting(last: list[str], base: int, end: int, longest: int) -> int:
+                    yield self._path(last, base, final)
+                    last, best, base = last[final - base :], best[final - base :], final
+        yield self._path(last, base, len(text))
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words. In order of the alphabet, so that each goes on from what it shares with the one before."""
+        if len(self.pairs) > 2_000_000:
+            self.pairs.clear()
+        done, at, last, best = {}, "", [-1], [0.0]
+        for word in sorted(words):
+            if len(word) > 64:
+                done[word] = self._ids(word, (i for final in self.stream(word) for i in final))
+                continue
+            same = 0
+            for a, b in zip(at, word, strict=False):
+                if a != b:
+                    break
+                same += 1
+            del last[same + 1 :], best[same + 1 :]
+            for end in range(same + 1, len(word) + 1):
+                self._step(word, end, 0, last, best)
+            at = word
+            done[word] = self._ids(word, self._path(last, 0, len(word)))
+        return done
+
+    def _ids(self, word: str, pieces: Iterable[int]) -> bytes:
+        out: list[int] = []
+        for i in pieces:
+            if i < 0:
+                out += self.pieces.fallback(word[-i - 1])
+            else:
+                out.append(i)
+        return array("i", out).tobytes()
+
+    def _first_look(self, key: int) -> bool:
+        a, b = key >> 32, key & 0xFFFFFFFF
+        fits = self.pairs[key] = self._merged(self.pieces.names[a] + self.pieces.names[b]) == [a, b]
+        return fits
+
+    def _back(self, piece: int) -> int:
+        return 1 if piece < 0 else self.length[piece]
+
+    def _meeting(self, last: list[int], base: int, end: int) -> int:
         """The last boundary that the paths of all positions which may still be continued have in common."""
-        heads = set(range(end - longest + 1, end + 1))
+        heads = set(range(end - self.pieces.longest + 1, end + 1))
         while len(heads) > 1:
             at = max(heads)
-            heads.discard(at)
             if at <= base:
                 return base
-            heads.add(at - len(last[at - base]))
+            heads.discard(at)
+            heads.add(at - self._back(last[at - base]))
         return max(heads.pop(), base)
 
-    @staticmethod
-    def _path(last: list[str], base: int, end: int) -> list[str]:
+    def _path(self, last: list[int], base: int, end: int) -> list[int]:
         out = []
         while end > base:
             out.append(last[end - base])
-            end -= len(out[-1])
+            end -= self._back(out[-1])
         return out[::-1]
 
-    def _word(self, word: str) -> bytes:
-        ids = self.pieces.ids
-        out: list[int] = []
-        for piece in self.stream(word):
-            i = ids.get(piece)
-            out += self.pieces.fallback(piece) if i is None else [i]
-        return np.array(out, np.int32).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The ids as 32-bit integers."""
-        if not text:
-            return b""
-        words = self.pieces.words.findall((SPACE if self.pieces.prefix else "") + text.replace(" ", SPACE))
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > self.bound:
+    def _split(self, text: str) -> list[str]:
+        """Parts between spaces. A part stands for itself after one space; after several it has them in front."""
+        text = text.replace(SPACE, " ")
+        if "  " not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        return [p[1:] if p[1:2] != " " and len(p) > 1 else p for p in _SPACED.findall(" " + text)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as 32-bit integers."""
+        if not (self.pieces.by_words and self.pieces.prefix):
+            front = SPACE if self.pieces.prefix else ""
+            spaced = [front + t.replace(" ", SPACE) if t else "" for t in texts]
+            return [self._ids(t, (i for final in self.stream(t) for i in final)) for t in spaced]
+        split = [self._split(t) if t else [] for t in texts]
+        known, word_ids = self.known, self.word_ids
+        missing = set(chain.from_iterable(split)).difference(known)
+        if len(known) + len(missing) > self.bound:
             known.clear()
-        out = []
-        for word in words:
-            got = known.get(word)
-            if got is None:
-                got = self._word(word)
-                if len(word) <= 64:
-                    known[word] = got
-            out.append(got)
-        return b"".join(out)
+            missing = set(chain.from_iterable(split))
+        words = {p: self.pieces.words.findall((p if p[0] == " " else " " + p).replace(" ", SPACE)) for p in missing}
+        fresh = set(chain.from_iterable(words.values())).difference(word_ids)
+        if len(word_ids) + len(fresh) > 2 * self.bound:
+            word_ids.clear()
+            fresh = set(chain.from_iterable(words.values()))
+        word_ids.update(self._learn(fresh))
+        known.update((p, b"".join(map(word_ids.__getitem__, some))) for p, some in words.items())
+        made = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        for part in missing:  # long ones are not remembered
+            if len(part) > 64:
+                del known[part]
+        for word in fresh:
+            if len(word) > 64:
+                del word_ids[word]
+        return made
+
+
+_ENCODERS: dict[bytes, Encoder] = {}
+
+
+def _encoder(model: bytes) -> Encoder:
+    """The worker's encoder of this model; workers go on to further tasks with what they remember."""
+    key = hashlib.sha256(model).digest()
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(Pieces(model))
+    return _ENCODERS[key]
 
 
 def decode(pieces: Pieces, ids: list[int]) -> str:
@@ -242,14 +314,14 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     shared = _pieces_of(docs, model_path)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("text_to_encode"))
     n = len(keep) + 1
-    schema = type(rows.schema)(rows.schema.fields[:n]).add("n_tokens", "long").add("ids", "array<int>")
+    schema = type(rows.schema)(rows.schema.fields[:n]).add("n_tokens", "long").add("ids", ArrayType(IntegerType()))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Pieces(shared.value))
+        encoder = _encoder(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                made = [encoder.encode(t) if t else b"" for t in part.column(n).to_pylist()]
+                made = encoder.encode([t or "" for t in part.column(n).to_pylist()])
                 counts = np.array([len(m) // 4 for m in made], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
