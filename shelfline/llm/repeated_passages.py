@@ -75,27 +75,38 @@ def _anchors(rows: DataFrame, least: int) -> DataFrame:
     return rows.mapInArrow(anchors, "id long, at int, gram long")
 
 
+def _binaries(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * (rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
 def _contexts(rows: DataFrame, least: int) -> DataFrame:
     """From (id, text, places), a row per place: gram, right words, left words (the nearest first), their numbers."""
     right, left = least, least - GRAM
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        names = ["gram", "right", "left", "n_right", "n_left", "id", "at"]
+        steps_right, steps_left = np.arange(right), -1 - np.arange(left)
         for batch in batches:
-            out: list[tuple] = []
-            for id_, text, places in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                hashes = known.of(split_words(text))
-                words = (hashes >> np.uint64(32)).astype(np.uint32)
-                for at in places:
-                    if at + GRAM > len(words):
-                        continue  # another row of the same id
-                    r, lf = words[at : at + right], words[max(0, at - left) : at][::-1]
-                    gram = int(_grams(hashes[at : at + GRAM]).view(np.int64)[0])
-                    out.append((gram, r.tobytes().ljust(4 * right, b"\0"), lf.tobytes().ljust(4 * left, b"\0"), len(r), len(lf), id_, at))
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-            columns = zip(*out, strict=True) if out else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                made: list[tuple] = []
+                for id_, text, places in zip(part.column(0).to_pylist(), utf8(part.column(1)), part.column(2).to_pylist(), strict=True):
+                    hashes = known.of(split_words(text))
+                    at = np.array(places, np.int64)
+                    at = at[at + GRAM <= len(hashes)]  # others are of another row with the same id
+                    if len(at):
+                        words = np.zeros(left + len(hashes) + right, np.uint32)
+                        words[left : left + len(hashes)] = hashes >> np.uint64(32)
+                        grams = _grams(hashes)[at].view(np.int64)
+                        sides = (words[(at + left)[:, None] + steps] for steps in (steps_right, steps_left))
+                        made.append((grams, *sides, len(hashes) - at, at, np.full(len(at), id_)))
+                if made:
+                    grams, r, lf, after, at, ids = (np.concatenate(c) for c in zip(*made, strict=True))
+                    n_right, n_left = np.minimum(after, right).astype(np.int32), np.minimum(at, left).astype(np.int32)
+                    arrays = [pa.array(grams), _binaries(r), _binaries(lf), *map(pa.array, (n_right, n_left, ids, at.astype(np.int32)))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["gram", "right", "left", "n_right", "n_left", "id", "at"])
 
     return rows.mapInArrow(contexts, "gram long, right binary, left binary, n_right int, n_left int, id long, at int")
 
