@@ -30,21 +30,3 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
 def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     size = input_bytes(df)
     return size is not None and size <= limit
-
-
-# Below the lower bound one task is quick enough; above the upper one, per core,
-# a table has splits for every core anyway.
-SPREAD_FROM_BYTES = 4 * 1024 * 1024
-SPREAD_TO_BYTES_PER_CORE = 8 * 1024 * 1024
-
-
-def spread_if_few_splits(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of a small table out over all cores by ``key``.
-
-    Such a table often is one file with one row group, so one task would do all
-    the work up to the first shuffle. Large tables are returned as they are."""
-    size = input_bytes(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size is None or not SPREAD_FROM_BYTES <= size < cores * SPREAD_TO_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, key)

@@ -56,3 +56,22 @@ def test_contract():
 @needs_tables
 def test_flagship(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_calendar_follows_the_data(spark, tmp_path):
+    """Sales before 1995 and after 2001 are within the calendar, whose ends come from the data."""
+    from datetime import date, datetime
+
+    from workload.star import Star
+
+    orders = [(1, 1, "O", 1.0, datetime(1993, 5, 4), "1"), (2, 1, "O", 1.0, datetime(2007, 2, 3), "1")]
+    lines = [(k, 1, 1, 1, 2.0, 3.0, 0.0, 0.0, "N", "O", datetime(2008, 1, 1)) for k in (1, 2)]
+    spark.createDataFrame(orders, "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        lines,
+        "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    star = Star(spark, str(tmp_path))
+    assert (star.epoch, star.horizon, star.calendar_end) == (date(1993, 1, 1), date(2007, 2, 3), date(2008, 12, 31))
+    days = star.dates("full_date")
+    assert days.count() == (date(2008, 12, 31) - date(1993, 1, 1)).days + 1

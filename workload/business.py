@@ -12,7 +12,7 @@ from shelfline.schemas import TABLES
 from workload.oracle import calendar_sql, key60, units
 from workload.registry import add, query
 from workload.scans import CUSTOMER_OUT, PRODUCT_OUT, SALES_OUT, STORE_OUT
-from workload.star import HORIZON, Star
+from workload.star import Star
 
 # --- dimensions ------------------------------------------------------------------------
 
@@ -67,12 +67,14 @@ UNION ALL SELECT DISTINCT {CITY_KEY}, 'CITY', state_code || '_' || upper(substr(
 add(
     "build_dim_channel",
     lambda s: many_to_one(
+        stores.build_dim_channel(s.spark),
         s.sales("channel_sk", "quantity_sold").groupBy("channel_sk").agg(unit_sum("quantity_sold").alias("units")),
-        stores.build_dim_channel(s.spark), "channel_sk",
+        "channel_sk",
     ).select("channel_sk", "channel_name", "channel_category", "channel_type", "is_digital", "is_owned", "units"),
-    f"""SELECT c.*, units FROM (SELECT channel_sk, {units("quantity_sold")} AS units FROM c_lines GROUP BY 1) JOIN (VALUES
-  {', '.join(f"({sk}, '{n}', '{cat}', '{kind}', {dig}, {own})" for sk, _, n, cat, kind, dig, own in stores.CHANNELS)})
-  c(channel_sk, channel_name, channel_category, channel_type, is_digital, is_owned) USING (channel_sk)""",
+    f"""SELECT c.*, units FROM (VALUES
+  {', '.join(f"({sk}, '{stores.channel_name(sk)}', '{cat}', '{kind}', {dig}, {own})" for sk, cat, kind, dig, own in stores.CHANNELS)})
+  c(channel_sk, channel_name, channel_category, channel_type, is_digital, is_owned)
+  LEFT JOIN (SELECT channel_sk, {units("quantity_sold")} AS units FROM c_lines GROUP BY 1) USING (channel_sk)""",
 )
 
 # --- facts ---------------------------------------------------------------------------------
@@ -133,15 +135,15 @@ def promotion_discounts(s: Star) -> DataFrame:
 def dated_lines(s: Star) -> DataFrame:
     """Each order line as an offer that starts on its day and runs 7 to 44 days."""
     days = (F.pmod("order_number", F.lit(38)) + 7).cast("int")
-    return s.lines("transaction_sk", "transaction_date", "order_number").select("transaction_sk", promotions.clamped_end(F.col("transaction_date"), days, HORIZON).alias("end_date"))
+    return s.lines("transaction_sk", "transaction_date", "order_number").select("transaction_sk", promotions.clamped_end(F.col("transaction_date"), days, s.horizon).alias("end_date"))
 
 
-ENDS = "least(transaction_date + CAST(order_number % 38 + 7 AS INTEGER), DATE '2001-08-01')"
+ENDS = "least(transaction_date + CAST(order_number % 38 + 7 AS INTEGER), (SELECT horizon FROM c_span))"
 add("promotion_end_clamped", dated_lines, f"SELECT transaction_sk, {ENDS} AS end_date FROM c_lines")
 add(
     "promotion_status",
-    lambda s: dated_lines(s).withColumn("promotion_status", promotions.status(F.col("end_date"), HORIZON)),
-    f"""SELECT transaction_sk, {ENDS} AS end_date, CASE WHEN {ENDS} >= DATE '2001-08-01' THEN 'ACTIVE' ELSE 'COMPLETED' END
+    lambda s: dated_lines(s).withColumn("promotion_status", promotions.status(F.col("end_date"), s.horizon)),
+    f"""SELECT transaction_sk, {ENDS} AS end_date, CASE WHEN {ENDS} >= (SELECT horizon FROM c_span) THEN 'ACTIVE' ELSE 'COMPLETED' END
   AS promotion_status FROM c_lines""",
 )
 

@@ -14,7 +14,7 @@ from shelfline.rules import inventory, sessions, stores
 from workload.oracle import money
 from workload.published import RETURNED, SOLD, SOLD_AND_RETURNED
 from workload.registry import add, query
-from workload.star import CALENDAR_END, Star
+from workload.star import Star
 
 
 @query(
@@ -162,12 +162,12 @@ def parent_hierarchy(s: Star) -> DataFrame:
 @query(
     "join_cross_grid",
     """SELECT store_sk, week_day, count(*) AS items FROM (SELECT product_sk, store_sk,
-  CAST(unnest(generate_series(CAST(min(move_date) AS TIMESTAMP), TIMESTAMP '2001-12-31', INTERVAL 7 DAY)) AS DATE) AS week_day
+  CAST(unnest(generate_series(CAST(min(move_date) AS TIMESTAMP), (SELECT CAST(last_day AS TIMESTAMP) FROM c_span), INTERVAL 7 DAY)) AS DATE) AS week_day
   FROM c_moves GROUP BY 1, 2) GROUP BY 1, 2""",
 )
 def weekly_grid(s: Star) -> DataFrame:
     """Every seventh day of each stocked pair, counted per site and day."""
-    grid = inventory.snapshot_grid(s.movements(), ["product_sk", "store_sk"], "move_date", CALENDAR_END, "week")
+    grid = inventory.snapshot_grid(s.movements(), ["product_sk", "store_sk"], "move_date", s.calendar_end, "week")
     return grid.groupBy("store_sk", F.col("move_date").alias("week_day")).agg(F.count(F.lit(1)).alias("items"))
 
 

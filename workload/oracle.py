@@ -82,7 +82,14 @@ def calendar_sql(days: str) -> str:
 
 
 CTES = {
-    "c_days": "SELECT CAST(x AS DATE) AS d FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) t(x)",
+    "c_span": """
+SELECT CAST(date_trunc('year', first_order) AS DATE) AS first_day, CAST(last_order AS DATE) AS horizon,
+  make_date(year(greatest(last_order, last_shipped)), 12, 31) AS last_day
+FROM (SELECT min(o_orderdate) AS first_order, max(o_orderdate) AS last_order FROM orders),
+  (SELECT max(l_shipdate) AS last_shipped FROM lineitem)""",
+    "c_days": """
+SELECT CAST(unnest(generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+FROM c_span""",
     "c_dates": calendar_sql("c_days"),
     "c_places": """
 SELECT n_nationkey, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS country_code, n_name AS country_name,
@@ -106,7 +113,7 @@ SELECT store_sk, 'STR-' || country_code || '-' || {pad("store_sk", 5)} AS store_
   CASE WHEN store_type <> 'ECOM' THEN CAST(store_sk % 23000 + 2000 AS INTEGER) END AS square_footage,
   CASE WHEN store_type <> 'ECOM' THEN CAST(store_sk % 3 + 1 AS SMALLINT) END AS num_floors,
   store_format, channel_type, store_type = 'ECOM' AS is_digital,
-  {date_sk("(DATE '1995-01-01' - CAST(store_sk % 3285 + 365 AS INTEGER))")} AS open_date_sk,
+  {date_sk("((SELECT first_day FROM c_span) - CAST(store_sk % 3285 + 365 AS INTEGER))")} AS open_date_sk,
   CAST(NULL AS INTEGER) AS close_date_sk, TRUE AS is_active,
   CASE WHEN store_type IN ('FLAGSHIP', 'FACTORY', 'ECOM') THEN 'OWNED'
     ELSE {pick(("FRANCHISE", "PARTNER"), "store_sk")} END AS ownership_model,
@@ -140,12 +147,12 @@ SELECT product_sk, 'SKU-' || kind || '-' || {pad("product_sk", 6)} AS product_nk
   {pick(("MENS", "WOMENS", "UNISEX", "KIDS"), "product_sk")} AS gender_target,
   CASE WHEN product_sk % 4 = 3 THEN {pick(("YOUTH", "TODDLER"), "product_sk // 4")} ELSE 'ADULT' END AS age_group,
   CASE WHEN kind = 'EQ' THEN 'Mixed Materials' ELSE 'Synthetic/Textile' END AS material_composition,
-  {pick(("Cushioning", "Knit", "Foam", "Light", "Dry", None), "product_sk")} AS technology_features,
+  CAST(NULL AS VARCHAR) AS technology_features,
   category_name AS sport_occasion, is_hero AS is_hero_product, product_sk % 20 = 1 AS is_exclusive,
   product_sk % 33 = 2 AS is_collaboration, unit_cost_price AS standard_cost, unit_retail_price AS standard_retail_price,
-  {date_sk("(DATE '1995-01-01' - CAST(product_sk % 1500 AS INTEGER))")} AS launch_date_sk,
+  {date_sk("((SELECT first_day FROM c_span) - CAST(product_sk % 1500 AS INTEGER))")} AS launch_date_sk,
   CAST(NULL AS INTEGER) AS discontinue_date_sk, TRUE AS is_active,
-  DATE '1995-01-01' - CAST(product_sk % 1500 AS INTEGER) AS effective_date, DATE '9999-12-31' AS expiry_date,
+  (SELECT first_day FROM c_span) - CAST(product_sk % 1500 AS INTEGER) AS effective_date, DATE '9999-12-31' AS expiry_date,
   TRUE AS is_current_flag
 FROM c_prices""",
     "c_tiers": """
@@ -173,14 +180,14 @@ SELECT customer_sk, 'CRM-' || upper(substr(md5(CAST(customer_sk AS VARCHAR)), 1,
     ELSE {pick(("N", "U"), "customer_sk")} END AS gender_code,
   loyalty_member_flag, loyalty_tier,
   CAST(CASE WHEN loyalty_member_flag THEN customer_sk * 97 % 50000 ELSE 0 END AS INTEGER) AS loyalty_points_balance,
-  CASE WHEN loyalty_member_flag THEN {date_sk("(DATE '1995-01-01' - CAST(customer_sk % 1470 + 30 AS INTEGER))")} END
+  CASE WHEN loyalty_member_flag THEN {date_sk("((SELECT first_day FROM c_span) - CAST(customer_sk % 1470 + 30 AS INTEGER))")} END
     AS loyalty_enroll_date_sk,
   customer_segment, {pick(("Running", "Basketball", "Training", "Soccer", "Golf", "Lifestyle"), "customer_sk")} AS preferred_sport,
   lifetime_value_band,
   {pick(("Organic Search", "Paid Search", "Social Media", "Email", "Referral", "Direct", "Affiliate"), "customer_sk")}
     AS acquisition_channel,
   city, state_province, country_code, CAST(customer_sk % 90000 + 10000 AS VARCHAR) AS postal_code,
-  DATE '1995-01-01' - CAST(customer_sk % 730 AS INTEGER) AS effective_date, DATE '9999-12-31' AS expiry_date,
+  (SELECT first_day FROM c_span) - CAST(customer_sk % 730 AS INTEGER) AS effective_date, DATE '9999-12-31' AS expiry_date,
   TRUE AS is_current_flag,
   sha256(coalesce(loyalty_tier, '') || '|' || customer_segment || '|' || lifetime_value_band || '|' || city || '|'
     || state_province || '|' || country_code) AS record_checksum
@@ -192,16 +199,16 @@ SELECT employee_sk, 'EMP-' || {pad("employee_sk", 6)} AS employee_nk, sha256('Em
   store_sk, {date_sk("hired")} AS hire_date_sk,
   CASE WHEN employee_sk * 31 % 19 = 0 THEN {date_sk("(hired + CAST(employee_sk % 1320 + 180 AS INTEGER))")} END AS termination_date_sk,
   employee_sk * 31 % 19 <> 0 AS is_active, hired AS effective_date, DATE '9999-12-31' AS expiry_date, TRUE AS is_current_flag
-FROM (SELECT *, DATE '1995-01-01' - CAST(employee_sk % 1970 + 30 AS INTEGER) AS hired
+FROM (SELECT *, (SELECT first_day FROM c_span) - CAST(employee_sk % 1970 + 30 AS INTEGER) AS hired
   FROM (SELECT store_sk, store_sk * 100 + unnest(range(1, store_sk % 11 + 6)) AS employee_sk FROM c_stores WHERE NOT is_digital))""",
     "c_promotions": f"""
-SELECT *, CASE WHEN end_date >= DATE '2001-08-01' THEN 'ACTIVE' ELSE 'COMPLETED' END AS promotion_status,
+SELECT *, CASE WHEN end_date >= (SELECT horizon FROM c_span) THEN 'ACTIVE' ELSE 'COMPLETED' END AS promotion_status,
   {date_sk("start_date")} AS start_date_sk, {date_sk("end_date")} AS end_date_sk,
   CAST(CASE discount_type WHEN 'PERCENT' THEN {pick((10, 15, 20, 25, 30, 40, 50), "promotion_sk")}
     WHEN 'FIXED_AMOUNT' THEN {pick((5, 10, 15, 20, 25, 50), "promotion_sk")} ELSE 0 END AS DECIMAL(8,4)) AS discount_value
-FROM (SELECT *, least(start_date + CAST(promotion_sk % 38 + 7 AS INTEGER), DATE '2001-08-01') AS end_date,
+FROM (SELECT *, least(start_date + CAST(promotion_sk % 38 + 7 AS INTEGER), (SELECT horizon FROM c_span)) AS end_date,
     {pick(("PERCENT", "FIXED_AMOUNT", "FREE_GIFT"), "promotion_sk")} AS discount_type
-  FROM (SELECT item_sk AS promotion_sk, p_brand, DATE '1995-01-01' + CAST(item_sk * 16 AS INTEGER) AS start_date
+  FROM (SELECT item_sk AS promotion_sk, p_brand, (SELECT first_day FROM c_span) + CAST(item_sk * 16 AS INTEGER) AS start_date
     FROM (SELECT DISTINCT item_sk, p_brand FROM c_parts)))""",
     "c_parts": """
 SELECT *, (CAST(string_split(p_brand, '#')[2] AS BIGINT) - 1) * 6
@@ -256,7 +263,7 @@ FROM (SELECT *, CAST(CASE WHEN return_condition <> 'SALEABLE' OR return_reason_c
         CAST(quantity_returned * unit_retail_price AS DECIMAL(14,4)) AS return_retail_amount,
         CAST(quantity_returned * unit_cost_price AS DECIMAL(14,4)) AS return_cost_amount
       FROM c_lines l LEFT JOIN c_prices USING (product_sk) WHERE return_flag = 'Y')
-    WHERE return_date <= DATE '2001-08-01'))""",
+    WHERE return_date <= (SELECT horizon FROM c_span)))""",
     "c_funnels": f"""
 SELECT {key60("visitor_id", "session_date")} AS session_sk, visitor_id, session_date, {date_sk("session_date")} AS session_date_sk,
   CAST(micros // 1000000 AS INTEGER) AS session_duration_seconds, pages_viewed,
@@ -302,7 +309,7 @@ FROM lineitem JOIN c_parts ON l_partkey = p_partkey JOIN supplier ON l_suppkey =
     "c_monthends": """
 SELECT product_sk, store_sk, last_day(CAST(m AS DATE)) AS move_date
 FROM (SELECT product_sk, store_sk, unnest(generate_series(CAST(date_trunc('month', min(move_date)) AS TIMESTAMP),
-    TIMESTAMP '2001-12-31', INTERVAL 1 MONTH)) AS m FROM c_moves GROUP BY 1, 2)""",
+    (SELECT CAST(last_day AS TIMESTAMP) FROM c_span), INTERVAL 1 MONTH)) AS m FROM c_moves GROUP BY 1, 2)""",
     "c_levels": """
 SELECT product_sk, store_sk, move_date, today_in AS units_received_today, today_out AS units_sold_today,
   100 + total AS on_hand_qty

@@ -20,7 +20,7 @@ from shelfline.sources import readers, writers
 from shelfline.sources.scratch import scratch_folder
 from workload.oracle import money
 from workload.registry import add, query
-from workload.star import EPOCH, RAW_SCHEMAS, TIERS, Star
+from workload.star import RAW_SCHEMAS, TIERS, Star
 
 
 def listed(*names: str) -> str:
@@ -286,6 +286,6 @@ FROM c_lines l LEFT JOIN c_customers c ON c.customer_sk = l.customer_sk""",
 def guest_sentinel(s: Star) -> DataFrame:
     """Key 0 is the guest; the test table's own customer 0 is left out."""
     known = s.customers().where("customer_sk <> 0")
-    people = customers.with_guest(known, EPOCH).select("customer_sk", "customer_nk")
+    people = customers.with_guest(known, s.epoch).select("customer_sk", "customer_nk")
     sales = s.sales("transaction_sk", "customer_sk").withColumn("customer_sk", filters.guest_key(F.col("customer_sk")))
     return many_to_one(sales, people, "customer_sk", hot_keys=(0,)).select("transaction_sk", "customer_sk", "customer_nk")

@@ -7,9 +7,9 @@ product, and key arithmetic picks channels, reasons and the like.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +20,10 @@ from shelfline.functions.text import split_first, stable_key
 from shelfline.metrics.model import Sources
 from shelfline.operators.filters import admissible_channels, pick
 from shelfline.operators.joins import many_to_one
-from shelfline.operators.sizing import broadcast_if_small, spread_if_few_splits
+from shelfline.operators.sizing import broadcast_if_small
 from shelfline.rules import calendar, customers, inventory, products, promotions, returns, sales, sessions, stores
 from shelfline.sources.readers import read_parquet
 
-EPOCH = date(1995, 1, 1)
-HORIZON = date(2001, 8, 1)
-CALENDAR_END = date(2001, 12, 31)
 TIERS = ((Decimal("30000"), "High-Value"), (Decimal("10000"), "Mid-Value"))
 OPENING_STOCK = 100
 # Events are dated 2024; moved back 25 years they fall among the sales.
@@ -84,10 +81,37 @@ class Star:
         schema = T.StructType.fromDDL(RAW_SCHEMAS[name])
         return read_parquet(self.spark, f"{self.folder}/{name}.parquet", schema)
 
+    # --- the span of the data --------------------------------------------------
+
+    @cached_property
+    def _span(self) -> tuple[date, date, date]:
+        """First and last order date, and the last date of an order or shipment, of this data; one row of aggregates."""
+        ordered = self.raw("orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+        shipped = self.raw("lineitem").agg(F.max("l_shipdate").alias("shipped"))
+        row = ordered.crossJoin(shipped).select(*[F.col(c).cast("date") for c in ("first", "last", "shipped")]).first()
+        first = row["first"] or date(1970, 1, 1)
+        last = row["last"] or first
+        return first, last, max(last, row["shipped"] or last)
+
+    @property
+    def epoch(self) -> date:
+        """First day of the year of the first order."""
+        return self._span[0].replace(month=1, day=1)
+
+    @property
+    def horizon(self) -> date:
+        """Day of the last order; what would come back later has not come back yet."""
+        return self._span[1]
+
+    @property
+    def calendar_end(self) -> date:
+        """Last day of the year of the last order or shipment."""
+        return date(self._span[2].year + 1, 1, 1) - timedelta(days=1)
+
     # --- dimensions ----------------------------------------------------------
 
     def dates(self, *columns: str) -> DataFrame:
-        days = calendar.days_between(self.spark, EPOCH, CALENDAR_END)
+        days = calendar.days_between(self.spark, self.epoch, self.calendar_end)
         return calendar.build_dim_date(days, *columns)
 
     def places(self) -> DataFrame:
@@ -123,7 +147,7 @@ class Star:
         )
 
     def stores(self, *columns: str) -> DataFrame:
-        return stores.build_dim_store(self.raw_stores(), EPOCH, columns)
+        return stores.build_dim_store(self.raw_stores(), self.epoch, columns)
 
     def raw_products(self) -> DataFrame:
         kind = F.when(F.col("p_type").isin("SMALL", "MEDIUM"), "FW").when(
@@ -142,7 +166,7 @@ class Star:
         )
 
     def products(self, *columns: str) -> DataFrame:
-        return products.build_dim_product(self.raw_products(), EPOCH, columns)
+        return products.build_dim_product(self.raw_products(), self.epoch, columns)
 
     def prices(self) -> DataFrame:
         return self.products("product_sk", "standard_retail_price", "standard_cost").select(
@@ -157,10 +181,10 @@ class Star:
             F.col("c_custkey").alias("customer_sk"), F.col("c_mktsegment").alias("customer_segment"),
             "country_code", "state_code", "city",
         )
-        return customers.build_dim_customer(raw, EPOCH, columns)
+        return customers.build_dim_customer(raw, self.epoch, columns)
 
     def employees(self) -> DataFrame:
-        return stores.build_dim_employee(self.stores("store_sk", "is_digital"), EPOCH)
+        return stores.build_dim_employee(self.stores("store_sk", "is_digital"), self.epoch)
 
     def promotions(self) -> DataFrame:
         sk = F.col("promotion_sk")
@@ -170,22 +194,24 @@ class Star:
         return promotions.build_dim_promotion(
             raw.select(
                 sk,
-                F.date_add(F.lit(EPOCH), (sk * 16).cast("int")).alias("start_date"),
+                F.date_add(F.lit(self.epoch), (sk * 16).cast("int")).alias("start_date"),
                 (F.pmod(sk, F.lit(38)) + 7).cast("int").alias("duration_days"),
                 "category_name",
             ),
-            HORIZON,
+            self.horizon,
         )
 
     # --- sales and returns -----------------------------------------------------
 
-    def lines(self, *columns: str) -> DataFrame:
+    def lines(self, *columns: str, returned_only: bool = False) -> DataFrame:
         """Ticket lines with keys and rates, before pricing; all columns or the named ones."""
+        lineitem = self.raw("lineitem")
+        if returned_only:  # on the stored column, so that the scan skips the rest
+            lineitem = lineitem.where("l_returnflag = 'R'")
         orders = self.raw("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("_day"))
-        joined = spread_if_few_splits(self.raw("lineitem"), "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+        joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
         order, store, day = F.col("l_orderkey"), F.col("l_suppkey"), F.col("_day")
-        # Units are whole numbers; by way of an integer the cast is much cheaper.
-        quantity = F.col("l_quantity").cast("int").cast("decimal(6,0)")
+        quantity = F.col("l_quantity").cast("decimal(6,0)")
         digital = F.pmod(store, F.lit(5)) == 0
 
         def line_key() -> Column:
@@ -245,12 +271,12 @@ class Star:
     def returned_lines(self) -> DataFrame:
         back = self.lines(
             "transaction_sk", "transaction_date", "transaction_date_sk", "customer_sk", "product_sk", "store_sk",
-            "channel_sk", "return_flag", "order_number", "return_delay", "quantity_returned",
-        ).where("return_flag = 'Y'")
+            "channel_sk", "return_flag", "order_number", "return_delay", "quantity_returned", returned_only=True,
+        )
         return many_to_one(back, self.prices(), "product_sk")
 
     def returns(self, *columns: str) -> DataFrame:
-        built = returns.build_fact_returns(self.returned_lines(), HORIZON)
+        built = returns.build_fact_returns(self.returned_lines(), self.horizon)
         return built.select(*columns) if columns else built
 
     # --- sessions ----------------------------------------------------------------
@@ -298,7 +324,7 @@ class Star:
         """Units received and sold per item, site and day."""
         item = self.raw("part").select("p_partkey", stock_item(F.col("p_brand"), F.col("p_type")).alias("_item"))
         site = self.raw("supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("_site"))
-        lines = spread_if_few_splits(self.raw("lineitem"), "l_partkey").select("l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_shipdate")
+        lines = self.raw("lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_shipdate")
         placed = many_to_one(
             many_to_one(lines, item, "l_partkey", "p_partkey", "inner"), site, "l_suppkey", "s_suppkey", "inner"
         )
@@ -313,7 +339,7 @@ class Star:
 
     def levels(self, every: str = "month") -> DataFrame:
         return inventory.stock_levels(
-            self.movements(), ["product_sk", "store_sk"], "move_date", OPENING_STOCK, CALENDAR_END, every
+            self.movements(), ["product_sk", "store_sk"], "move_date", OPENING_STOCK, self.calendar_end, every
         )
 
     def inventory(self, every: str = "month") -> DataFrame:

@@ -15,7 +15,7 @@ from workload.joining import CHANNEL_DAYS, CHANNEL_SPINE, channel_days
 from workload.oracle import money
 from workload.published import D244, INVENTORY_SQL, LAST_1, LAST_7, SO_FAR, inventory_report, over, ratio
 from workload.registry import add, query
-from workload.star import EPOCH, Star
+from workload.star import Star
 
 KEYS, DAY = ["channel_sk"], "transaction_date"
 DAILY = f"(SELECT channel_sk, transaction_date, {money('gross_revenue')} AS revenue FROM c_sales GROUP BY 1, 2)"
@@ -123,8 +123,8 @@ FROM c_funnels WHERE purchase_completed_flag""",
 )
 add(
     "rank_every_nth_date",
-    lambda s: s.sales("transaction_sk", DAY).where(sampling.every_nth_day(F.col(DAY), F.lit(EPOCH), 7)),
-    "SELECT transaction_sk, transaction_date FROM c_lines WHERE (transaction_date - DATE '1995-01-01') % 7 = 0",
+    lambda s: s.sales("transaction_sk", DAY).where(sampling.every_nth_day(F.col(DAY), F.lit(s.epoch), 7)),
+    "SELECT transaction_sk, transaction_date FROM c_lines WHERE (transaction_date - (SELECT first_day FROM c_span)) % 7 = 0",
 )
 
 # --- the same through the metric layer ---------------------------------------------------
