@@ -49,8 +49,15 @@ def minimisers(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     if len(hashes) < least:
         return np.array([], np.int64), np.array([], np.uint64)
     grams = _grams(hashes)
-    windows = np.lib.stride_tricks.sliding_window_view(grams, least - GRAM + 1)
-    at = np.unique(windows.argmin(1) + np.arange(len(windows)))
+    # the high bits of the hash, then the place, so that the least of a stretch tells where it is, the leftmost of equal ones
+    low = np.uint64((1 << max(26, len(grams).bit_length())) - 1)
+    span, width = least - GRAM + 1, 1
+    keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+    while 2 * width <= span:
+        keys, width = np.minimum(keys[:-width], keys[width:]), 2 * width
+    if span > width:
+        keys = np.minimum(keys[: len(keys) - span + width], keys[span - width :])
+    at = np.unique(keys & low).astype(np.int64)
     return at, grams[at]
 
 
