@@ -12,23 +12,34 @@ SIGNS = {"USD": "$", "EUR": "€", "GBP": "£"}
 COMPACT_STEPS = ((1_000_000_000, "B"), (1_000_000, "M"), (1_000, "K"))
 
 
-def _plain(value: Column, places: int) -> Column:
-    """Grouped digits, rounded half up before they are printed."""
+ALL_PLACES = "#,##0.##########"
+
+
+def _plain(value: Column, places: int | None) -> Column:
+    """Grouped digits, rounded half up before they are printed; all places if none are given."""
+    if places is None:
+        return F.call_function("format_number", value, F.lit(ALL_PLACES))
     return F.format_number(value.cast(f"decimal(38,{places})"), places)
 
 
-def compact(value: Column, places: int) -> Column:
-    """1,234,567 as 1.23M."""
+def compact(value: Column, places: int | None) -> Column:
+    """1,234,567 as 1.23M. A value that rounds to a thousand of one step takes the next."""
     size = F.abs(value)
-    text = _plain(value, places)
+    text, below = _plain(value, places), 1
     for step, letter in reversed(COMPACT_STEPS):
-        text = F.when(size >= step, F.concat(_plain(value / step, places), F.lit(letter))).otherwise(text)
+        reached = size >= step
+        if places is not None:
+            reached = reached | (F.round((size / below).cast("decimal(38,10)"), places) >= step // below)
+        text = F.when(reached, F.concat(_plain(value / step, places), F.lit(letter))).otherwise(text)
+        below = step
     return text
 
 
 def format_value(value: Column, how: Format | None) -> Column:
     how = how or Format()
-    places = 0 if how.places is None else how.places
+    places = how.places
+    if how.type == "date":
+        return F.date_format(value, "yyyy-MM-dd")
     if how.type == "percentage":
         shown = value * 100 if how.fraction else value
         return F.concat(_plain(shown, places), F.lit("%"))

@@ -107,12 +107,13 @@ class _Query:
         metric = self.layer.metrics[name]
         if isinstance(metric, Derived):
             for item in metric.inputs:
-                self.collect(item.metric, item.days_ago)
-        elif days_ago:
+                self.collect(item.metric, days_ago + item.days_ago)
+            return
+        if days_ago:
             self.shifted.add(Input(name, days_ago))
-        elif isinstance(metric, Windowed):
+        if isinstance(metric, Windowed):
             self.windowed[name] = metric
-        else:
+        elif not days_ago:
             self.simple[name] = metric
 
 
@@ -176,20 +177,33 @@ def _date_tests(query: _Query) -> list[Column]:
 def _history_start(query: _Query) -> date | None:
     """The earliest day that can matter for a query from some day on; None if all do."""
     bounds = [
-        c.value for d, c in query.conditions
-        if isinstance(d, TimeDimension) and d.grain == "day" and c.op in (">=", ">", "=") and isinstance(c.value, date)
+        _as_day(c.value) for d, c in query.conditions
+        if isinstance(d, TimeDimension) and d.grain == "day" and c.op in (">=", ">", "=")
     ]
+    bounds = [b for b in bounds if b is not None]
     if not bounds or query.layer.spine:
         return None
     first = max(bounds)
     starts = [first - timedelta(days=i.days_ago) for i in query.shifted]
-    for metric in query.windowed.values():
+    for name, metric in query.windowed.items():
         if metric.span == "cumulative" or (metric.span == "to_date" and metric.grain != "year"):
             return None
-        starts.append(date(first.year, 1, 1) if metric.span == "to_date" else first - timedelta(days=metric.days))
+        ago = max((i.days_ago for i in query.shifted if i.metric == name), default=0)
+        reached = first - timedelta(days=ago)
+        starts.append(date(reached.year, 1, 1) if metric.span == "to_date" else reached - timedelta(days=metric.days))
     return min([first, *starts])
 
 
+def _as_day(value: object) -> date | None:
+    """A date, also from text like 2024-06-01; None for all else."""
+    if isinstance(value, str):
+        try:
+            return date.fromisoformat(value)
+        except ValueError:
+            return None
+    return value if isinstance(value, date) else None
+
+
 def _filtered(df: DataFrame, tests: list[Column]) -> DataFrame:
     return df.where(reduce(Column.__and__, tests)) if tests else df
 
@@ -225,7 +239,7 @@ def _over_days(query: _Query) -> DataFrame:
     day_keys = [F.col(k) for k in (*keys, DAY)]
     sums = {m.measure.column: m.measure for m in query.windowed.values() if m.measure.kind != "distinct"}
     counted = {n: m for n, m in query.windowed.items() if m.measure.kind == "distinct"}
-    shifted = {_shifted_name(i): query.layer.metrics[i.metric] for i in query.shifted}
+    shifted = {_shifted_name(i): query.layer.metrics[i.metric] for i in query.shifted if i.metric not in query.windowed}
     aggs = [aggregate(m).alias(f"_{c}") for c, m in sums.items()]
     aggs += [aggregate(m.measure, m.where).alias(f"_now_{n}") for n, m in shifted.items()]
     if query.by_day:
@@ -245,11 +259,16 @@ def _over_days(query: _Query) -> DataFrame:
     computed = {
         n: _window_column(m, keys) for n, m in query.windowed.items() if n not in counted
     }
+    later = {}
     for item in query.shifted:
         name = _shifted_name(item)
-        computed[name] = windows.value_days_ago(f"_now_{name}", keys, DAY, item.days_ago)
+        if item.metric in query.windowed:
+            later[name] = windows.value_days_ago(item.metric, keys, DAY, item.days_ago)
+        else:
+            computed[name] = windows.value_days_ago(f"_now_{name}", keys, DAY, item.days_ago)
     kept = [c for c in (*counted, *(query.simple if query.by_day else ()))]
-    return daily.select(*day_keys, *kept, *[c.alias(n) for n, c in computed.items()])
+    days = daily.select(*day_keys, *kept, *[c.alias(n) for n, c in computed.items()])
+    return days.withColumns(later) if later else days
 
 
 def _period_columns(query: _Query) -> dict[str, Column]:
@@ -259,7 +278,7 @@ def _period_columns(query: _Query) -> dict[str, Column]:
 def _evaluate(layer: Layer, name: str, days_ago: int = 0) -> Column:
     metric = layer.metrics[name]
     if isinstance(metric, Derived):
-        return metric.formula(*[_evaluate(layer, i.metric, i.days_ago) for i in metric.inputs])
+        return metric.formula(*[_evaluate(layer, i.metric, days_ago + i.days_ago) for i in metric.inputs])
     column = F.col(_shifted_name(Input(name, days_ago)) if days_ago else name)
     if isinstance(metric, Windowed) and metric.measure.kind == "money":
         return column.cast("decimal(24,4)")
@@ -309,11 +328,30 @@ def _simple_results(query: _Query) -> DataFrame:
 
 def _last_days(query: _Query, days: DataFrame) -> DataFrame:
     """Windowed metrics at coarser keys: the value of the last day of each group.
-    Shifted ones add up; simple ones are aggregated from the facts."""
+    Shifted sums add up; shifted distinct counts and simple metrics are aggregated
+    from the facts."""
     names = list(query.keys)
     aggs = [F.max_by(n, DAY).alias(n) for n in query.windowed]
-    aggs += [F.sum(_shifted_name(i)).alias(_shifted_name(i)) for i in query.shifted]
-    parts = [days.groupBy(*names).agg(*aggs)]
+    parts = []
+    for item in query.shifted:
+        name, metric = _shifted_name(item), query.layer.metrics[item.metric]
+        if isinstance(metric, Windowed):
+            aggs.append(F.max_by(name, DAY).alias(name))
+        elif metric.measure.kind == "distinct":
+            parts.append(_shifted_count(query, item, metric))
+        else:
+            aggs.append(F.sum(name).alias(name))
+    if aggs:
+        parts.append(days.groupBy(*names).agg(*aggs))
     if query.simple:
         parts.append(_simple_results(query))
     return merge_results(parts, names)
+
+
+def _shifted_count(query: _Query, item: Input, metric: Simple) -> DataFrame:
+    """A distinct count some days earlier at coarser keys: over the facts of the
+    earlier days, none of which reaches beyond the last day."""
+    base = _history(query, [metric])
+    moved = base.withColumn(DAY, F.date_add(DAY, item.days_ago)).where(F.col(DAY) <= base.agg(F.max(DAY)).scalar())
+    dated = _filtered(moved, _date_tests(query)).withColumns(_period_columns(query))
+    return dated.groupBy(*query.keys).agg(aggregate(metric.measure, metric.where).alias(_shifted_name(item)))

@@ -45,20 +45,33 @@ def last_in_group(df: DataFrame, keys: Sequence[str], day: str, values: Sequence
 
 
 def spine_days(daily: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Every calendar day between the first and last day of each group."""
-    ends = daily.groupBy(*keys).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
-    days = F.explode(F.sequence("_first", "_last", F.expr("interval 1 day"))).alias(day)
-    return ends.where(F.col("_first").isNotNull()).select(*keys, days)
+    """Every calendar day between the first and last day of all rows, for each group."""
+    dated = daily.where(F.col(day).isNotNull())
+    ends = dated.select(*keys).distinct().withColumn("_ends", _ends(dated, day).scalar()) if keys else _ends(dated, day)
+    days = F.explode(F.sequence("_ends.first", "_ends.last", F.expr("interval 1 day"))).alias(day)
+    return ends.select(*keys, days)
+
+
+def _ends(daily: DataFrame, day: str) -> DataFrame:
+    """The first and last day of all rows, in one row."""
+    return daily.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last")).alias("_ends"))
 
 
 def fill_days(daily: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
-    """The same rows as a left join of ``spine_days`` with ``daily``, in one pass:
-    each row also yields the empty days up to the next row of its group."""
-    following = F.lead(day).over(_by_day(keys, day))
-    until = F.coalesce(F.date_sub(following, 1), F.col(day))
+    """The same rows as a left join of ``spine_days`` with ``daily``: each row also
+    yields the empty days up to the next row of its group, the first one those
+    before it and the last one those after it."""
     values = [c for c in daily.columns if c != day and c not in keys]
-    stretch = F.sequence(F.col(day), F.col("_until"), F.expr("interval 1 day"))
-    spread = daily.withColumn("_until", until).select("*", F.explode(stretch).alias("_filled"))
+    spread = dated = daily.where(F.col(day).isNotNull())
+    first = last = F.col(day)
+    if keys:
+        spread = dated.withColumn("_ends", _ends(dated, day).scalar())
+        first, last = F.col("_ends.first"), F.col("_ends.last")
+    order = _by_day(keys, day)
+    since = F.when(F.lag(day).over(order).isNull(), first).otherwise(F.col(day))
+    until = F.coalesce(F.date_sub(F.lead(day).over(order), 1), last)
+    stretch = F.sequence(F.col("_since"), F.col("_until"), F.expr("interval 1 day"))
+    spread = spread.withColumns({"_since": since, "_until": until}).select("*", F.explode(stretch).alias("_filled"))
     own = [F.when(F.col("_filled") == F.col(day), F.col(v)).alias(v) for v in values]
     return spread.select(*keys, F.col("_filled").alias(day), *own)
 

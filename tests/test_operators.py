@@ -73,6 +73,7 @@ def test_spine_and_last_day(spark):
     assert sorted((r.k, (r.d - DAY0).days, r.v) for r in full if r.k == "a") == [
         ("a", 0, 1), ("a", 1, None), ("a", 2, None), ("a", 3, 2),
     ]
+    assert sorted((r.d - DAY0).days for r in full if r.k == "b") == [0, 1, 2, 3]
     assert sorted(map(str, windows.fill_days(df, "d", ["k"]).select("k", "d", "v").collect())) == sorted(map(str, full))
     last = {r.k: r.v for r in windows.last_in_group(df, ["k"], "d", ["v"]).collect()}
     assert last == {"a": 2, "b": 5}

@@ -122,12 +122,12 @@ fact_slice("currency_to_usd", "currency_code", "exchange_rate", "net_revenue", "
     "promotion_discount",
     """SELECT transaction_sk, discount_type, CAST(CASE discount_type WHEN 'PERCENT' THEN gross_revenue * discount_value * CAST(0.01 AS DECIMAL(3,2))
   WHEN 'FIXED_AMOUNT' THEN least(discount_value, gross_revenue) ELSE 0 END AS DECIMAL(12,4)) AS discount_amount
-FROM c_sales JOIN c_promotions USING (promotion_sk)""",
+FROM c_sales LEFT JOIN c_promotions USING (promotion_sk)""",
 )
 def promotion_discounts(s: Star) -> DataFrame:
-    """The discount each sale would get from its promotion at any date."""
+    """The discount each sale would get from its promotion at any date, 0 without a promotion."""
     offers = s.promotions().select("promotion_sk", "discount_type", "discount_value")
-    joined = many_to_one(s.sales("transaction_sk", "promotion_sk", "gross_revenue"), offers, "promotion_sk", how="inner")
+    joined = many_to_one(s.sales("transaction_sk", "promotion_sk", "gross_revenue"), offers, "promotion_sk")
     discount = pricing.promotion_discount(F.col("gross_revenue"), F.col("discount_type"), F.col("discount_value"))
     return joined.select("transaction_sk", "discount_type", discount.alias("discount_amount"))
 

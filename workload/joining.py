@@ -107,8 +107,9 @@ def channel_days(s: Star) -> DataFrame:
 
 
 CHANNEL_DAYS = "(SELECT channel_sk, transaction_date AS date_day, CAST(sum(quantity_sold) AS BIGINT) AS units FROM c_lines GROUP BY 1, 2)"
-CHANNEL_SPINE = f"""(SELECT channel_sk, CAST(unnest(generate_series(CAST(min(date_day) AS TIMESTAMP), CAST(max(date_day) AS TIMESTAMP),
-  INTERVAL 1 DAY)) AS DATE) AS date_day FROM {CHANNEL_DAYS} GROUP BY 1)"""
+CHANNEL_SPINE = f"""(SELECT channel_sk, date_day FROM (SELECT DISTINCT channel_sk FROM {CHANNEL_DAYS})
+  CROSS JOIN (SELECT CAST(unnest(generate_series(CAST(min(date_day) AS TIMESTAMP), CAST(max(date_day) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+    AS date_day FROM {CHANNEL_DAYS}))"""
 
 
 @query(
@@ -116,8 +117,7 @@ CHANNEL_SPINE = f"""(SELECT channel_sk, CAST(unnest(generate_series(CAST(min(dat
     f"SELECT channel_sk, date_day, units FROM {CHANNEL_SPINE} LEFT JOIN {CHANNEL_DAYS} USING (channel_sk, date_day)",
 )
 def time_spine(s: Star) -> DataFrame:
-    daily = channel_days(s)
-    return joins.on_spine(windows.spine_days(daily, "date_day", ["channel_sk"]), daily, "date_day", ["channel_sk"])
+    return windows.fill_days(channel_days(s), "date_day", ["channel_sk"])
 
 
 add(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,13 +11,13 @@ from pyspark.sql import functions as F
 from shelfline.metrics.catalog import lookup_terms, metric_catalog
 from shelfline.metrics.formatting import format_value
 from shelfline.metrics.layers import METRIC_VIEW, SEMANTIC_LAYER
-from shelfline.metrics.model import Condition, Layer
+from shelfline.metrics.model import Condition, Derived, Input, Layer
 from shelfline.metrics.query import metric_query
 from shelfline.sources.readers import read_parquet
 from shelfline.sources.scratch import scratch_folder
 from shelfline.sources.writers import nullable, write_parquet
 from workload.oracle import money
-from workload.published import ATOMS, D244, FROM_STAR, MONTH, SO_FAR, SPINE, over, plain_sql, spine_over
+from workload.published import ATOMS, D244, FROM_STAR, LAST_1, MONTH, SO_FAR, SPINE, over, plain_sql, spine_over
 from workload.registry import add, query
 from workload.star import Star
 
@@ -79,15 +80,19 @@ def cumulative(s: Star) -> DataFrame:
     return metric_query(SEMANTIC_LAYER, s.metric_sources(), names, ["metric_time__day"])
 
 
+def on_all_days(key: str, daily: str) -> str:
+    """Daily rows of each key, on every day between the first and the last of all keys."""
+    return f"""(SELECT k.{key}, n.transaction_date, r.* EXCLUDE ({key}, transaction_date) FROM (SELECT DISTINCT {key} FROM {daily}) k
+  CROSS JOIN (SELECT CAST(unnest(generate_series(CAST(min(transaction_date) AS TIMESTAMP), CAST(max(transaction_date) AS TIMESTAMP), INTERVAL 1 DAY))
+    AS DATE) AS transaction_date FROM {daily}) n
+  LEFT JOIN {daily} r ON r.{key} IS NOT DISTINCT FROM k.{key} AND r.transaction_date = n.transaction_date)"""
+
+
 @query(
     "metric_offset",
     f"""SELECT country_name AS country, transaction_date AS day, (CAST(rev AS DOUBLE) - CAST(prev AS DOUBLE))
   / nullif(CAST(prev AS DOUBLE), 0) * 100 AS growth
-FROM (SELECT *, {D244.format("sum(rev) OVER (PARTITION BY country_name ORDER BY transaction_date RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)")} AS prev
-  FROM (SELECT n.country_name, n.transaction_date, rev FROM (SELECT country_name, CAST(unnest(generate_series(
-      CAST(min(transaction_date) AS TIMESTAMP), CAST(max(transaction_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS transaction_date
-    FROM {by_channel_daily("country_name")} GROUP BY 1) n LEFT JOIN {by_channel_daily("country_name")} r
-    ON r.country_name = n.country_name AND r.transaction_date = n.transaction_date))""",
+FROM (SELECT *, {D244.format("sum(rev) " + over("country_name", LAST_1))} AS prev FROM {on_all_days("country_name", by_channel_daily("country_name"))})""",
 )
 def offset(s: Star) -> DataFrame:
     return metric_query(
@@ -96,6 +101,42 @@ def offset(s: Star) -> DataFrame:
     )
 
 
+@query(
+    "metric_cumulative_by_group",
+    f"""SELECT region_name AS region, transaction_date AS day,
+  {D244.format("sum(rev) " + over("region_name", "INTERVAL 6 DAY PRECEDING AND CURRENT ROW"))} AS trailing_7d_revenue,
+  {D244.format("sum(rev) " + over("region_name", SO_FAR))} AS cumulative_revenue
+FROM {on_all_days("region_name", by_channel_daily("region_name"))}""",
+)
+def cumulative_by_group(s: Star) -> DataFrame:
+    """Running values of every group go on to the last day of all."""
+    return metric_query(
+        SEMANTIC_LAYER, s.metric_sources(), ["trailing_7d_revenue", "cumulative_revenue"],
+        {"region": "store__region_name", "day": "metric_time__day"},
+    )
+
+
+MARGIN_DAYS = f"(SELECT store_name, transaction_date, CAST({ATOMS['gross_margin']} AS DOUBLE) AS margin {FROM_STAR} GROUP BY ALL)"
+WITH_MARGIN_BEFORE = replace(
+    SEMANTIC_LAYER,
+    metrics=SEMANTIC_LAYER.metrics | {"margin_before": Derived(
+        "margin_before", "Gross margin a week before", inputs=(Input("gross_margin", days_ago=7),), formula=lambda c: c.cast("double")
+    )},
+)
+
+
+@query(
+    "metric_offset_derived",
+    f"""SELECT store_name AS store, transaction_date AS day, max(margin) OVER (PARTITION BY store_name ORDER BY transaction_date
+  RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING) AS margin_before FROM {on_all_days("store_name", MARGIN_DAYS)}""",
+)
+def offset_of_derived(s: Star) -> DataFrame:
+    """A metric composed of others, as it was a week earlier."""
+    return metric_query(
+        WITH_MARGIN_BEFORE, s.metric_sources(), ["margin_before"], {"store": "store__store_name", "day": "metric_time__day"}
+    )
+
+
 CHOSEN = "country_name = 'NATION_3' AND division_name IN ('ECONOMY', 'PROMO') AND transaction_date >= DATE '1997-01-01'"
 
 

@@ -68,8 +68,7 @@ def trailing_distinct(s: Star) -> DataFrame:
 FROM {CHANNEL_SPINE} LEFT JOIN {CHANNEL_DAYS} USING (channel_sk, date_day)""",
 )
 def offset(s: Star) -> DataFrame:
-    sold = channel_days(s)
-    full = joins.on_spine(windows.spine_days(sold, "date_day", KEYS), sold, "date_day", KEYS)
+    full = windows.fill_days(channel_days(s), "date_day", KEYS)
     return full.withColumn("units_week_before", windows.value_days_ago("units", KEYS, "date_day", 7))
 
 
