@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.metrics.catalog import lookup_terms, metric_catalog
 from shelfline.metrics.formatting import format_value
 from shelfline.metrics.layers import METRIC_VIEW, SEMANTIC_LAYER
-from shelfline.metrics.model import Condition, Format, Sources
+from shelfline.metrics.model import Condition, Derived, Format, Input, Sources
 from shelfline.metrics.query import metric_query
 
 DAY0 = date(2023, 12, 28)
@@ -132,6 +133,38 @@ def test_spine_fills_days_and_growth_is_null_without_a_day_before(sources):
     assert rows[DAY0 + timedelta(days=5)].day_over_day_revenue_growth is None
 
 
+def test_all_groups_have_the_same_days(sources):
+    rows = run(sources, ["cumulative_revenue"], ["metric_time__day", "store__region_name"], SEMANTIC_LAYER)
+    assert len(rows) == 3 * 41
+    last = {r.store__region_name: r.cumulative_revenue for r in rows if r.metric_time__day == DAY0 + timedelta(days=40)}
+    assert last == {"North": 180, "South": 30, None: 7}
+    first = {r.store__region_name: r.cumulative_revenue for r in rows if r.metric_time__day == DAY0}
+    assert first == {"North": 150, "South": 30, None: None}
+
+
+def earlier(metric, days):
+    moved = Derived("moved", "Moved", inputs=(Input(metric, days_ago=days),))
+    return replace(SEMANTIC_LAYER, metrics=SEMANTIC_LAYER.metrics | {"moved": moved})
+
+
+def test_offsets_of_composed_and_windowed_metrics(sources):
+    rows = {r.metric_time__day: r.moved for r in run(sources, ["moved"], ["metric_time__day"], earlier("gross_margin", 1))}
+    assert rows[DAY0 + timedelta(days=1)] == 90 and rows[DAY0 + timedelta(days=2)] == 10 and rows[DAY0] is None
+    rows = {r.metric_time__day: r.moved for r in run(sources, ["moved"], ["metric_time__day"], earlier("cumulative_revenue", 2))}
+    assert rows[DAY0 + timedelta(days=2)] == 180 and rows[DAY0 + timedelta(days=40)] == 210
+
+
+def test_shifted_count_at_a_coarser_grain_counts_once(sources):
+    rows = {r.metric_time__year: r.moved for r in run(sources, ["moved"], ["metric_time__year"], earlier("unique_customers", 1))}
+    assert rows == {date(2023, 1, 1): 2, date(2024, 1, 1): 1}
+
+
+def test_history_is_cut_for_dates_as_text(sources):
+    day = DAY0 + timedelta(days=5)
+    plan = metric_query(METRIC_VIEW, sources, ["trailing_7d_revenue"], ["transaction_date"], where=[Condition("transaction_date", ">=", str(day))])
+    assert str(day - timedelta(days=7)) in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_coarser_grain(sources):
     rows = {r.metric_time__month: r for r in run(sources, ["ytd_revenue", "total_net_revenue"], ["metric_time__month"], SEMANTIC_LAYER)}
     assert rows[date(2023, 12, 1)].ytd_revenue == 200
@@ -169,6 +202,11 @@ def test_formats(spark):
         (55.326, Format("percentage", places=2), "55.33%"),
         (1234567.0, Format("number", places=0), "1,234,567"),
         (-2500.0, Format("currency", "EUR", 1, compact=True), "€-2.5K"),
+        (999999.0, Format("number", places=2, compact=True), "1.00M"),
+        (995000.0, Format("number", places=2, compact=True), "995.00K"),
+        (999.999, Format("number", places=2, compact=True), "1.00K"),
+        (1234.5, Format("number"), "1,234.5"),
+        (DAY0, Format("date"), "2023-12-28"),
     ]
     for value, how, text in cases:
         assert spark.range(1).select(format_value(F.lit(value), how).alias("v")).first().v == text

@@ -9,7 +9,7 @@ from shelfline.functions.dates import period_start
 from shelfline.functions.ratios import growth_percent, money_sum
 from shelfline.metrics.layers import SEMANTIC_LAYER
 from shelfline.metrics.query import metric_query
-from shelfline.operators import joins, sampling, windows
+from shelfline.operators import sampling, windows
 from shelfline.operators.ordinals import ordinal_within
 from workload.joining import CHANNEL_DAYS, CHANNEL_SPINE, channel_days
 from workload.oracle import money
