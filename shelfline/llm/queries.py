@@ -35,7 +35,7 @@ def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether they decode to it again."""
     path = tokenizer_path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").withColumn("original", F.sha2(F.translate(F.coalesce("text", F.lit("")), "\u2581", " "), 256))
+    docs = table(spark, sf_dir, "documents").withColumn("original", F.sha2(F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" ")), 256))
     encoded = sentence_pieces.encode_documents(docs, path, keep=("original",))
     decoded = sentence_pieces.decode_documents(encoded, path)
     text_sha256 = F.sha2("text", 256)

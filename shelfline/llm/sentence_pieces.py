@@ -10,7 +10,8 @@ own characters to just these two pieces, and exactly one piece can end each pref
 library for either kind.
 
 No piece joins a word to what follows it (checked when the model is read), so that the segmentation of a word does not
-depend on its neighbours, and segmented words are remembered in each worker, up to a bound.
+depend on its neighbours, and segmented words are remembered in each worker, up to a bound. New words of a BPE model are
+segmented many at a time, one position of all of them after the other.
 
 Defined results: null and empty texts have no ids and decode to the empty text; characters without a piece become byte
 pieces; U+2581 is read as a space, as the library does; repeated rows are encoded row by row; an empty table gives no
@@ -22,11 +23,13 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -116,6 +119,118 @@ class Pieces:
         return [self.byte_ids[b] for b in raw] if all(b in self.byte_ids for b in raw) else [self.unknown]
 
 
+class Neighbours:
+    """Whether merging gives just the pieces a and b from their characters, for arrays of pairs.
+
+    Where a piece ranks behind the two it is merged from, it appears when its rank is reached and goes when that of the
+    piece merged from it is. So of the pieces along the seam of a and b those that are there together are known without
+    merging, and the pair fails if one such couple makes a piece before either is used up by its own side.
+    """
+
+    SLOTS = 1 << 21
+
+    def __init__(self, rank: np.ndarray, left: np.ndarray, right: np.ndarray, made: dict[tuple[int, int], int]):
+        self.rank, self.left, self.right = rank, left, right
+        pairs = sorted((a << 20 | b, rank[i]) for (a, b), i in made.items())
+        self.keys = np.array([*(k for k, _ in pairs), np.iinfo(np.int64).max], np.int64)
+        self.made_at = np.array([*(r for _, r in pairs), -1], np.int64)
+        self.seen = np.full(self.SLOTS, -1, np.int64)  # twice the key, plus 1 where the pair holds
+
+    @classmethod
+    def of(cls, pieces: Pieces, merges: dict[str, tuple[int, int]]) -> tuple[Neighbours, list[str]]:
+        """And the pieces, such as runs of spaces, that rank before one they are merged from or like another piece. What
+        contains one of those is not to be asked for."""
+        n, names, ids = len(pieces.names), pieces.names, pieces.ids
+        order = sorted((i for name, i in ids.items() if len(name) > 1), key=lambda i: -pieces.score[i])
+        rank = np.full(n, -1, np.int64)  # characters are there from the start
+        rank[order] = np.arange(len(order))
+        equal = Counter(pieces.score[i] for i in order)
+        odd = {names[i] for i in order if equal[pieces.score[i]] > 1}
+        left, right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        for name, (a, b) in merges.items():
+            left[ids[name]], right[ids[name]] = a, b
+            if max(rank[a], rank[b]) >= rank[ids[name]]:
+                odd.add(name)
+        made = {
+            (ids[names[i][:k]], ids[names[i][k:]]): i for i in order for k in range(1, len(names[i])) if names[i][:k] in ids and names[i][k:] in ids
+        }
+        least = [o for o in odd if not any(o[j:k] in odd for j in range(len(o)) for k in range(j + 1, len(o) + 1) if k - j < len(o))]
+        return cls(rank, left, right, made), least
+
+    def hold(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) << 20 | b
+        slot = (key * np.int64(0x5851F42D4C957F2D) >> np.int64(41)) & (self.SLOTS - 1)
+        found = self.seen[slot]
+        new = found >> 1 != key
+        if new.any():
+            keys, first, place = np.unique(key[new], return_index=True, return_inverse=True)
+            value = keys << 1 | self._look(keys >> 20, keys & 0xFFFFF)
+            self.seen[slot[new][first]] = value
+            found[new] = value[place]
+        return found & 1 == 1
+
+    def _look(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        good = np.ones(len(a), np.int64)
+        at = np.arange(len(a))
+        end_a = end_b = np.full(len(a), np.iinfo(np.int64).max)  # the ranks at which they are used up
+        while len(at):
+            key = a << 20 | b
+            k = np.searchsorted(self.keys, key)
+            made = self.made_at[k]
+            bad = (self.keys[k] == key) & (made < end_a) & (made <= end_b)  # among equals the left one comes first
+            good[at[bad]] = 0
+            rank_a, rank_b = self.rank[a], self.rank[b]
+            on = ~bad & ((rank_a >= 0) | (rank_b >= 0))
+            back_a = rank_a > rank_b  # what came last goes first on the way back
+            a, b, end_a, end_b = (
+                np.where(back_a, self.right[a], a)[on],
+                np.where(back_a, b, self.left[b])[on],
+                np.where(back_a, rank_a, end_a)[on],
+                np.where(back_a, end_b, rank_b)[on],
+            )
+            at = at[on]
+        return good
+
+
+class Endings:
+    """For each position of a text the longest piece that ends there, by an automaton over arrays of texts."""
+
+    def __init__(self, usable: dict[str, int], n_pieces: int):
+        step: dict[int, int] = {}
+        text, at_end = [""], {"": 0}
+        for piece in sorted(usable):
+            state = 0
+            for k, char in enumerate(piece, 1):
+                key = state << 21 | ord(char)
+                if key not in step:
+                    step[key] = len(text)
+                    at_end[piece[:k]] = len(text)
+                    text.append(piece[:k])
+                state = step[key]
+
+        def longest_of(name: str, table: dict[str, int], least: int) -> int:
+            return next((table[name[k:]] for k in range(least, len(name)) if name[k:] in table), -1)
+
+        self.back = np.array([max(longest_of(t, at_end, 1), 0) for t in text], np.int64)
+        self.longest = np.array([longest_of(t, usable, 0) for t in text], np.int64)
+        self.shorter = np.full(n_pieces, -1, np.int64)
+        for name, i in usable.items():
+            self.shorter[i] = longest_of(name, usable, 1)
+        self.keys = np.array([*sorted(step), np.iinfo(np.int64).max], np.int64)
+        self.next = np.array([*(step[k] for k in sorted(step)), 0], np.int64)
+
+    def step(self, state: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        out, at = np.zeros(len(state), np.int64), np.arange(len(state))
+        while len(at):
+            key = state << 21 | chars
+            k = np.searchsorted(self.keys, key)
+            hit = self.keys[k] == key
+            out[at[hit]] = self.next[k[hit]]
+            on = ~hit & (state != 0)
+            at, state, chars = at[on], self.back[state[on]], chars[on]
+        return out
+
+
 class Encoder:
     """Streaming Viterbi over one model."""
 
@@ -127,13 +242,21 @@ class Encoder:
         self.pairs: dict[int, bool] = {}
         self.length = [len(p) for p in pieces.names]
         # a piece that its own characters do not merge to is never used
-        usable = {p: i for p, i in pieces.ids.items() if not pieces.bpe or self._merged(p) == [i]}
+        merges: dict[str, list[tuple[int, int]]] = {p: [] for p in pieces.ids}
+        usable = {p: i for p, i in pieces.ids.items() if not pieces.bpe or self._merged(p, merges[p]) == [i]}
         self.missing = min(pieces.score, default=0.0) - 10.0  # the score of a character without a piece
         # the ends of pieces: the id of a piece, -1 for what is only the end of longer ones
         self.endings = {name[k:]: -1 for name in usable for k in range(1, len(name))} | usable
-
-    def _merged(self, text: str) -> list[int | None]:
-        """Characters merged in order of score, the leftmost first among equals; None for a character without a piece."""
+        self.side_by_side = pieces.bpe and len(pieces.names) < 1 << 20
+        if self.side_by_side:
+            self.neighbours, odd = Neighbours.of(pieces, {p: merges[p][-1] for p in usable if merges[p]})
+            self.odd = re.compile("|".join(map(re.escape, odd)) or "(?!)")
+            self.lengths = np.array(self.length, np.int64)
+            self.automaton = Endings(usable, len(pieces.names))
+
+    def _merged(self, text: str, merges: list[tuple[int, int]] | None = None) -> list[int | None]:
+        """Characters merged in order of score, the leftmost first among equals; None for a character without a piece.
+        The pairs merged are added to `merges`."""
         ids, names, score = self.pieces.ids, self.pieces.names, self.pieces.score
         parts = [ids.get(c) for c in text]
 
@@ -147,6 +270,8 @@ class Encoder:
             if not found:
                 break
             at = min(found)[1]
+            if merges is not None:
+                merges.append((parts[at], parts[at + 1]))
             parts[at : at + 2] = [pairs[at]]
             del pairs[at]
             for k in (at - 1, at):
@@ -193,10 +318,58 @@ class Encoder:
                     last, best, base = last[final - base :], best[final - base :], final
         yield self._path(last, base, len(text))
 
+    def _side_by_side(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words, all of which go on together from position to position. The longest must come first."""
+        n = np.array([len(w) for w in words])
+        width = int(n[0])
+        chars = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le", "surrogatepass"), "<u4")
+        chars = np.ascontiguousarray(chars.reshape(-1, width).T).astype(np.int64)
+        last = np.full((width + 1, len(words)), -1, np.int64)
+        state = np.zeros(len(words), np.int64)
+        for end in range(1, width + 1):
+            live = int(np.searchsorted(-n, -end, side="right"))
+            state = self.automaton.step(state[:live], chars[end - 1, :live])
+            last[end, :live] = -end
+            piece = self.automaton.longest[state]
+            at = np.flatnonzero(piece >= 0)
+            piece = piece[at]
+            while len(at):
+                before = last[end - self.lengths[piece], at]
+                fits = before < 0
+                asked = np.flatnonzero(~fits)
+                fits[asked] = self.neighbours.hold(before[asked], piece[asked])
+                last[end, at[fits]] = piece[fits]
+                piece, at = self.automaton.shorter[piece[~fits]], at[~fits]
+                piece, at = piece[piece >= 0], at[piece >= 0]
+        path = np.full((len(words), width), -1, np.int32)
+        odd, left, at, column = set(), n.copy(), np.arange(len(words)), width
+        count = np.zeros(len(words), np.int64)
+        while len(at):
+            column -= 1
+            piece = last[left[at], at]
+            path[at, column] = piece
+            count[at] += 1
+            odd.update(at[piece < 0].tolist())
+            left[at] -= np.where(piece < 0, 1, self.lengths[piece])
+            at = at[left[at] > 0]
+        flat = path[np.arange(width) >= width - count[:, None]].tobytes()
+        ends = (np.cumsum(count) * 4).tolist()
+        done = dict(zip(words, (flat[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        for k in odd:
+            done[words[k]] = self._ids(words[k], path[k, width - count[k] :].tolist())
+        return done
+
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of words. In order of the alphabet, so that each goes on from what it shares with the one before."""
+        """The ids of words, side by side where the model allows it and long ones as streams. Else in order of the alphabet,
+        so that each goes on from what it shares with the one before."""
         if len(self.pairs) > 2_000_000:
             self.pairs.clear()
+        if self.side_by_side:
+            some = sorted((w for w in words if len(w) <= 64 and not self.odd.search(w)), key=len, reverse=True)
+            done = {w: self._ids(w, chain.from_iterable(self.stream(w))) for w in words.difference(some)}
+            for at in range(0, len(some), 16_384):
+                done.update(self._side_by_side(some[at : at + 16_384]))
+            return done
         done, at, last, best = {}, "", [-1], [0.0]
         for word in sorted(words):
             if len(word) > 64:
@@ -297,11 +470,22 @@ def _encoder(model: bytes) -> Encoder:
     return _ENCODERS[key]
 
 
-def decode(pieces: Pieces, ids: list[int]) -> str:
-    raw = b"".join(map(pieces.bytes.__getitem__, ids))
-    if pieces.prefix and raw.startswith(b" "):
-        raw = raw[1:]
-    return raw.decode("utf-8", "replace")
+def decode(pieces: Pieces, lists: pa.ListArray) -> pa.Array:
+    """The text of each list of ids; null for null. What is not UTF-8 becomes U+FFFD."""
+    offsets = lists.offsets.to_numpy()
+    at = offsets - offsets[0]
+    ids = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+    parts = pa.array(pieces.bytes, pa.large_binary()).take(ids)
+    ends = np.frombuffer(parts.buffers()[1], np.int64, len(parts) + 1, parts.offset * 8)[at] if len(parts) else np.zeros(len(at), np.int64)
+    data = parts.buffers()[2] if len(parts) else None
+    raw = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends), data or pa.py_buffer(b"")])
+    if pieces.prefix:
+        raw = pc.if_else(pc.starts_with(raw, " "), pc.binary_replace_slice(raw, 0, 1, b""), raw)
+    try:
+        text = raw.cast(pa.string())
+    except pa.ArrowInvalid:
+        text = pa.array([t.decode("utf-8", "replace") for t in raw.to_pylist()], pa.string())
+    return pc.if_else(lists.is_valid(), text, pa.scalar(None, pa.string()))
 
 
 def _pieces_of(docs: DataFrame, model_path: str):
@@ -343,7 +527,6 @@ def decode_documents(encoded: DataFrame, model_path: str, ids_col: str = "ids",
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                texts = [None if ids is None else decode(pieces, ids) for ids in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col])
+                yield pa.RecordBatch.from_arrays([*part.columns, decode(pieces, part.column(at))], names=[*batch.schema.names, out_col])
 
     return encoded.mapInArrow(run, schema)
