@@ -36,8 +36,7 @@ def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether they decode to it again."""
     path = tokenizer_path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").withColumn("original", F.sha2(F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" ")), 256))
-    encoded = sentence_pieces.encode_documents(docs, path, keep=("original",))
-    decoded = sentence_pieces.decode_documents(encoded, path)
+    decoded = sentence_pieces.encode_documents(docs, path, keep=("original",), decoded_col="text")
     text_sha256 = F.sha2("text", 256)
     return decoded.select("doc_id", "n_tokens", "ids", text_sha256.alias("decoded_sha256"), (text_sha256 == F.col("original")).alias("round_trip"))
 

@@ -234,7 +234,7 @@ class Endings:
 class Encoder:
     """Streaming Viterbi over one model."""
 
-    def __init__(self, pieces: Pieces, remembered: int = 400_000):
+    def __init__(self, pieces: Pieces, remembered: int = 200_000):
         self.pieces = pieces
         self.bound = remembered
         self.known: dict[str, bytes] = {}
@@ -493,12 +493,15 @@ def _pieces_of(docs: DataFrame, model_path: str):
         return docs.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, the `keep` columns, n_tokens, ids."""
+def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decoded_col: str | None = None) -> DataFrame:
+    """One row per document: doc_id, the `keep` columns, n_tokens, ids. With `decoded_col` also the text of the ids, decoded in
+    the same pass."""
     shared = _pieces_of(docs, model_path)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("text_to_encode"))
     n = len(keep) + 1
     schema = type(rows.schema)(rows.schema.fields[:n]).add("n_tokens", "long").add("ids", ArrayType(IntegerType()))
+    if decoded_col:
+        schema = schema.add(decoded_col, "string")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
@@ -509,9 +512,10 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
                 counts = np.array([len(m) // 4 for m in made], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(n)), pa.array(counts), ids], names=[*batch.schema.names[:n], "n_tokens", "ids"]
-                )
+                columns = [*(part.column(i) for i in range(n)), pa.array(counts), ids]
+                if decoded_col:
+                    columns.append(decode(encoder.pieces, ids))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(encode, schema)
 
