@@ -11,9 +11,11 @@ with one suffix and a long right side with another, and a passage with a third t
 or more begin alike, the contexts are also put in order for each split of `least` words into left and right, and
 neighbours compared there.
 
-Suffixes that begin alike are together in one task, up to `hot` of them. More of them, such as those of a passage that a
-third of all documents have, are range partitioned by their whole context, which deals them out evenly; the last suffix of
-each range is then compared with the first of the next.
+Suffixes that begin alike are together in one task, up to `hot` of them. Of more of them, such as those of a passage that
+a third of all documents have, no contexts are compared: each window of `least` words whose minimiser is such a suffix is
+sent as one 64-bit hash. The hashes are range partitioned together with their places, which deals out a common one evenly;
+a window is repeated if a neighbour in this order has the same hash, and the last of each range is compared with the first
+of the next. A window has one minimiser and so is sent once.
 
 Defined results: null, empty and short texts have no passages; a passage that occurs twice in one document is repeated,
 also where the two overlap; repeated rows repeat each other; null ids are reported as null; an empty table gives no rows;
@@ -44,10 +46,20 @@ def _grams(hashes: np.ndarray) -> np.ndarray:
     return acc
 
 
-def minimisers(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the retained suffixes, and the hashes of their first words."""
-    if len(hashes) < least:
-        return np.array([], np.int64), np.array([], np.uint64)
+def _window_hashes(hashes: np.ndarray, least: int) -> np.ndarray:
+    """A hash for each run of `least` words, put together from runs of 1, 2, 4 ... words."""
+    prime, n = np.uint64(0x9E3779B97F4A7C15), len(hashes) - least + 1
+    runs, width, acc, done = hashes, 1, np.full(n, least, np.uint64), 0
+    while done < least:
+        if least & width:
+            acc, done = mix64(acc * prime + runs[done : done + n]), done + width
+        if done < least:
+            runs, width = mix64(runs[:-width] * prime + mix64(runs[width:] + np.uint64(width))), 2 * width
+    return acc
+
+
+def _window_minimisers(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each run of `least` words the position of its minimiser, and the hashes of all 8-word runs."""
     grams = _grams(hashes)
     # the high bits of the hash, then the place, so that the least of a stretch tells where it is, the leftmost of equal ones
     low = np.uint64((1 << max(26, len(grams).bit_length())) - 1)
@@ -57,7 +69,15 @@ def minimisers(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         keys, width = np.minimum(keys[:-width], keys[width:]), 2 * width
     if span > width:
         keys = np.minimum(keys[: len(keys) - span + width], keys[span - width :])
-    at = np.unique(keys & low).astype(np.int64)
+    return (keys & low).astype(np.int64), grams
+
+
+def minimisers(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the retained suffixes, and the hashes of their first words."""
+    if len(hashes) < least:
+        return np.array([], np.int64), np.array([], np.uint64)
+    of_windows, grams = _window_minimisers(hashes, least)
+    at = np.unique(of_windows)
     return at, grams[at]
 
 
@@ -159,56 +179,114 @@ def _compare(rows: list[tuple], least: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _passages(sorted_rows: DataFrame, least: int) -> DataFrame:
-    """Passages within each partition of sorted suffixes, and the partitions' first and last suffix (edge 1 and 2)."""
+    """Passages within each partition of sorted suffixes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["edge", "task", "gram", "right", "left", "n_right", "n_left", "id", "at", "end"]
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        task = TaskContext.get().partitionId()
         held: list[tuple] = []
 
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            columns = zip(*rows, strict=True) if rows else [()] * len(names)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
         def spans(rows: list[tuple]) -> pa.RecordBatch:
             found = dict.fromkeys(_compare(rows, least)) if len(rows) > 1 else {}
-            return batch_of([(0, task, 0, b"", b"", 0, 0, id_, begin, end) for id_, begin, end in found])
-
-        def edge(kind: int, row: tuple) -> pa.RecordBatch:
-            return batch_of([(kind, task, *row, 0)])
+            columns = zip(*found, strict=True) if found else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "at", "end"])
 
-        first = True
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if first:
-                    yield edge(1, row)
-                    first = False
                 if len(held) >= _CHUNK and (row[0] != held[-1][0] or len(held) >= 4 * _CHUNK):
                     yield spans(held)
                     held = held[-1:]
                 held.append(row)
         if held:
             yield spans(held)
-            yield edge(2, held[-1])
 
-    return sorted_rows.mapInArrow(
-        find, "edge int, task int, gram long, right binary, left binary, n_right int, n_left int, id long, at long, end long"
-    )
+    return sorted_rows.mapInArrow(find, "id long, at long, end long")
 
 
-def _over_borders(edges: DataFrame, least: int) -> DataFrame:
-    """Passages between the last suffix of a range and the first of the next: two rows for each range."""
+def _windows(rows: DataFrame, least: int) -> DataFrame:
+    """From (id, text, places), a row per window whose minimiser is at one of the places: hash, id, place of its begin."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                made: list[tuple] = []
+                for id_, text, places in zip(part.column(0).to_pylist(), utf8(part.column(1)), part.column(2).to_pylist(), strict=True):
+                    hashes = known.of(split_words(text))
+                    if len(hashes) < least:
+                        continue  # the places are of another row with the same id
+                    of_windows, _ = _window_minimisers(hashes, least)
+                    begin = np.flatnonzero(np.isin(of_windows, np.array(places, np.int64)))
+                    if len(begin):
+                        hashed = _window_hashes(hashes, least)[begin].view(np.int64)
+                        made.append((hashed, np.full(len(begin), id_, np.int64), begin.astype(np.int32)))
+                if made:
+                    columns = [pa.array(np.concatenate(c)) for c in zip(*made, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["hash", "id", "at"])
+
+    return rows.mapInArrow(windows, "hash long, id long, at int")
+
+
+def _same_as_neighbour(sorted_windows: DataFrame) -> DataFrame:
+    """Windows with a neighbour of the same hash in their partition (edge 0), and the partitions' first and last (1 and 2)."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        last, last_same = None, False
+
+        def rows(edge: int, h: np.ndarray, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+            fixed = [pa.array(np.full(len(h), v, np.int32)) for v in (edge, task)]
+            return pa.RecordBatch.from_arrays([*fixed, *map(pa.array, (h, ids, at))], names=["edge", "task", "hash", "id", "at"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, ids, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if last is None:
+                yield rows(1, h[:1], ids[:1], at[:1])
+            else:
+                h, ids, at = (np.concatenate(c) for c in zip(last, (h, ids, at), strict=True))
+            same = np.zeros(len(h), bool)
+            same[0] = last_same
+            equal = h[1:] == h[:-1]
+            same[1:] |= equal
+            same[:-1] |= equal
+            last, last_same = (h[-1:], ids[-1:], at[-1:]), bool(same[-1])
+            kept = np.flatnonzero(same[:-1])
+            if len(kept):
+                yield rows(0, h[kept], ids[kept], at[kept])
+        if last is not None:
+            if last_same:
+                yield rows(0, *last)
+            yield rows(2, *last)
+
+    return sorted_windows.mapInArrow(find, "edge int, task int, hash long, id long, at int")
+
+
+def _over_borders(edges: DataFrame) -> DataFrame:
+    """The last window of a range and the first of the next, where they are the same: two rows for each range."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
-        found = dict.fromkeys(s for a, b in zip(rows, rows[1:], strict=False) if a[0] != b[0] for s in _compare([a[1:], b[1:]], least))
-        ids, begins, ends = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, begins, ends)], names=["id", "at", "end"])
+        found = dict.fromkeys(r[2:] for a, b in zip(rows, rows[1:], strict=False) if a[0] != b[0] and a[1] == b[1] for r in (a, b))
+        ids, begins = zip(*found, strict=True) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(begins, pa.int32())], names=["id", "at"])
 
-    columns = ["task", "gram", "right", "left", "n_right", "n_left", "id", "at"]
+    columns = ["task", "hash", "id", "at"]
     ordered = edges.select("edge", *columns).coalesce(1).sortWithinPartitions("task", "edge").select(*columns)
-    return ordered.mapInArrow(find, "id long, at long, end long")
+    return ordered.mapInArrow(find, "id long, at int")
+
+
+def _merged(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """From spans in order of id and begin, those of one id united where they overlap."""
+    if not len(ids):
+        return iter(())
+    # ends so far of the same id: a later id counts from a higher step
+    step = np.concatenate([[0], np.cumsum(ids[1:] != ids[:-1])]) << 32
+    reach = np.maximum.accumulate(ends + step)
+    fresh = np.concatenate([[True], begins[1:] + step[1:] > reach[:-1]])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(ids)) - 1
+    return zip(ids[first].tolist(), begins[first].tolist(), (reach - step)[last].tolist(), strict=True)
 
 
 def _united(passages: DataFrame) -> DataFrame:
@@ -232,7 +310,7 @@ def _united(passages: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_passages", "repeated_words", "passages"])
 
         for batch in batches:
-            for id_, begin, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for id_, begin, end in _merged(*(c.to_numpy(zero_copy_only=False) for c in batch.columns)):
                 if id_ != now:
                     if spans:
                         done.append((now, spans))
@@ -267,14 +345,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.array_sort(F.collect_set(F.when(F.col("hot"), F.col("at")))).alias("many"),
     )
     texts = rows.join(stored(places, "places"), "id")
-    order = ["gram", "right", "left"]
     few = _contexts(texts.where(F.size("few") > 0).select("id", "text", "few"), least)
-    found = stored(_passages(few.repartition(n, "gram").sortWithinPartitions(*order), least), "passages").where("edge = 0")
-    found = found.select("id", "at", "end")
+    found = stored(_passages(few.repartition(n, "gram").sortWithinPartitions("gram", "right", "left"), least), "passages")
     if not often.where("hot").isEmpty():
-        many = _contexts(texts.where(F.size("many") > 0).select("id", "text", "many"), least)
-        ranges = many.repartitionByRange(n, *order, "id", "at").sortWithinPartitions(*order, "id", "at")
-        more = stored(_passages(ranges, least), "passages")
-        found = found.unionByName(more.where("edge = 0").select("id", "at", "end"))
-        found = found.unionByName(_over_borders(more.where("edge > 0"), least))
+        # stored, since the ranges are drawn from a first pass over the windows
+        many = stored(_windows(texts.where(F.size("many") > 0).select("id", "text", "many"), least), "windows")
+        ranges = many.repartitionByRange(n, "hash", "id", "at").sortWithinPartitions("hash", "id", "at")
+        same = stored(_same_as_neighbour(ranges), "same")
+        same = same.where("edge = 0").select("id", "at").unionByName(_over_borders(same.where("edge > 0")))
+        found = found.unionByName(same.select("id", F.col("at").cast("long").alias("at"), (F.col("at") + least).cast("long").alias("end")))
     return _united(found)

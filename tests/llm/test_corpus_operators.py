@@ -25,7 +25,7 @@ from shelfline.llm import (
     token_counts,
     web_archives,
 )
-from shelfline.llm.common import crc_mod, tokenizer_path
+from shelfline.llm.common import WordHashes, crc_mod, split_words, tokenizer_path
 from shelfline.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, row string"
@@ -241,6 +241,35 @@ def test_repeated_passages(docs, empty, rows, least, hot):
     assert repeated_passages.repeated_passages(empty).count() == 0
 
 
+def test_hot_windows(spark, docs, rows):
+    """Above `hot` every span is found as well, also of passages that end in a line which many documents have."""
+    rng, known = random.Random(8), WordHashes()
+    # a line that is the minimiser of nearly every stretch with it
+    line = next(t for t in (words(rng, 8) for _ in range(10**6)) if repeated_passages._grams(known.of(split_words(t.encode())))[0] < 2**53)
+    ended = [words(rng, 42) + " " + line for _ in range(30)]
+    more = [(k, words(rng, 60) + " " + line + " " + words(rng, 50)) for k in range(200, 300)]
+    more += [(k, words(rng, 20 + k % 40) + " " + ended[k % 30] + " " + words(rng, 50)) for k in range(300, 360)]
+    more = [(i, t, None, None, None, None, None) for i, t in more]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        for table, all_rows in ((spark.createDataFrame(more, SCHEMA), more), (docs, rows)):
+            got = repeated_passages.repeated_passages(table, hot=3).collect()
+            assert {r.doc_id: [tuple(p) for p in r.passages] for r in got} == brute_passages(all_rows, 50)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_window_hashes():
+    rng = np.random.default_rng(1)
+    for least in (16, 17, 50, 63, 64):
+        few = rng.integers(0, 2, 400).astype(np.uint64)
+        few[200:300] = few[50:150]
+        got = repeated_passages._window_hashes(few, least)
+        runs = [tuple(few[p : p + least]) for p in range(len(few) - least + 1)]
+        assert len(got) == len(runs) and len(set(zip(runs, got.tolist()))) == len(set(runs)) == len(set(got.tolist()))
+
+
 def test_sentence_pieces_match_the_library(docs, empty, rows):
     import sentencepiece
 
