@@ -178,25 +178,27 @@ def _compare(rows: list[tuple], least: int) -> Iterator[tuple[int, int, int]]:
             yield int(ids[row]), int(at[row] - o), int(at[row] - o + least)
 
 
+def _blocks(rows: Iterator[tuple], chunk: int) -> Iterator[list[tuple]]:
+    """Sorted rows in blocks of about `chunk`; those that begin alike are never parted."""
+    held: list[tuple] = []
+    for row in rows:
+        if len(held) >= chunk and row[0] != held[-1][0]:
+            yield held
+            held = []
+        held.append(row)
+    if held:
+        yield held
+
+
 def _passages(sorted_rows: DataFrame, least: int) -> DataFrame:
     """Passages within each partition of sorted suffixes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def spans(rows: list[tuple]) -> pa.RecordBatch:
-            found = dict.fromkeys(_compare(rows, least)) if len(rows) > 1 else {}
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for block in _blocks(rows, _CHUNK):
+            found = dict.fromkeys(_compare(block, least)) if len(block) > 1 else {}
             columns = zip(*found, strict=True) if found else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "at", "end"])
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if len(held) >= _CHUNK and (row[0] != held[-1][0] or len(held) >= 4 * _CHUNK):
-                    yield spans(held)
-                    held = held[-1:]
-                held.append(row)
-        if held:
-            yield spans(held)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "at", "end"])
 
     return sorted_rows.mapInArrow(find, "id long, at long, end long")
 

@@ -260,6 +260,14 @@ def test_hot_windows(spark, docs, rows):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_blocks_keep_what_begins_alike():
+    rows = [(g, k) for g, n in ((1, 3), (2, 70), (3, 1), (4, 9), (5, 12)) for k in range(n)]
+    blocks = list(repeated_passages._blocks(iter(rows), 10))
+    assert [r for b in blocks for r in b] == rows
+    assert [{g for g, _ in b} for b in blocks] == [{1, 2}, {3, 4}, {5}]
+    assert list(repeated_passages._blocks(iter([]), 10)) == []
+
+
 def test_window_hashes():
     rng = np.random.default_rng(1)
     for least in (16, 17, 50, 63, 64):
