@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from shelfline.metrics.layers import METRIC_VIEW, SEMANTIC_LAYER
 from workload.compare import TABLES, rows_of
 from workload.registry import ENTRIES
 from workload.star import Star
@@ -48,6 +49,18 @@ def test_query_matches_sql_without_broadcasts(spark, tables, no_broadcast, name)
     compare(spark, tables, name)
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ("metric_catalog_all", "metric_format_all"))
+def test_whole_catalog(spark, tables, name):
+    compare(spark, tables, name)
+    rows = ENTRIES[name].run(Star(spark, FOLDER)).select("layer", "name").distinct().collect()
+    entries = [(e, m) for e in (METRIC_VIEW, SEMANTIC_LAYER) for m in e.metrics.values()]
+    want = {(e.name, m.name) for e, m in entries if name == "metric_catalog_all" or m.format}
+    if name == "metric_catalog_all":
+        want |= {(e.name, d) for e in (METRIC_VIEW, SEMANTIC_LAYER) for d in e.dimensions}
+    assert {tuple(r) for r in rows} == want
+
+
 def test_contract():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert {n for n in contract.ENTRIES if n not in contract.oracle_sql()} == {"fn_uuid", "fn_current_timestamp"}

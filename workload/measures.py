@@ -17,7 +17,7 @@ from shelfline.sources.readers import read_parquet
 from shelfline.sources.scratch import scratch_folder
 from shelfline.sources.writers import nullable, write_parquet
 from workload.oracle import money
-from workload.published import ATOMS, D244, FROM_STAR, LAST_1, MONTH, SO_FAR, SPINE, over, plain_sql, spine_over
+from workload.published import ATOMS, D244, FROM_STAR, LAST_1, MONTH, SO_FAR, SPINE, daily_sql, over, plain_sql, spine_over
 from workload.registry import add, query
 from workload.star import Star
 
@@ -278,3 +278,129 @@ def formats(s: Star) -> DataFrame:
         F.lit(None).cast("string"),
     )
     return totals_by_year(s).select("year", "name", shown.alias("shown"))
+
+
+# --- catalog and formats, whole ----------------------------------------------------------------
+
+LAYERS = ((METRIC_VIEW, "transaction_year"), (SEMANTIC_LAYER, "metric_time__year"))
+
+
+def all_by_year(s: Star, layer: Layer, year: str) -> DataFrame:
+    """One row per year with every metric of the layer, in double precision."""
+    wide = metric_query(layer, s.metric_sources(), list(layer.metrics), {"year": year})
+    return wide.select("year", *[F.col(m).cast("double").alias(m) for m in layer.metrics])
+
+
+def windowed_values(layer: str, days: str, day: str, window: tuple[int, int], growth: str, more: dict[str, str]) -> str:
+    """Windowed metrics at the last day of each year; `window` is the seven days' frame, `growth` the year's daily growth."""
+    first, last = window
+    frame = f"INTERVAL {first} DAY PRECEDING AND " + ("CURRENT ROW" if last == 0 else f"INTERVAL {last} DAY PRECEDING")
+
+    def total(frame: str, by: str = "") -> str:
+        return f"CAST(sum(rev) OVER ({by}ORDER BY {day} RANGE BETWEEN {frame}) AS DOUBLE)"
+
+    columns = {
+        "trailing_7d_revenue": total(frame), "cumulative_revenue": total(SO_FAR), "ytd_revenue": total(SO_FAR, f"PARTITION BY year({day}) "),
+    } | more
+    ends = f"""(SELECT {day} AS day, CAST(date_trunc('year', {day}) AS DATE) AS year, {', '.join(f"{v} AS {k}" for k, v in columns.items())}
+  FROM {days} QUALIFY row_number() OVER (PARTITION BY year({day}) ORDER BY {day} DESC) = 1)"""
+    parts = [f"SELECT '{layer}' AS layer, year, '{k}' AS name, {k} AS value FROM {ends}" for k in columns]
+    parts.append(f"""SELECT '{layer}', year, 'trailing_7d_customers', CAST(count(DISTINCT customer_sk) AS DOUBLE) FROM {ends} LEFT JOIN c_sales
+  ON transaction_date BETWEEN day - INTERVAL {first} DAY AND day - INTERVAL {last} DAY GROUP BY year""")
+    return " UNION ALL ".join([*parts, growth.format(ends=ends)])
+
+
+ALL_VALUES = " UNION ALL ".join(
+    [
+        f"SELECT '{layer.name}' AS layer, transaction_year AS year, '{m}' AS name, CAST({sql} AS DOUBLE) AS value FROM c_sales GROUP BY 2"
+        for layer, _ in LAYERS for m, sql in ATOMS.items()
+    ]
+    + [
+        windowed_values(
+            "metric_view", f"({daily_sql('')})", "transaction_date", (7, 1),
+            """SELECT 'metric_view', year, 'day_over_day_growth',
+  (current_day_revenue - previous_day_revenue) / nullif(previous_day_revenue, 0) * 100 FROM {ends}""",
+            {"current_day_revenue": "CAST(rev AS DOUBLE)", "previous_day_revenue": f"CAST(sum(rev) {over('', LAST_1)} AS DOUBLE)"},
+        ),
+        windowed_values(
+            "semantic_layer", SPINE, "metric_time__day", (6, 0),
+            f"""SELECT 'semantic_layer', CAST(date_trunc('year', metric_time__day) AS DATE), 'day_over_day_revenue_growth',
+  (CAST(sum(rev) AS DOUBLE) - CAST(sum(prev) AS DOUBLE)) / nullif(CAST(sum(prev) AS DOUBLE), 0) * 100
+  FROM (SELECT metric_time__day, rev, sum(rev) {spine_over(LAST_1)} AS prev FROM {SPINE}) GROUP BY 2""",
+            {},
+        ),
+    ]
+)
+
+
+def text_sql(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+def entry_rows() -> str:
+    """What the layers declare, as rows."""
+    kinds = {"Simple": "simple", "Derived": "derived", "Windowed": "cumulative"}
+    rows = []
+    for layer, _ in LAYERS:
+        for e in (*layer.metrics.values(), *layer.dimensions.values()):
+            cells = (layer.name, e.name, kinds.get(type(e).__name__, "dimension"), e.label, e.format and e.format.type, ", ".join(e.synonyms))
+            rows.append(f"({', '.join(map(text_sql, cells))})")
+    return ", ".join(rows)
+
+
+def shown_sql() -> str:
+    """The text of each metric that declares a format."""
+
+    def fixed(value: str, places: int) -> str:
+        return f"format('{{:,.{places}f}}', CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,{places})) AS DOUBLE))"
+
+    cases = []
+    for layer, _ in LAYERS:
+        for m in layer.metrics.values():
+            if m.format is None:
+                continue
+            f = m.format
+            text = fixed("value * 100" if f.fraction else "value", f.places)
+            if f.compact:
+                steps = " ".join(
+                    f"WHEN abs(value) >= {step} THEN {fixed(f'value / {step}', f.places)} || '{letter}'" for step, letter in (("1e9", "B"), ("1e6", "M"), ("1e3", "K"))
+                )
+                text = f"CASE {steps} ELSE {text} END"
+            text = {"currency": f"'$' || {text}", "percentage": f"{text} || '%'"}.get(f.type, text)
+            cases.append(f"WHEN layer = '{layer.name}' AND name = '{m.name}' THEN {text}")
+    return f"CASE {' '.join(cases)} END"
+
+
+UNFORMATTED = ", ".join(f"'{m.name}'" for layer, _ in LAYERS for m in layer.metrics.values() if m.format is None)
+
+
+@query(
+    "metric_catalog_all",
+    f"""SELECT c.layer, year, c.name, kind, label, format_type, synonyms, value
+FROM (VALUES {entry_rows()}) c(layer, name, kind, label, format_type, synonyms)
+LEFT JOIN ({ALL_VALUES}) t ON t.layer = c.layer AND t.name = c.name""",
+)
+def catalog_all(s: Star) -> DataFrame:
+    """Every metric and dimension of both layers, metrics with their value per year."""
+
+    def of(layer: Layer, year: str) -> DataFrame:
+        entries = metric_catalog(s.spark, layer).select(
+            "layer", "name", "kind", "label", F.col("format.type").alias("format_type"), F.array_join("synonyms", ", ").alias("synonyms")
+        )
+        values = all_by_year(s, layer, year).unpivot(["year"], list(layer.metrics), "name", "value")
+        return entries.join(values, "name", "left").select("layer", "year", "name", "kind", "label", "format_type", "synonyms", "value")
+
+    return reduce(DataFrame.unionByName, [of(*layer) for layer in LAYERS])
+
+
+@query("metric_format_all", f"SELECT layer, year, name, {shown_sql()} AS shown FROM ({ALL_VALUES}) WHERE name NOT IN ({UNFORMATTED})")
+def formats_all(s: Star) -> DataFrame:
+    """Every metric of both layers that declares a format, as text per year."""
+
+    def of(layer: Layer, year: str) -> DataFrame:
+        declared = [m.name for m in layer.metrics.values() if m.format]
+        shown = [format_value(F.col(m), layer.metrics[m].format).alias(m) for m in declared]
+        texts = all_by_year(s, layer, year).select("year", *shown).unpivot(["year"], declared, "name", "shown")
+        return texts.select(F.lit(layer.name).alias("layer"), "year", "name", "shown")
+
+    return reduce(DataFrame.unionByName, [of(*layer) for layer in LAYERS])
