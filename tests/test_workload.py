@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from shelfline.metrics.layers import METRIC_VIEW, SEMANTIC_LAYER
+from shelfline.schemas import TABLES as SCHEMAS
 from workload.compare import TABLES, rows_of
 from workload.registry import ENTRIES
 from workload.star import Star
@@ -61,6 +62,15 @@ def test_whole_catalog(spark, tables, name):
     assert {tuple(r) for r in rows} == want
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ("dq_not_null_all", "dq_allowed_values_all", "dq_primary_key_all"))
+def test_checks_of_all_tables(spark, tables, name):
+    compare(spark, tables, name)
+    if name != "dq_allowed_values_all":
+        found = ENTRIES[name].run(Star(spark, FOLDER)).select("table_name").distinct().collect()
+        assert {r.table_name for r in found} == set(SCHEMAS)
+
+
 def test_contract():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert {n for n in contract.ENTRIES if n not in contract.oracle_sql()} == {"fn_uuid", "fn_current_timestamp"}

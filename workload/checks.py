@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +12,9 @@ from shelfline.quality import checks, kpis
 from shelfline.rules import stores
 from shelfline.schemas import TABLES
 from shelfline.sources.readers import table_summary
+import workload.business  # noqa: F401  for the SQL of dim_geography
 from workload.oracle import money, ratio, units
-from workload.registry import add, query
+from workload.registry import ENTRIES, add, query
 from workload.star import Star
 
 FACTS = {
@@ -163,3 +167,55 @@ add(
         f"SELECT '{t}' AS table_name, count(*) AS cnt, {n} AS column_count FROM {t}" for t, n in SUMMED.items()
     ),
 )
+
+
+# --- the checks over all twelve tables -----------------------------------------------------------
+
+CHANNEL_ROWS = ", ".join(
+    f"({sk}, 'CHN-{sk:02d}', '{stores.channel_name(sk)}', '{cat}', '{kind}', {dig}, {own})" for sk, cat, kind, dig, own in stores.CHANNELS
+)
+SOURCES = {t: view for t, (view, _) in FACTS.items()} | DIMS | {
+    "dim_employee": "c_employees",
+    "dim_promotion": "(SELECT *, 'P' || promotion_sk AS promotion_nk, 'P' || promotion_sk AS promotion_name, FALSE AS stackable_flag FROM c_promotions)",
+    "dim_channel": f"""(SELECT * FROM (VALUES {CHANNEL_ROWS})
+  c(channel_sk, channel_nk, channel_name, channel_category, channel_type, is_digital, is_owned))""",
+    "dim_geography": f"({ENTRIES['build_dim_geography'].oracle})",
+}
+#: Required columns that no rule builds: the declared default fills them when a table is written.
+DEFAULTED = {
+    "load_timestamp", "created_timestamp", "updated_timestamp", "units_shrinkage_today", "units_returned_today", "return_shipping_cost",
+}
+REQUIRED = {t: [c for c in spec.required if c not in DEFAULTED] for t, spec in TABLES.items()}
+
+
+def whole_tables(s: Star) -> dict[str, DataFrame]:
+    """All twelve tables with all columns, and all staff."""
+    return star_tables(s) | {
+        "fact_sales_transactions": s.promoted_sales(), "dim_date": s.dates(), "dim_product": s.products(), "dim_store": s.stores(),
+        "dim_customer": s.customers(), "dim_employee": s.employees(), "dim_geography": stores.build_dim_geography(s.raw_stores()),
+    }
+
+
+def over_tables(check: Callable[[DataFrame, str], DataFrame], names: Iterable[str]) -> Callable[[Star], DataFrame]:
+    return lambda s: reduce(DataFrame.unionByName, [check(df, t) for t, df in whole_tables(s).items() if t in names])
+
+
+add(
+    "dq_not_null_all",
+    over_tables(lambda df, t: checks.check_not_null(df, t, REQUIRED[t]), TABLES),
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {SOURCES[t]}"
+        for t, columns in REQUIRED.items() for c in columns
+    ),
+)
+LISTED = [t for t, spec in TABLES.items() if spec.allowed]
+add(
+    "dq_allowed_values_all",
+    over_tables(lambda df, t: checks.check_allowed_values(df, t, TABLES[t].allowed), LISTED),
+    " UNION ALL ".join(allowed_sql(t, SOURCES[t]) for t in LISTED),
+)
+add(
+    "dq_primary_key_all",
+    over_tables(lambda df, t: checks.check_primary_key(df, t, TABLES[t].primary_key), TABLES),
+    " UNION ALL ".join(pk_sql(t, SOURCES[t], spec.primary_key) for t, spec in TABLES.items()),
+)
