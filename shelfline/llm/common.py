@@ -25,14 +25,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def token_pattern() -> str:
+    """The pattern that cuts texts into pre-tokens for the public rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+_LOCAL_FOLDER: list[str] = []
+
+
 def workspace(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir. Where that is unset, which only a local master may do, a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _LOCAL_FOLDER:
+            _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="corpus-"))
+        base = _LOCAL_FOLDER[0]
     return f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
 
 

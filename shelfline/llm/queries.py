@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import exact_dedup, fingerprints, language_id, minhash_dedup, mixing, quality_classifier, repeated_passages, sentence_pieces, token_counts, web_archives
-from shelfline.llm.common import crc_mod, table, tokenizer_path
+from shelfline.llm import byte_bpe, exact_dedup, fingerprints, language_id, minhash_dedup, mixing, quality_classifier, repeated_passages, sentence_pieces, token_counts, web_archives
+from shelfline.llm.common import crc_mod, table, token_pattern, tokenizer_path
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the bytes they decode to, as digests."""
+    model = (tokenizer_path("byte_bpe_50k.tiktoken"), token_pattern())
+    decoded = byte_bpe.decode_documents(byte_bpe.encode_documents(table(spark, sf_dir, "documents"), *model), *model)
+    return decoded.select(F.col("doc_id").cast("long"), "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc_archives": op2_warc_archives,
@@ -75,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_byte_bpe": op11_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
 
