@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import byte_bpe, exact_dedup, fingerprints, language_id, minhash_dedup, mixing, quality_classifier, repeated_passages, sentence_pieces, token_counts, web_archives
+from shelfline.llm import byte_bpe, exact_dedup, fingerprints, language_id, minhash_dedup, mixing, prefix_trie, quality_classifier, repeated_passages, sentence_pieces, token_counts, web_archives
 from shelfline.llm.common import crc_mod, table, token_pattern, tokenizer_path
 
 
@@ -71,6 +71,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(F.col("doc_id").cast("long"), "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc_archives": op2_warc_archives,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -93,6 +98,51 @@ ORACLES: dict[str, str] = {
         select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, sha256(d.text) as text_sha256
         from d join g on d.text = g.text
     """,
+    # the crc32 of a conversation's digits goes over a table of 256 entries, each made by eight steps
+    "op12_prefix_trie": """
+        with crc_table as (
+            select list(c order by b) as entries from (
+                select b, list_reduce(list_prepend(b, range(8)),
+                    lambda a, step: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as c
+                from range(256) bytes(b))
+        ),
+        turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+        ),
+        own as (
+            select conv_id, list({'role': role, 'text': text} order by turn nulls first, role,
+                sha256(concat(upper(lpad(to_hex(octet_length(encode(role))), 8, '0')), role, text))) as turns
+            from turns group by conv_id
+        ),
+        heads as (
+            select conv_id, turns, conv_id - conv_id % 5 as head_id, xor(list_reduce(
+                list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+                lambda a, b: xor(entries[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 9 as h
+            from own, crc_table
+        ),
+        rebuilt as (
+            select c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) as turns
+            from heads c left join own b on b.conv_id = c.head_id
+        ),
+        members as (
+            select conv_id, d, turns[1:d] as path, d = len(turns) as is_end from (
+                select conv_id, turns, unnest(range(len(turns) + 1)) as d from rebuilt)
+        ),
+        nodes as (
+            select path, d, min(conv_id) as conv_id, count(*) as n_convs,
+                sha256(coalesce(string_agg(case when is_end then conv_id::varchar end, ',' order by conv_id), '')) as ends_sha256,
+                (count(*) - 1) * coalesce(octet_length(encode(path[d].text)), 0) as saved
+            from members group by path, d
+        ),
+        children as (select path[1:d - 1] as path, d - 1 as d, count(*) as n_children from nodes where d > 0 group by 1, 2),
+        counted as (select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c on n.path = c.path and n.d = c.d),
+        subtrees as (
+            select path[1:k] as path, k as d, sum(case when n_children = 0 then 1 else 0 end)::bigint as n_leaves, sum(saved)::bigint as saved_tokens
+            from (select path, d, n_children, saved, unnest(range(d + 1)) as k from counted) group by 1, 2
+        )
+        select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+        from counted n join subtrees s on n.path = s.path and n.d = s.d left join nodes p on n.d > 0 and p.d = n.d - 1 and p.path = n.path[1:n.d - 1]
+    """,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:
