@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import byte_bpe, exact_dedup, fingerprints, language_id, minhash_dedup, mixing, prefix_trie, quality_classifier, repeated_passages, sentence_pieces, token_counts, web_archives
+from shelfline.llm import byte_bpe, exact_dedup, fingerprints, language_id, lexical_search, minhash_dedup, mixing, prefix_trie, quality_classifier, repeated_passages, sentence_pieces, token_counts, web_archives
 from shelfline.llm.common import crc_mod, table, token_pattern, tokenizer_path
 
 
@@ -75,6 +75,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_warc_archives": op2_warc_archives,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -143,6 +148,34 @@ ORACLES: dict[str, str] = {
         select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
         from counted n join subtrees s on n.path = s.path and n.d = s.d left join nodes p on n.d > 0 and p.d = n.d - 1 and p.path = n.path[1:n.d - 1]
     """,
+    "op13_lexical_search": r"""
+        with words as (
+            select row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from (select row_number() over () as row, doc_id, text from documents)
+        ),
+        counts as (select row, doc_id, term, count(*) as tf from words group by all),
+        lengths as (select row, sum(tf)::bigint as n from counts group by row),
+        corpus as (select count(*) as docs, sum(n)::bigint as terms from lengths),
+        weights as (
+            select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w from counts, corpus group by term
+        ),
+        asked as (
+            select item_id, item, term, count(*) as times from (
+                select item_id, text as item, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                from (select distinct item_id, text from benchmark))
+            group by all
+        ),
+        scores as (
+            select item_id, item, row, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::bigint as score
+            from asked join counts using (term) join weights using (term) join lengths using (row), corpus
+            group by item_id, item, row, doc_id
+        )
+        select item_id, rank, doc_id, score from (
+            select *, row_number() over (partition by item_id, item order by score desc, doc_id nulls last)::integer as rank from scores where score > 0)
+        where rank <= 10
+    """,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:
