@@ -11,6 +11,7 @@ from dataclasses import replace
 
 from shelfline.functions.ratios import growth_percent, percent, ratio
 from shelfline.metrics.model import (
+    Condition,
     Derived,
     Dimension,
     Entity,
@@ -50,7 +51,7 @@ SIMPLE = (
     Simple("unique_customers", "Unique Customers", "Different known customers.",
            ("customer count",), COUNT, CUSTOMERS),
     Simple("return_transactions", "Return Transactions", "Different transactions with a returned line.",
-           (), COUNT, TRANSACTIONS, where=("return_flag", "Y")),
+           (), COUNT, TRANSACTIONS, where=Condition("return_flag", "=", "Y")),
 )
 
 

@@ -52,12 +52,49 @@ class Measure:
     column: str
 
 
+class Predicate:
+    """A condition on attributes; conditions combine by &, | and ~."""
+
+    def __and__(self, other: Predicate) -> Predicate:
+        return All((self, other))
+
+    def __or__(self, other: Predicate) -> Predicate:
+        return Any((self, other))
+
+    def __invert__(self) -> Predicate:
+        return Not(self)
+
+
+@dataclass(frozen=True)
+class Condition(Predicate):
+    """A test of one dimension. ``op``: = != < <= > >=, in, between, like, is null, or one of the last four with a not."""
+
+    dimension: str
+    op: str
+    value: object = None
+
+
+@dataclass(frozen=True)
+class All(Predicate):
+    parts: tuple[Predicate, ...]
+
+
+@dataclass(frozen=True)
+class Any(Predicate):
+    parts: tuple[Predicate, ...]
+
+
+@dataclass(frozen=True)
+class Not(Predicate):
+    part: Predicate
+
+
 @dataclass(frozen=True)
 class Simple(Described):
-    """A measure, optionally over the rows where a fact column has a value."""
+    """A measure, optionally over the rows that meet a predicate on dimensions or fact columns."""
 
     measure: Measure = field(default=Measure("money", ""))
-    where: tuple[str, str] | None = None
+    where: Predicate | None = None
 
 
 @dataclass(frozen=True)
@@ -126,13 +163,6 @@ class Sources:
     carried: frozenset[str] = frozenset()
 
 
-@dataclass(frozen=True)
-class Condition:
-    dimension: str
-    op: str
-    value: object
-
-
 def layer_of(name: str, date_column: str, dimensions, metrics, entities, spine: bool = False) -> Layer:
     return Layer(
         name,

@@ -1,11 +1,16 @@
-"""Metric queries: metrics, group keys, conditions and order in; a frame out."""
+"""Metric queries: metrics, group keys, conditions and order in; a frame out.
+
+A request reads the fact once for its sums and each kind of distinct count it has. A request with windows or shifted values
+reads it once altogether: the fact is brought to one row per group, day and counted member, which is stored, and all windows,
+sums and counts are made from that table.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,49 +18,40 @@ from pyspark.sql import functions as F
 from shelfline.functions.dates import period_start
 from shelfline.functions.ratios import money_sum, unit_sum
 from shelfline.metrics.model import (
-    Condition,
+    All,
     Derived,
     Dimension,
     Input,
     Layer,
     Measure,
     Metric,
+    Predicate,
     Simple,
     Sources,
     TimeDimension,
     Windowed,
 )
+from shelfline.metrics.predicates import Clause, can_hold_without, clauses, conjuncts, implied, resolved, to_column
 from shelfline.operators import windows
-from shelfline.operators.joins import many_to_one, merge_results
+from shelfline.operators.joins import many_to_one, merge_results, only_known
+from shelfline.sources.scratch import stored
 
 DAY = "_day"
 
 
-def aggregate(measure: Measure, where: tuple[str, str] | None = None) -> Column:
+def aggregate(measure: Measure, where: Column | None = None) -> Column:
     """The aggregate column of a measure. The condition sits inside it, so other
     metrics of the same query keep all rows."""
     value = F.col(measure.column)
-    if where:
-        value = F.when(F.col(where[0]) == where[1], value)
-    if measure.kind == "money":
-        return money_sum(value)
-    if measure.kind == "units":
-        return unit_sum(value)
-    return F.count_distinct(value)
-
-
-def _test(column: Column, op: str, value: object) -> Column:
-    tests = {
-        "=": lambda: column == value,
-        "!=": lambda: column != value,
-        ">": lambda: column > value,
-        ">=": lambda: column >= value,
-        "<": lambda: column < value,
-        "<=": lambda: column <= value,
-        "in": lambda: column.isin(*value),
-        "is not null": lambda: column.isNotNull(),
-    }
-    return tests[op]()
+    if where is not None:
+        value = F.when(where, value)
+    if measure.kind == "distinct":
+        return F.count_distinct(value)
+    return _sum(measure.kind, value)
+
+
+def _sum(kind: str, value: Column) -> Column:
+    return money_sum(value) if kind == "money" else unit_sum(value)
 
 
 def _as_mapping(names: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -73,6 +69,14 @@ def resolve_name(name: str, entries: Mapping[str, object]) -> str:
     raise KeyError(f"unknown name: {name}")
 
 
+def _fact_or_declared(layer: Layer, name: str) -> Dimension | TimeDimension:
+    """A declared dimension; else, in a metric's own condition, a column of the fact."""
+    try:
+        return layer.dimensions[resolve_name(name, layer.dimensions)]
+    except KeyError:
+        return Dimension(name, name, column=name)
+
+
 @dataclass
 class _Query:
     """A resolved request."""
@@ -81,7 +85,7 @@ class _Query:
     sources: Sources
     outputs: dict[str, str]
     keys: dict[str, Dimension | TimeDimension]
-    conditions: list[tuple[Dimension | TimeDimension, Condition]]
+    conditions: list[Predicate]
     date_filter: str
     simple: dict[str, Simple] = field(default_factory=dict)
     windowed: dict[str, Windowed] = field(default_factory=dict)
@@ -103,6 +107,27 @@ class _Query:
     def runs_over_days(self) -> bool:
         return bool(self.windowed or self.shifted)
 
+    @cached_property
+    def dated(self) -> list[Predicate]:
+        """Conditions on nothing but the date."""
+        return [p for p in self.conditions if all(isinstance(c.dimension, TimeDimension) for c in clauses(p))]
+
+    @cached_property
+    def attributed(self) -> list[Predicate]:
+        """Conditions with an attribute in them, which are met by fact rows."""
+        return [p for p in self.conditions if p not in self.dated]
+
+    @cached_property
+    def metrics(self) -> list[Simple | Windowed]:
+        """All that is aggregated from the fact."""
+        shifted = [self.layer.metrics[i.metric] for i in sorted(self.shifted, key=str)]
+        return list({m.name: m for m in (*self.simple.values(), *self.windowed.values(), *shifted)}.values())
+
+    def condition_of(self, metric: Metric) -> Predicate | None:
+        """A metric's own condition."""
+        where = getattr(metric, "where", None)
+        return where and resolved(where, lambda name: _fact_or_declared(self.layer, name))
+
     def collect(self, name: str, days_ago: int = 0) -> None:
         metric = self.layer.metrics[name]
         if isinstance(metric, Derived):
@@ -121,31 +146,76 @@ def _shifted_name(item: Input) -> str:
     return f"{item.metric}__{item.days_ago}_days_ago"
 
 
-def _base(query: _Query, metrics: Iterable[Metric]) -> DataFrame:
-    """Fact rows that meet the attribute conditions, with the group keys and the
-    inputs of the given metrics, and nothing else."""
-    layer = query.layer
-    metrics = list(metrics)
-    tested = [(d, c) for d, c in query.conditions if isinstance(d, Dimension)]
-    dims = [*query.attributes.values(), *[d for d, _ in tested]]
+# --- fact rows --------------------------------------------------------------------------------------
+
 
-    columns = {layer.date_column}
-    columns |= {m.measure.column for m in metrics}
-    columns |= {m.where[0] for m in metrics if isinstance(m, Simple) and m.where}
-    columns |= {d.column for d in dims if d.entity is None}
+def _rows(query: _Query, metrics: Sequence[Simple | Windowed]) -> DataFrame:
+    """Fact rows that meet the conditions on attributes, with the day, the group keys, and for each metric its amount, or the
+    member it counts and whether its own condition holds; and nothing else."""
+    layer, sources = query.layer, query.sources
+    own = {m.name: query.condition_of(m) for m in metrics}
+    shown = [*query.attributes.values(), *[c.dimension for p in own.values() if p for c in clauses(p)]]
+    semi, tested = _semi_joined(query, shown)
+    asked = [c.dimension for p in query.attributed for c in clauses(p)]
+
+    columns = {layer.date_column} | {m.measure.column for m in metrics}
+    columns |= {d.column for d in (*shown, *asked) if isinstance(d, Dimension) and d.entity is None}
     joined: dict[str, set[str]] = {}
-    for d in dims:
-        if d.entity:
+    for d in (*shown, *[c.dimension for p in tested for c in clauses(p)]):
+        if isinstance(d, Dimension) and d.entity:
             joined.setdefault(d.entity, set()).add(d.column)
-    carried = {e: sorted(a) for e, a in joined.items() if e in query.sources.carried}
+    carried = {e: sorted(a) for e, a in joined.items() if e in sources.carried}
     apart = {e: a for e, a in joined.items() if e not in carried}
-    columns |= {layer.entities[e].fact_key for e in apart}
+    columns |= {layer.entities[e].fact_key for e in (*apart, *semi)}
 
     extra = [carried] if carried else []
-    fact = query.sources.fact(sorted(columns), *extra).withColumn(DAY, F.col(layer.date_column))
-    wide = with_entities(layer, query.sources, fact, apart)
-    kept = _filtered(wide, [_test(_dimension_column(d), c.op, c.value) for d, c in tested])
-    return kept.withColumns({a: _dimension_column(d) for a, d in query.attributes.items()})
+    fact = sources.fact(sorted(columns), *extra).withColumn(DAY, F.col(layer.date_column))
+    fact = _where(fact, [p for p in map(_of_fact, query.attributed) if p])
+    for name, parts in semi.items():
+        entity = layer.entities[name]
+        read = sources.entities[name](sorted({entity.dim_key, *[c.dimension.column for p in parts for c in clauses(p)]}))
+        known = read.where(to_column(All(tuple(parts)), lambda d: F.col(d.column))).select(entity.dim_key)
+        fact = only_known(fact, known, entity.fact_key, entity.dim_key)
+    wide = _where(with_entities(layer, sources, fact, apart), tested)
+    values = {a: _dimension_column(d) for a, d in query.attributes.items()}
+    for m in metrics:
+        met = to_column(own[m.name], _dimension_column) if own[m.name] else None
+        value = F.col(m.measure.column)
+        if m.measure.kind == "distinct":
+            values[_member(m)] = value
+            if met is not None:
+                values[f"_met_{m.name}"] = F.coalesce(met, F.lit(False))
+        else:
+            values[f"_sum_{m.name}"] = value if met is None else F.when(met, value)
+    return wide.select(F.col(DAY), *[c.alias(n) for n, c in values.items()])
+
+
+def _member(metric: Simple | Windowed) -> str:
+    return f"_member_{metric.measure.column}"
+
+
+def _of_fact(p: Predicate) -> Predicate | None:
+    """What a condition asks of the fact's own columns."""
+    return implied(p, lambda c: c.entity is None)
+
+
+def _semi_joined(query: _Query, kept: Iterable[Dimension | TimeDimension]) -> tuple[dict[str, list[Predicate]], list[Predicate]]:
+    """Conditions by the entity whose rows can be chosen first, so that facts only look for a key; and those that need the
+    entity's attributes next to the fact's, in whole. Of an or across tables, what it asks of one table is among the first."""
+    shown = {d.entity for d in kept if isinstance(d, Dimension)} | query.sources.carried
+    semi: dict[str, list[Predicate]] = {}
+    tested = []
+    for p in query.attributed:
+        read = {c.entity for c in clauses(p)}
+        entities = sorted(e for e in read if e and e not in shown)
+        for e in entities:
+            part = implied(p, lambda c, e=e: c.entity == e)
+            if part and not can_hold_without(part, e):
+                semi.setdefault(e, []).append(part)
+        whole = len(read) == 1 and (read == {None} or (entities and entities[0] in semi and p in semi[entities[0]]))
+        if not whole:
+            tested.append(p)
+    return semi, tested
 
 
 def with_entities(
@@ -162,23 +232,24 @@ def with_entities(
     return out
 
 
-def _dimension_column(dim: Dimension) -> Column:
+def _dimension_column(dim: Dimension | TimeDimension) -> Column:
+    if isinstance(dim, TimeDimension):
+        return period_start(F.col(DAY), dim.grain)
     return F.col(f"_{dim.entity}_{dim.column}" if dim.entity else dim.column)
 
 
-def _date_tests(query: _Query) -> list[Column]:
-    return [
-        _test(period_start(F.col(DAY), d.grain), c.op, c.value)
-        for d, c in query.conditions
-        if isinstance(d, TimeDimension)
-    ]
+def _where(df: DataFrame, predicates: Sequence[Predicate]) -> DataFrame:
+    return reduce(lambda rest, p: rest.where(to_column(p, _dimension_column)), predicates, df)
+
+
+# --- history ----------------------------------------------------------------------------------------
 
 
 def _history_start(query: _Query) -> date | None:
     """The earliest day that can matter for a query from some day on; None if all do."""
     bounds = [
-        _as_day(c.value) for d, c in query.conditions
-        if isinstance(d, TimeDimension) and d.grain == "day" and c.op in (">=", ">", "=")
+        _as_day(c.value[0] if c.op == "between" else c.value) for c in query.dated
+        if isinstance(c, Clause) and c.dimension.grain == "day" and c.op in (">=", ">", "=", "between")
     ]
     bounds = [b for b in bounds if b is not None]
     if not bounds or query.layer.spine:
@@ -204,16 +275,56 @@ def _as_day(value: object) -> date | None:
     return value if isinstance(value, date) else None
 
 
-def _filtered(df: DataFrame, tests: list[Column]) -> DataFrame:
-    return df.where(reduce(Column.__and__, tests)) if tests else df
+def _members_by_day(query: _Query) -> DataFrame:
+    """The one table that a request over days is answered from: a row per group, day and combination of counted members, with
+    sums, and whether the members meet the metrics' conditions."""
+    rows = _rows(query, query.metrics)
+    if query.date_filter == "before":
+        rows = _where(rows, query.dated)
+    elif start := _history_start(query):
+        rows = rows.where(F.col(DAY) >= F.lit(start))
+    members = sorted({_member(m) for m in query.metrics if m.measure.kind == "distinct"})
+    aggs = []
+    for m in query.metrics:
+        if m.measure.kind != "distinct":
+            aggs.append(F.sum(f"_sum_{m.name}").alias(f"_sum_{m.name}"))
+        elif f"_met_{m.name}" in rows.columns:
+            aggs.append(F.max(f"_met_{m.name}").alias(f"_met_{m.name}"))
+    keys = [*query.attributes, DAY, *members]
+    return stored(rows.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct(), "members_by_day")
+
+
+# --- aggregates -------------------------------------------------------------------------------------
+
+
+def _totals(rows: DataFrame, keys: Sequence[str], metrics: Mapping[str, Simple | Windowed]) -> DataFrame:
+    """Sums and distinct counts by the keys. Rows are first brought to one per key and member, which makes each member count
+    once; sums go along with the first kind of member. No row is multiplied by the number of counts."""
+    sums = {n: m for n, m in metrics.items() if m.measure.kind != "distinct"}
+    members = sorted({_member(m) for m in metrics.values() if m.measure.kind == "distinct"})
+    if not members:
+        return rows.groupBy(*keys).agg(*_summed(sums)) if sums else rows.select(*keys).distinct()
+    parts = []
+    for member in members:
+        counted = {n: m for n, m in metrics.items() if m.measure.kind == "distinct" and _member(m) == member}
+        flags = [f"_met_{m.name}" for m in counted.values() if f"_met_{m.name}" in rows.columns]
+        along = sums if member == members[0] else {}
+        partial = [F.sum(f"_sum_{m.name}").alias(f"_sum_{m.name}") for m in along.values()] + [F.max(f).alias(f) for f in flags]
+        once = rows.groupBy(*keys, member).agg(*partial) if partial else rows.select(*keys, member).distinct()
+        counts = []
+        for n, m in counted.items():
+            met = f"_met_{m.name}"
+            counts.append(F.count(F.when(F.col(met), F.col(member)) if met in flags else F.col(member)).alias(n))
+        parts.append(once.groupBy(*keys).agg(*_summed(along), *counts))
+    return merge_results(parts, keys)
 
 
-def _grouped(query: _Query, base: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    return base.groupBy(*keys).agg(*[aggregate(m.measure, m.where).alias(n) for n, m in query.simple.items()])
+def _summed(metrics: Mapping[str, Simple | Windowed]) -> list[Column]:
+    return [_sum(m.measure.kind, F.col(f"_sum_{m.name}")).alias(n) for n, m in metrics.items()]
 
 
 def _window_column(metric: Windowed, keys: Sequence[str]) -> Column:
-    value = f"_{metric.measure.column}"
+    value = f"_day_{metric.name}"
     if metric.span == "current":
         return F.col(value)
     if metric.span == "trailing":
@@ -223,42 +334,22 @@ def _window_column(metric: Windowed, keys: Sequence[str]) -> Column:
     return windows.running_total(value, keys, DAY)
 
 
-def _history(query: _Query, metrics: Iterable[Metric]) -> DataFrame:
-    """The rows that windows need: all days, or those the date conditions can reach."""
-    base = _base(query, metrics)
-    if query.date_filter == "before":
-        return _filtered(base, _date_tests(query))
-    start = _history_start(query)
-    return base if start is None else base.where(F.col(DAY) >= F.lit(start))
-
-
-def _over_days(query: _Query) -> DataFrame:
+def _over_days(query: _Query, base: DataFrame) -> DataFrame:
     """One row per group and day with all windowed, shifted and, for queries by
     day, simple metrics."""
     keys = list(query.attributes)
-    day_keys = [F.col(k) for k in (*keys, DAY)]
-    sums = {m.measure.column: m.measure for m in query.windowed.values() if m.measure.kind != "distinct"}
+    summed = {f"_day_{n}": m for n, m in query.windowed.items() if m.measure.kind != "distinct"}
     counted = {n: m for n, m in query.windowed.items() if m.measure.kind == "distinct"}
-    shifted = {_shifted_name(i): query.layer.metrics[i.metric] for i in query.shifted if i.metric not in query.windowed}
-    aggs = [aggregate(m).alias(f"_{c}") for c, m in sums.items()]
-    aggs += [aggregate(m.measure, m.where).alias(f"_now_{n}") for n, m in shifted.items()]
-    if query.by_day:
-        aggs += [aggregate(m.measure, m.where).alias(n) for n, m in query.simple.items()]
-    aggs = aggs or [F.count(F.lit(1)).alias("_rows")]
-    summed = [m for n, m in query.windowed.items() if n not in counted]
-    plain = query.simple.values() if query.by_day else ()
-    daily = _history(query, [*summed, *shifted.values(), *plain]).groupBy(*day_keys).agg(*aggs)
+    shifted = {f"_now_{_shifted_name(i)}": query.layer.metrics[i.metric] for i in query.shifted if i.metric not in query.windowed}
+    plain = query.simple if query.by_day else {}
+    daily = _totals(base, [*keys, DAY], {**summed, **shifted, **plain})
     if query.layer.spine:
-        daily = windows.fill_days(daily, DAY, keys)
+        daily = windows.fill_days(daily, DAY, keys, base)
     for name, metric in counted.items():
         if metric.span != "trailing":
             raise ValueError(f"{name}: distinct counts are only windowed over trailing days")
-        daily = windows.with_trailing_distinct(
-            daily, _history(query, [metric]), keys, DAY, metric.measure.column, metric.days, name, metric.include_today
-        )
-    computed = {
-        n: _window_column(m, keys) for n, m in query.windowed.items() if n not in counted
-    }
+        daily = windows.with_trailing_distinct(daily, base, keys, DAY, _member(metric), metric.days, name, metric.include_today)
+    computed = {n: _window_column(m, keys) for n, m in query.windowed.items() if n not in counted}
     later = {}
     for item in query.shifted:
         name = _shifted_name(item)
@@ -266,8 +357,7 @@ def _over_days(query: _Query) -> DataFrame:
             later[name] = windows.value_days_ago(item.metric, keys, DAY, item.days_ago)
         else:
             computed[name] = windows.value_days_ago(f"_now_{name}", keys, DAY, item.days_ago)
-    kept = [c for c in (*counted, *(query.simple if query.by_day else ()))]
-    days = daily.select(*day_keys, *kept, *[c.alias(n) for n, c in computed.items()])
+    days = daily.select(*keys, DAY, *counted, *plain, *[c.alias(n) for n, c in computed.items()])
     return days.withColumns(later) if later else days
 
 
@@ -290,46 +380,49 @@ def metric_query(
     sources: Sources,
     metrics: Sequence[str] | Mapping[str, str],
     group_by: Sequence[str] | Mapping[str, str] = (),
-    where: Sequence[Condition] = (),
+    where: Sequence[Predicate] | Predicate = (),
     order_by: Sequence[str] = (),
     date_filter: str = "after",
 ) -> DataFrame:
     """Metrics by dimensions.
 
     ``metrics`` and ``group_by`` are names, or output names mapped to names.
-    Names may be labels or synonyms. Conditions on attributes apply before any
-    window. Conditions on the date apply after the windows, so the first days
-    shown have their full history; ``date_filter="before"`` cuts history too.
+    Names may be labels or synonyms. ``where`` is a predicate, or several that
+    all have to hold. Those with an attribute in them apply before any window;
+    those on the date alone apply after the windows, so the first days shown
+    have their full history; ``date_filter="before"`` cuts history too.
     Without a date among the keys, windowed metrics show their last day.
+    A request with windows or shifted values stores its daily table at once.
     """
     outputs = {o: resolve_name(n, layer.metrics) for o, n in _as_mapping(metrics).items()}
     keys = {o: layer.dimensions[resolve_name(n, layer.dimensions)] for o, n in _as_mapping(group_by).items()}
-    conditions = [(layer.dimensions[resolve_name(c.dimension, layer.dimensions)], c) for c in where]
+    asked = All((where,) if isinstance(where, Predicate) else tuple(where))
+    conditions = conjuncts(resolved(asked, lambda name: layer.dimensions[resolve_name(name, layer.dimensions)]))
     query = _Query(layer, sources, outputs, keys, conditions, date_filter)
     for name in outputs.values():
         query.collect(name)
 
     if query.runs_over_days:
-        days = _filtered(_over_days(query), _date_tests(query)).withColumns(_period_columns(query))
-        result = days if query.by_day else _last_days(query, days)
+        base = _members_by_day(query)
+        days = _where(_over_days(query, base), query.dated).withColumns(_period_columns(query))
+        result = days if query.by_day else _last_days(query, days, base)
     else:
-        result = _simple_results(query)
+        result = _simple_results(query, _rows(query, query.metrics))
 
     columns = [F.col(k) for k in keys] + [_evaluate(layer, n).alias(o) for o, n in outputs.items()]
     answer = result.select(*columns)
     return answer.orderBy(*order_by) if order_by else answer
 
 
-def _simple_results(query: _Query) -> DataFrame:
-    dated = _filtered(_base(query, query.simple.values()), _date_tests(query))
-    periods = [c.alias(a) for a, c in _period_columns(query).items()]
-    return _grouped(query, dated, [*[F.col(a) for a in query.attributes], *periods])
+def _simple_results(query: _Query, rows: DataFrame) -> DataFrame:
+    dated = _where(rows, query.dated).withColumns(_period_columns(query))
+    return _totals(dated, list(query.keys), query.simple)
 
 
-def _last_days(query: _Query, days: DataFrame) -> DataFrame:
+def _last_days(query: _Query, days: DataFrame, base: DataFrame) -> DataFrame:
     """Windowed metrics at coarser keys: the value of the last day of each group.
-    Shifted sums add up; shifted distinct counts and simple metrics are aggregated
-    from the facts."""
+    Shifted sums add up; shifted distinct counts and simple metrics are counted
+    over the members of all days."""
     names = list(query.keys)
     aggs = [F.max_by(n, DAY).alias(n) for n in query.windowed]
     parts = []
@@ -338,20 +431,19 @@ def _last_days(query: _Query, days: DataFrame) -> DataFrame:
         if isinstance(metric, Windowed):
             aggs.append(F.max_by(name, DAY).alias(name))
         elif metric.measure.kind == "distinct":
-            parts.append(_shifted_count(query, item, metric))
+            parts.append(_shifted_count(query, item, metric, base))
         else:
             aggs.append(F.sum(name).alias(name))
     if aggs:
         parts.append(days.groupBy(*names).agg(*aggs))
     if query.simple:
-        parts.append(_simple_results(query))
+        parts.append(_simple_results(query, base))
     return merge_results(parts, names)
 
 
-def _shifted_count(query: _Query, item: Input, metric: Simple) -> DataFrame:
-    """A distinct count some days earlier at coarser keys: over the facts of the
+def _shifted_count(query: _Query, item: Input, metric: Simple, base: DataFrame) -> DataFrame:
+    """A distinct count some days earlier at coarser keys: over the members of the
     earlier days, none of which reaches beyond the last day."""
-    base = _history(query, [metric])
     moved = base.withColumn(DAY, F.date_add(DAY, item.days_ago)).where(F.col(DAY) <= base.agg(F.max(DAY)).scalar())
-    dated = _filtered(moved, _date_tests(query)).withColumns(_period_columns(query))
-    return dated.groupBy(*query.keys).agg(aggregate(metric.measure, metric.where).alias(_shifted_name(item)))
+    dated = _where(moved, query.dated).withColumns(_period_columns(query))
+    return _totals(dated, list(query.keys), {_shifted_name(item): metric})

@@ -93,6 +93,12 @@ def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> Dat
     return keys.join(broadcast_if_small(known), F.col("orphan_key") == F.col("_known"), "left_anti")
 
 
+def only_known(fact: DataFrame, known: DataFrame, fact_key: str, known_key: str) -> DataFrame:
+    """Facts whose key is among the known ones."""
+    keys = known.select(F.col(known_key).alias("_known"))
+    return fact.join(broadcast_if_small(keys), F.col(fact_key) == F.col("_known"), "left_semi")
+
+
 def flag_matches(left: DataFrame, right: DataFrame, left_key: str, right_key: str, flag: str) -> DataFrame:
     """Set ``flag`` to Y where the right side holds the key, else N."""
     known = right.select(F.col(right_key).alias("_known")).where(F.col("_known").isNotNull()).distinct()

@@ -57,15 +57,16 @@ def _ends(daily: DataFrame, day: str) -> DataFrame:
     return daily.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last")).alias("_ends"))
 
 
-def fill_days(daily: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
+def fill_days(daily: DataFrame, day: str, keys: Sequence[str] = (), dated_by: DataFrame | None = None) -> DataFrame:
     """The same rows as a left join of ``spine_days`` with ``daily``: each row also
     yields the empty days up to the next row of its group, the first one those
-    before it and the last one those after it."""
+    before it and the last one those after it. ``dated_by`` is a table with the
+    same first and last day that is cheaper to read than ``daily``."""
     values = [c for c in daily.columns if c != day and c not in keys]
     spread = dated = daily.where(F.col(day).isNotNull())
     first = last = F.col(day)
     if keys:
-        spread = dated.withColumn("_ends", _ends(dated, day).scalar())
+        spread = dated.withColumn("_ends", _ends(daily if dated_by is None else dated_by, day).scalar())
         first, last = F.col("_ends.first"), F.col("_ends.last")
     order = _by_day(keys, day)
     since = F.when(F.lag(day).over(order).isNull(), first).otherwise(F.col(day))

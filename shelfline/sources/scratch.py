@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+_LOCAL_ROOT: list[str] = []
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
@@ -15,5 +18,14 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shelfline-")
+        if not _LOCAL_ROOT:
+            _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="shelfline-"))
+        root = _LOCAL_ROOT[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in a new folder, written now, so that what reads it several times computes it once."""
+    path = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.ratios import money_sum, rounded_percent
 from shelfline.metrics.layers import METRIC_VIEW
+from shelfline.metrics.predicates import test_column
 from shelfline.metrics.query import aggregate
 from shelfline.operators import aggregates, sampling
 from shelfline.plans.reports import sold_and_returned
@@ -44,11 +45,11 @@ SINGLE = {
 def by_year_and_channel(s: Star, metric: str) -> DataFrame:
     declared = METRIC_VIEW.metrics[metric]
     columns = {declared.measure.column, "transaction_year", "channel_sk"}
+    where = None
     if declared.where:
-        columns.add(declared.where[0])
-    return s.sales(*sorted(columns)).groupBy("transaction_year", "channel_sk").agg(
-        aggregate(declared.measure, declared.where).alias(metric)
-    )
+        columns.add(declared.where.dimension)
+        where = test_column(F.col(declared.where.dimension), declared.where.op, declared.where.value)
+    return s.sales(*sorted(columns)).groupBy("transaction_year", "channel_sk").agg(aggregate(declared.measure, where).alias(metric))
 
 
 for _name, _metric in SINGLE.items():

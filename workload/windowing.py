@@ -144,7 +144,7 @@ JOIN (SELECT store_format, transaction_date, {D244.format("sum(sum(net_revenue_u
   FROM c_sales JOIN c_stores USING (store_sk) GROUP BY 1, 2) b ON b.store_format = a.format AND b.transaction_date = a.last_day
 LEFT JOIN (SELECT x.format, x.quarter, count(DISTINCT customer_sk) AS t7 FROM (SELECT store_format AS format,
     CAST(date_trunc('quarter', transaction_date) AS DATE) AS quarter, least(CAST(date_trunc('quarter', transaction_date)
-      + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), max(max(transaction_date)) OVER (PARTITION BY store_format)) AS last_day
+      + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE), max(max(transaction_date)) OVER ()) AS last_day
     FROM c_sales JOIN c_stores USING (store_sk) GROUP BY 1, date_trunc('quarter', transaction_date)) x
   LEFT JOIN (SELECT DISTINCT store_format, transaction_date, customer_sk FROM c_sales JOIN c_stores USING (store_sk)) y
     ON y.store_format = x.format AND y.transaction_date BETWEEN x.last_day - 6 AND x.last_day GROUP BY 1, 2) c
