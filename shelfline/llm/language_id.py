@@ -15,7 +15,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,7 +44,6 @@ FAMILIES = {
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 _BUCKETS = 4096
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are no letters become spaces.
 _PLAIN = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint32)
 
@@ -54,6 +52,11 @@ def family(lang: str) -> str:
     return _FAMILY.get(lang.lower().replace("_", "-").split("-")[0], lang)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of category L; numbers such as ² and ½ are not."""
+    return any(map(str.isalpha, text))
+
+
 def features(text: bytes) -> np.ndarray:
     """Square roots of the shares of hashed byte trigrams, case folded."""
     folded = b" " + text.decode("utf-8", "replace").lower().encode("utf-8") + b" "
@@ -179,7 +182,7 @@ def predict_languages(docs: DataFrame, model: Model | None, id_col: str = "doc_i
             texts = utf8(batch.column(1))
             langs, scores = ["und"] * len(texts), np.zeros(len(texts))
             if m is not None:
-                known = [i for i, t in enumerate(texts) if t and _LETTER.search(t.decode("utf-8", "replace"))]
+                known = [i for i, t in enumerate(texts) if t and has_letter(t.decode("utf-8", "replace"))]
                 for at in range(0, len(known), 256):
                     some = known[at : at + 256]
                     got, p = m.predict(np.stack([features(texts[i]) for i in some]))
