@@ -4,9 +4,11 @@ Each document gets the exponential key -ln(u) / w, where u is a hash of its id a
 source the documents are taken in the order of this key until their summed words reach the source's budget. A budget above
 the source's size takes complete epochs of all documents first; only what is left is a selection.
 
-No source is ordered in one task: the keys are cut into `buckets` ranges, the ranges' sums are prefix-summed (at most
-`buckets` rows a source), and only the documents of the one range where a source's budget ends are put in order. What
-comes out is one cut per source, which every document is compared with in place.
+No source is ordered in one task: the keys are cut into ranges, `buckets` of them for each doubling of the key, the ranges'
+sums are prefix-summed, and only the documents of the one range where a source's budget ends are put in order. Since exponential
+keys of any weight spread over at least the logarithms that one weight gives, a range holds at most a share of
+ln 2 / (e * buckets) of its source, in expectation. What comes out is one cut per source, which every document is compared with
+in place.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; a source without words has
 target 0 and takes nothing; ties of the key go by id (null first), then by a hash of the text, and rows equal in all three
@@ -37,9 +39,14 @@ def quality_weight(text: Column) -> Column:
 
 
 def _key(id_: Column, text: Column, weight: Column, seed: int) -> Column:
-    """1 - exp(-key), in (0, 1) and in the order of the exponential keys."""
+    """The exponential key, above 0."""
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_, F.xxhash64(text)), 11) + 0.5) / float(2**53)
-    return 1 - F.pow(u, 1 / weight)
+    return F.greatest(-F.ln(u) / weight, F.lit(1e-300))
+
+
+def _bucket(buckets: int) -> Column:
+    """The range that a place's key is in."""
+    return F.floor(F.log2("place.key") * buckets)
 
 
 def _place(id_: Column, text: Column, weight: Column, seed: int) -> Column:
@@ -77,7 +84,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
 
 def _cuts(places: DataFrame, weights: Sequence[float], share: float, most: float, buckets: int) -> DataFrame:
     """From (source, size, place), one row a source: target, whole epochs, and the last place that the selection takes."""
-    bucket = F.floor(F.col("place.key") * buckets)
+    bucket = _bucket(buckets)
     sums = stored(places.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size")), "buckets")
     targets = source_targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     # a share that rounding has left just under a whole number of epochs is that number
@@ -112,7 +119,7 @@ def _decide(rows: DataFrame, places: DataFrame, weights, share, most, buckets) -
     """`rows`, which have source and place, with the columns of their source's cut and `copies`."""
     cuts = _cuts(places, weights, share, most, buckets).withColumnRenamed("source", "s")
     joined = rows.join(cuts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    return joined.withColumn("copies", _copies(F.floor(F.col("place.key") * buckets)))
+    return joined.withColumn("copies", _copies(_bucket(buckets)))
 
 
 def mix_decisions(
@@ -124,7 +131,7 @@ def mix_decisions(
     share: float = 1.5,
     most: float = 2.0,
     seed: int = 7,
-    buckets: int = 1024,
+    buckets: int = 512,
     weight: Column | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, copies, taken. `weight`: quality of a document, above 0."""
@@ -154,7 +161,7 @@ def mixed_documents(
     share: float = 1.5,
     most: float = 2.0,
     seed: int = 7,
-    buckets: int = 1024,
+    buckets: int = 512,
 ) -> DataFrame:
     """The mix itself: each document's row as often as it is taken, with all its columns."""
     text = F.col(text_col)
