@@ -19,7 +19,8 @@ of the next. A window has one minimiser and so is sent once.
 
 Defined results: null, empty and short texts have no passages; a passage that occurs twice in one document is repeated,
 also where the two overlap; repeated rows repeat each other; null ids are reported as null; an empty table gives no rows;
-extra columns are ignored. Words are compared by 32-bit hashes.
+extra columns are ignored. A document is a row's id and text: rows with the same id, or none, and different texts are different
+documents, rows equal in both are reported once. Words are compared by 32-bit hashes.
 """
 
 from __future__ import annotations
@@ -82,24 +83,27 @@ def minimisers(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    """id, a hash of the text that tells documents with the same id apart, and the text."""
+    text = F.col(text_col)
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).alias("own"), text.alias("text"))
 
 
 def _anchors(rows: DataFrame, least: int) -> DataFrame:
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            ids, places, grams = [], [], []
-            for id_, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+            ids, owns, places, grams = [], [], [], []
+            for id_, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
                 at, gram = minimisers(known.of(split_words(text)), least)
                 ids.append(np.full(len(at), id_, np.int64))
+                owns.append(np.full(len(at), own, np.int64))
                 places.append(at.astype(np.int32))
                 grams.append(gram.view(np.int64))
             if ids:
-                columns = [pa.array(np.concatenate(c)) for c in (ids, places, grams)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "at", "gram"])
+                columns = [pa.array(np.concatenate(c)) for c in (ids, owns, places, grams)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "own", "at", "gram"])
 
-    return rows.mapInArrow(anchors, "id long, at int, gram long")
+    return rows.mapInArrow(anchors, "id long, own long, at int, gram long")
 
 
 def _binaries(rows: np.ndarray) -> pa.Array:
@@ -109,7 +113,7 @@ def _binaries(rows: np.ndarray) -> pa.Array:
 
 
 def _contexts(rows: DataFrame, least: int) -> DataFrame:
-    """From (id, text, places), a row per place: gram, right words, left words (the nearest first), their numbers."""
+    """From (id, own, text, places), a row per place: gram, right words, left words (the nearest first), their numbers."""
     right, left = least, least - GRAM
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,23 +123,22 @@ def _contexts(rows: DataFrame, least: int) -> DataFrame:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
                 made: list[tuple] = []
-                for id_, text, places in zip(part.column(0).to_pylist(), utf8(part.column(1)), part.column(2).to_pylist(), strict=True):
+                for id_, own, text, places in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), part.column(3).to_pylist(), strict=True):
                     hashes = known.of(split_words(text))
                     at = np.array(places, np.int64)
-                    at = at[at + GRAM <= len(hashes)]  # others are of another row with the same id
                     if len(at):
                         words = np.zeros(left + len(hashes) + right, np.uint32)
                         words[left : left + len(hashes)] = hashes >> np.uint64(32)
                         grams = _grams(hashes)[at].view(np.int64)
                         sides = (words[(at + left)[:, None] + steps] for steps in (steps_right, steps_left))
-                        made.append((grams, *sides, len(hashes) - at, at, np.full(len(at), id_)))
+                        made.append((grams, *sides, len(hashes) - at, at, np.full(len(at), id_), np.full(len(at), own)))
                 if made:
-                    grams, r, lf, after, at, ids = (np.concatenate(c) for c in zip(*made, strict=True))
+                    grams, r, lf, after, at, ids, owns = (np.concatenate(c) for c in zip(*made, strict=True))
                     n_right, n_left = np.minimum(after, right).astype(np.int32), np.minimum(at, left).astype(np.int32)
-                    arrays = [pa.array(grams), _binaries(r), _binaries(lf), *map(pa.array, (n_right, n_left, ids, at.astype(np.int32)))]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["gram", "right", "left", "n_right", "n_left", "id", "at"])
+                    arrays = [pa.array(grams), _binaries(r), _binaries(lf), *map(pa.array, (n_right, n_left, ids, owns, at.astype(np.int32)))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["gram", "right", "left", "n_right", "n_left", "id", "own", "at"])
 
-    return rows.mapInArrow(contexts, "gram long, right binary, left binary, n_right int, n_left int, id long, at int")
+    return rows.mapInArrow(contexts, "gram long, right binary, left binary, n_right int, n_left int, id long, own long, at int")
 
 
 def _shared(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -144,24 +147,24 @@ def _shared(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     return np.minimum(np.where(differ.any(1), differ.argmax(1), a.shape[1]), most)
 
 
-def _compare(rows: list[tuple], least: int) -> Iterator[tuple[int, int, int]]:
-    """Repeated passages (id, begin, end) among sorted suffixes."""
+def _compare(rows: list[tuple], least: int) -> Iterator[tuple[int, int, int, int]]:
+    """Repeated passages (id, own, begin, end) among sorted suffixes."""
     gram = np.array([r[0] for r in rows], np.int64)
     right = np.frombuffer(b"".join(r[1] for r in rows), np.uint32).reshape(len(rows), -1)
     left = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(len(rows), -1)
-    n_right, n_left, ids, at = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6))
+    n_right, n_left, ids, owns, at = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6, 7))
     same = gram[1:] == gram[:-1]
     to_right = _shared(right[1:], right[:-1], np.minimum(n_right[1:], n_right[:-1]))
     to_left = _shared(left[1:], left[:-1], np.minimum(n_left[1:], n_left[:-1]))
     for k in np.flatnonzero(same & (to_right + to_left >= least)):
         for row in (k, k + 1):
-            yield int(ids[row]), int(at[row] - to_left[k]), int(at[row] + to_right[k])
+            yield int(ids[row]), int(owns[row]), int(at[row] - to_left[k]), int(at[row] + to_right[k])
     # where three or more begin alike: every split of `least` words
     middle = np.flatnonzero(same[1:] & same[:-1]) + 1
     some = np.unique(np.concatenate([middle - 1, middle, middle + 1]))
     if len(some) < 3:
         return
-    gram, right, left, n_right, n_left, ids, at = (c[some] for c in (gram, right, left, n_right, n_left, ids, at))
+    gram, right, left, n_right, n_left, ids, owns, at = (c[some] for c in (gram, right, left, n_right, n_left, ids, owns, at))
     after = np.empty((len(some), least + 1), np.uint64)
     after[:, 0] = gram.view(np.uint64)
     for k in range(least):
@@ -175,7 +178,7 @@ def _compare(rows: list[tuple], least: int) -> Iterator[tuple[int, int, int]]:
         order = np.argsort(key, kind="stable")
         pair = np.flatnonzero(key[order][1:] == key[order][:-1])
         for row in able[np.unique(np.concatenate([order[pair], order[pair + 1]]))]:
-            yield int(ids[row]), int(at[row] - o), int(at[row] - o + least)
+            yield int(ids[row]), int(owns[row]), int(at[row] - o), int(at[row] - o + least)
 
 
 def _blocks(rows: Iterator[tuple], chunk: int) -> Iterator[list[tuple]]:
@@ -197,14 +200,14 @@ def _passages(sorted_rows: DataFrame, least: int) -> DataFrame:
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         for block in _blocks(rows, _CHUNK):
             found = dict.fromkeys(_compare(block, least)) if len(block) > 1 else {}
-            columns = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "at", "end"])
+            columns = zip(*found, strict=True) if found else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "own", "at", "end"])
 
-    return sorted_rows.mapInArrow(find, "id long, at long, end long")
+    return sorted_rows.mapInArrow(find, "id long, own long, at long, end long")
 
 
 def _windows(rows: DataFrame, least: int) -> DataFrame:
-    """From (id, text, places), a row per window whose minimiser is at one of the places: hash, id, place of its begin."""
+    """From (id, own, text, places), a row per window whose minimiser is at one of the places: hash, id, own, place of its begin."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -212,20 +215,18 @@ def _windows(rows: DataFrame, least: int) -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 made: list[tuple] = []
-                for id_, text, places in zip(part.column(0).to_pylist(), utf8(part.column(1)), part.column(2).to_pylist(), strict=True):
+                for id_, own, text, places in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), part.column(3).to_pylist(), strict=True):
                     hashes = known.of(split_words(text))
-                    if len(hashes) < least:
-                        continue  # the places are of another row with the same id
                     of_windows, _ = _window_minimisers(hashes, least)
                     begin = np.flatnonzero(np.isin(of_windows, np.array(places, np.int64)))
                     if len(begin):
                         hashed = _window_hashes(hashes, least)[begin].view(np.int64)
-                        made.append((hashed, np.full(len(begin), id_, np.int64), begin.astype(np.int32)))
+                        made.append((hashed, np.full(len(begin), id_, np.int64), np.full(len(begin), own, np.int64), begin.astype(np.int32)))
                 if made:
                     columns = [pa.array(np.concatenate(c)) for c in zip(*made, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["hash", "id", "at"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["hash", "id", "own", "at"])
 
-    return rows.mapInArrow(windows, "hash long, id long, at int")
+    return rows.mapInArrow(windows, "hash long, id long, own long, at int")
 
 
 def _same_as_neighbour(sorted_windows: DataFrame) -> DataFrame:
@@ -235,33 +236,34 @@ def _same_as_neighbour(sorted_windows: DataFrame) -> DataFrame:
         task = TaskContext.get().partitionId()
         last, last_same = None, False
 
-        def rows(edge: int, h: np.ndarray, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-            fixed = [pa.array(np.full(len(h), v, np.int32)) for v in (edge, task)]
-            return pa.RecordBatch.from_arrays([*fixed, *map(pa.array, (h, ids, at))], names=["edge", "task", "hash", "id", "at"])
+        def rows(edge: int, *columns: np.ndarray) -> pa.RecordBatch:
+            fixed = [pa.array(np.full(len(columns[0]), v, np.int32)) for v in (edge, task)]
+            return pa.RecordBatch.from_arrays([*fixed, *map(pa.array, columns)], names=["edge", "task", "hash", "id", "own", "at"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, ids, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if last is None:
-                yield rows(1, h[:1], ids[:1], at[:1])
+                yield rows(1, *[c[:1] for c in columns])
             else:
-                h, ids, at = (np.concatenate(c) for c in zip(last, (h, ids, at), strict=True))
+                columns = [np.concatenate(c) for c in zip(last, columns, strict=True)]
+            h = columns[0]
             same = np.zeros(len(h), bool)
             same[0] = last_same
             equal = h[1:] == h[:-1]
             same[1:] |= equal
             same[:-1] |= equal
-            last, last_same = (h[-1:], ids[-1:], at[-1:]), bool(same[-1])
+            last, last_same = [c[-1:] for c in columns], bool(same[-1])
             kept = np.flatnonzero(same[:-1])
             if len(kept):
-                yield rows(0, h[kept], ids[kept], at[kept])
+                yield rows(0, *[c[kept] for c in columns])
         if last is not None:
             if last_same:
                 yield rows(0, *last)
             yield rows(2, *last)
 
-    return sorted_windows.mapInArrow(find, "edge int, task int, hash long, id long, at int")
+    return sorted_windows.mapInArrow(find, "edge int, task int, hash long, id long, own long, at int")
 
 
 def _over_borders(edges: DataFrame) -> DataFrame:
@@ -270,29 +272,30 @@ def _over_borders(edges: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         found = dict.fromkeys(r[2:] for a, b in zip(rows, rows[1:], strict=False) if a[0] != b[0] and a[1] == b[1] for r in (a, b))
-        ids, begins = zip(*found, strict=True) if found else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(begins, pa.int32())], names=["id", "at"])
+        ids, owns, begins = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(owns, pa.int64()), pa.array(begins, pa.int32())], names=["id", "own", "at"])
 
-    columns = ["task", "hash", "id", "at"]
+    columns = ["task", "hash", "id", "own", "at"]
     ordered = edges.select("edge", *columns).coalesce(1).sortWithinPartitions("task", "edge").select(*columns)
-    return ordered.mapInArrow(find, "id long, at int")
+    return ordered.mapInArrow(find, "id long, own long, at int")
 
 
-def _merged(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """From spans in order of id and begin, those of one id united where they overlap."""
+def _merged(ids: np.ndarray, owns: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[tuple[int, int], int, int]]:
+    """From spans in order of document and begin, those of one document united where they overlap."""
     if not len(ids):
         return iter(())
-    # ends so far of the same id: a later id counts from a higher step
-    step = np.concatenate([[0], np.cumsum(ids[1:] != ids[:-1])]) << 32
+    # ends so far of the same document: a later one counts from a higher step
+    step = np.concatenate([[0], np.cumsum((ids[1:] != ids[:-1]) | (owns[1:] != owns[:-1]))]) << 32
     reach = np.maximum.accumulate(ends + step)
     fresh = np.concatenate([[True], begins[1:] + step[1:] > reach[:-1]])
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(ids)) - 1
-    return zip(ids[first].tolist(), begins[first].tolist(), (reach - step)[last].tolist(), strict=True)
+    docs = zip(ids[first].tolist(), owns[first].tolist(), strict=True)
+    return zip(docs, begins[first].tolist(), (reach - step)[last].tolist(), strict=True)
 
 
 def _united(passages: DataFrame) -> DataFrame:
-    """A row per id with its passages, where they overlap united, in order."""
+    """A row per document with its passages, where they overlap united, in order."""
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
@@ -303,7 +306,7 @@ def _united(passages: DataFrame) -> DataFrame:
             ids, all_spans = zip(*done, strict=True) if done else ((), ())
             words = [sum(e - b for b, e in s) for s in all_spans]
             columns = [
-                pa.array([None if i == _NO_ID else i for i in ids], pa.int64()),
+                pa.array([None if i == _NO_ID else i for i, _ in ids], pa.int64()),
                 pa.array([len(s) for s in all_spans], pa.int64()),
                 pa.array(words, pa.int64()),
                 pa.array([[{"begin": b, "end": e} for b, e in s] for s in all_spans], kind),
@@ -328,7 +331,7 @@ def _united(passages: DataFrame) -> DataFrame:
         yield flush()
 
     n = int(passages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = passages.select("id", "at", "end").repartition(n, "id").sortWithinPartitions("id", "at")
+    rows = passages.select("id", "own", "at", "end").repartition(n, "id", "own").sortWithinPartitions("id", "own", "at")
     return rows.mapInArrow(unite, "doc_id long, n_passages long, repeated_words long, passages array<struct<begin:long,end:long>>")
 
 
@@ -342,18 +345,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     anchors = stored(_anchors(rows, least), "anchors")
     often = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     often = stored(often.select("gram", (F.col("n") > hot).alias("hot")), "often")
-    places = anchors.join(often, "gram").groupBy("id").agg(
+    places = anchors.join(often, "gram").groupBy("id", "own").agg(
         F.array_sort(F.collect_set(F.when(~F.col("hot"), F.col("at")))).alias("few"),
         F.array_sort(F.collect_set(F.when(F.col("hot"), F.col("at")))).alias("many"),
     )
-    texts = rows.join(stored(places, "places"), "id")
-    few = _contexts(texts.where(F.size("few") > 0).select("id", "text", "few"), least)
+    texts = rows.join(stored(places, "places"), ["id", "own"])
+    few = _contexts(texts.where(F.size("few") > 0).select("id", "own", "text", "few"), least)
     found = stored(_passages(few.repartition(n, "gram").sortWithinPartitions("gram", "right", "left"), least), "passages")
     if not often.where("hot").isEmpty():
         # stored, since the ranges are drawn from a first pass over the windows
-        many = stored(_windows(texts.where(F.size("many") > 0).select("id", "text", "many"), least), "windows")
-        ranges = many.repartitionByRange(n, "hash", "id", "at").sortWithinPartitions("hash", "id", "at")
+        many = stored(_windows(texts.where(F.size("many") > 0).select("id", "own", "text", "many"), least), "windows")
+        ranges = many.repartitionByRange(n, "hash", "id", "own", "at").sortWithinPartitions("hash", "id", "own", "at")
         same = stored(_same_as_neighbour(ranges), "same")
-        same = same.where("edge = 0").select("id", "at").unionByName(_over_borders(same.where("edge > 0")))
-        found = found.unionByName(same.select("id", F.col("at").cast("long").alias("at"), (F.col("at") + least).cast("long").alias("end")))
+        same = same.where("edge = 0").select("id", "own", "at").unionByName(_over_borders(same.where("edge > 0")))
+        found = found.unionByName(same.select("id", "own", F.col("at").cast("long").alias("at"), (F.col("at") + least).cast("long").alias("end")))
     return _united(found)
