@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfline.metrics.catalog import lookup_terms, metric_catalog
 from shelfline.metrics.formatting import format_value
-from shelfline.metrics.layers import METRIC_VIEW, SEMANTIC_LAYER
-from shelfline.metrics.model import Condition, Derived, Input, Layer
+from shelfline.metrics.layers import CUSTOMERS, METRIC_VIEW, NET, SEMANTIC_LAYER, TRANSACTIONS
+from shelfline.metrics.model import Condition, Derived, Input, Layer, Simple
 from shelfline.metrics.query import metric_query
 from shelfline.sources.readers import read_parquet
 from shelfline.sources.scratch import scratch_folder
@@ -195,6 +196,83 @@ def export(s: Star) -> DataFrame:
     return read_parquet(s.spark, path, nullable(result.schema))
 
 
+# --- predicate trees -------------------------------------------------------------------------
+
+FROM_WIDE_STAR = FROM_STAR + " LEFT JOIN c_customers c USING (customer_sk)"
+LOYAL = Condition("customer__loyalty_tier", "in", ["Gold", "Elite"])
+KEPT = ~Condition("return_flag", "=", "Y")
+WITH_CHOSEN_SALES = replace(
+    SEMANTIC_LAYER,
+    metrics=SEMANTIC_LAYER.metrics
+    | {
+        m.name: m
+        for m in (
+            Simple("loyal_revenue", "Loyal Revenue", measure=NET, where=LOYAL & KEPT),
+            Simple("loyal_customers", "Loyal Customers", measure=CUSTOMERS, where=LOYAL),
+            Simple("loyal_or_large", "Loyal or Large", measure=TRANSACTIONS, where=LOYAL | Condition("transaction__revenue_tier", "=", "High-Value")),
+            Simple("unknown_buyers", "Unknown Buyers", measure=TRANSACTIONS, where=Condition("customer__customer_segment", "is null")),
+        )
+    },
+)
+IS_LOYAL = "loyalty_tier IN ('Gold', 'Elite')"
+
+
+@query(
+    "metric_filtered_by_entity",
+    f"""SELECT region_name AS store__region_name, CAST(date_trunc('quarter', transaction_date) AS DATE) AS metric_time__quarter,
+  {ATOMS["total_net_revenue"]} AS total_net_revenue,
+  CAST(sum(net_revenue_usd) FILTER (WHERE {IS_LOYAL} AND return_flag <> 'Y') AS DECIMAL(24,4)) AS loyal_revenue,
+  count(DISTINCT customer_sk) FILTER (WHERE {IS_LOYAL}) AS loyal_customers,
+  count(DISTINCT transaction_id) FILTER (WHERE {IS_LOYAL} OR revenue_tier = 'High-Value') AS loyal_or_large,
+  count(DISTINCT transaction_id) FILTER (WHERE customer_segment IS NULL) AS unknown_buyers {FROM_WIDE_STAR} GROUP BY ALL""",
+)
+def filtered_by_entity(s: Star) -> DataFrame:
+    """Metrics over the rows that meet conditions on a joined table, next to one over all rows."""
+    names = ["total_net_revenue", "loyal_revenue", "loyal_customers", "loyal_or_large", "unknown_buyers"]
+    return metric_query(WITH_CHOSEN_SALES, s.metric_sources(), names, ["store__region_name", "metric_time__quarter"])
+
+
+@query(
+    "metric_query_or",
+    plain_sql(
+        f"gender_code AS customer__gender_code, {MONTH}", {m: m for m in ("total_net_revenue", "transaction_count", "unique_customers")},
+        f"""({IS_LOYAL} OR revenue_tier = 'High-Value' AND quantity_sold IS NOT NULL)
+  AND NOT (country_name LIKE 'NATION_1%' OR division_name IN ('ECONOMY', 'SMALL') AND return_flag = 'Y')
+  AND (transaction_date BETWEEN DATE '1994-03-01' AND DATE '1997-06-30' OR transaction_date >= DATE '1998-05-01')""",
+        FROM_WIDE_STAR,
+    ),
+)
+def query_with_or(s: Star) -> DataFrame:
+    """And, or and not over the fact, three tables and the date."""
+    day, country, division = "metric_time__day", "store__country_name", "product__division_name"
+    large = Condition("transaction__revenue_tier", "=", "High-Value")
+    left_out = Condition(country, "like", "NATION_1%") | (Condition(division, "in", ["ECONOMY", "SMALL"]) & Condition("transaction__return_flag", "=", "Y"))
+    dated = Condition(day, "between", (date(1994, 3, 1), date(1997, 6, 30))) | Condition(day, ">=", date(1998, 5, 1))
+    return metric_query(
+        SEMANTIC_LAYER, s.metric_sources(), ["total_net_revenue", "transaction_count", "unique_customers"],
+        ["customer__gender_code", "metric_time__month"], where=(LOYAL | large) & ~left_out & dated,
+    )
+
+
+@query(
+    "metric_query_semi_join",
+    f"""SELECT metric_time__day, {D244.format("sum(rev) " + spine_over("INTERVAL 6 DAY PRECEDING AND CURRENT ROW"))} AS trailing_7d_revenue,
+  coalesce(n, 0) AS transaction_count
+FROM (SELECT CAST(x AS DATE) AS metric_time__day, rev, n FROM (SELECT unnest(generate_series(CAST(min(transaction_date) AS TIMESTAMP),
+    CAST(max(transaction_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS x FROM c_sales JOIN c_customers USING (customer_sk)
+    WHERE {IS_LOYAL} AND customer_segment NOT LIKE 'A%')
+  LEFT JOIN (SELECT transaction_date, {money('net_revenue_usd')} AS rev, count(DISTINCT transaction_id) AS n
+    FROM c_sales JOIN c_customers USING (customer_sk) WHERE {IS_LOYAL} AND customer_segment NOT LIKE 'A%' GROUP BY 1)
+  ON transaction_date = CAST(x AS DATE))""",
+)
+def query_semi_joined(s: Star) -> DataFrame:
+    """Conditions on a table that is not shown: facts look for a key among the chosen ones."""
+    return metric_query(
+        SEMANTIC_LAYER, s.metric_sources(), ["trailing_7d_revenue", "transaction_count"], ["metric_time__day"],
+        where=[LOYAL, ~Condition("customer__customer_segment", "like", "A%")],
+    ).fillna(0, ["transaction_count"])
+
+
 # --- catalog, synonyms, formats --------------------------------------------------------------
 
 SHOWN = ("total_net_revenue", "total_gross_revenue", "total_discount", "total_quantity", "transaction_count",
