@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.dates import period_start
 from shelfline.functions.ratios import money_sum, rounded_percent
 from shelfline.metrics.layers import METRIC_VIEW
 from shelfline.metrics.predicates import test_column
 from shelfline.metrics.query import aggregate
 from shelfline.operators import aggregates, sampling
+from shelfline.operators.distinct_sets import dictionary, grouping_set_sizes, set_sizes, sets_of, with_numbers
 from shelfline.plans.reports import sold_and_returned
 from shelfline.sources.readers import staging_view
+from shelfline.sources.scratch import stored
 from workload.oracle import money, units
 from workload.published import (
     ATOMS,
@@ -231,3 +236,48 @@ add(
     lambda s: s.returns("product_sk", "return_reason_code").distinct(),
     "SELECT DISTINCT product_sk, return_reason_code FROM c_returns",
 )
+
+
+# --- distinct counts from merged sets -----------------------------------------------------------
+
+
+def daily_customer_sets(s: Star) -> DataFrame:
+    """The customers of each channel and day, read from the facts once and stored."""
+    sales = s.sales("customer_sk", "channel_sk", "transaction_date")
+    return stored(sets_of(sales, ["channel_sk", "transaction_date"], "customer_sk"), "customer_sets")
+
+
+PERIODS = ("day", "week", "month", "quarter", "year")
+
+
+@query(
+    "agg_distinct_over_days",
+    " UNION ALL ".join(
+        f"""SELECT '{p}' AS grain, channel_sk, CAST(date_trunc('{p}', transaction_date) AS DATE) AS period_start,
+  count(DISTINCT customer_sk) AS customers FROM c_lines WHERE customer_sk IS NOT NULL GROUP BY 2, 3"""
+        for p in PERIODS
+    ),
+)
+def distinct_over_days(s: Star) -> DataFrame:
+    """Customers by channel and day, week, month, quarter and year, all from the sets of days."""
+    sets = daily_customer_sets(s)
+    parts = []
+    for grain in PERIODS:
+        keys = {"channel_sk": F.col("channel_sk"), "period_start": period_start(F.col("transaction_date"), grain)}
+        parts.append(set_sizes(sets, keys, "customers").withColumn("grain", F.lit(grain)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "agg_distinct_rollup",
+    """SELECT transaction_year, channel_sk, return_flag, CAST(grouping(channel_sk) AS INTEGER) AS all_channels,
+  CAST(grouping(return_flag) AS INTEGER) AS all_flags, count(DISTINCT transaction_id) AS transactions
+FROM c_lines GROUP BY ROLLUP (transaction_year, channel_sk, return_flag)""",
+)
+def distinct_rollup(s: Star) -> DataFrame:
+    """Transactions, whose ids are texts, at every level of a rollup: the finest sets are merged upwards."""
+    keys = ["transaction_year", "channel_sk", "return_flag"]
+    lines = stored(s.lines("transaction_id", *keys), "lines")
+    sets = sets_of(with_numbers(lines, dictionary(lines, "transaction_id"), "transaction_id"), keys, "number")
+    levels = [keys[:n] for n in range(3, -1, -1)]
+    return grouping_set_sizes(sets, levels, "transactions", {"channel_sk": "all_channels", "return_flag": "all_flags"})
