@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import astuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from shelfline.metrics.model import Derived, Layer, Simple, Windowed
 
 CATALOG_SCHEMA = """
     layer STRING, name STRING, kind STRING, label STRING, comment STRING, synonyms ARRAY<STRING>,
-    format STRUCT<type: STRING, currency_code: STRING, places: INT, compact: BOOLEAN, fraction: BOOLEAN>
+    declared_format STRING,
+    format STRUCT<type: STRING, currency_code: STRING, places: INT, compact: BOOLEAN, fraction: BOOLEAN, grouped: BOOLEAN,
+      date_order: STRING, leading_zeros: BOOLEAN>
 """
 
 
@@ -23,8 +27,8 @@ def metric_catalog(spark: SparkSession, layer: Layer) -> DataFrame:
     rows = []
     for entry in (*layer.metrics.values(), *layer.dimensions.values()):
         f = entry.format
-        shown = (f.type, f.currency_code, f.places, f.compact, f.fraction) if f else None
-        rows.append((layer.name, entry.name, _kind(entry), entry.label, entry.comment, list(entry.synonyms), shown))
+        shown = astuple(f) if f else None
+        rows.append((layer.name, entry.name, _kind(entry), entry.label, entry.comment, list(entry.synonyms), f.declared if f else None, shown))
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 

@@ -18,6 +18,7 @@ from shelfline.metrics.model import (
     Format,
     Input,
     Measure,
+    Metric,
     Simple,
     TimeDimension,
     Windowed,
@@ -32,7 +33,7 @@ USD = Format("currency", "USD", 2)
 COMPACT_USD = Format("currency", "USD", 2, compact=True)
 PERCENT = Format("percentage", places=2)
 SHARE = Format("percentage", places=2, fraction=True)
-COUNT = Format("number", places=0)
+COUNT = Format("number")
 
 # Metric and dimension names, labels and synonyms are the layers' public names.
 SIMPLE = (
@@ -51,7 +52,7 @@ SIMPLE = (
     Simple("unique_customers", "Unique Customers", "Different known customers.",
            ("customer count",), COUNT, CUSTOMERS),
     Simple("return_transactions", "Return Transactions", "Different transactions with a returned line.",
-           (), COUNT, TRANSACTIONS, where=Condition("return_flag", "=", "Y")),
+           (), None, TRANSACTIONS, where=Condition("return_flag", "=", "Y")),
 )
 
 
@@ -81,7 +82,7 @@ TRAILING = (
     Windowed("trailing_7d_revenue", "Trailing 7-Day Revenue", "Net revenue of the last seven days.", (), USD,
              NET, "trailing", days=7),
     Windowed("trailing_7d_customers", "Trailing 7-Day Customers", "Different customers of the last seven days.",
-             (), COUNT, CUSTOMERS, "trailing", days=7),
+             (), None, CUSTOMERS, "trailing", days=7),
 )
 
 RUNNING = (
@@ -145,6 +146,12 @@ ENTITY_ATTRIBUTES = {
 FACT_ATTRIBUTES = {"revenue_tier": "Revenue Tier", "return_flag": "Return Flag", "currency_code": "Currency Code"}
 TIME_GRAINS = ("day", "week", "month", "quarter", "year")
 
+
+def _plain(*metrics: Metric, **changes: object) -> list[Metric]:
+    """Metrics as the semantic layer has them, which declares neither formats nor synonyms."""
+    return [replace(m, format=None, synonyms=(), **changes) for m in metrics]
+
+
 SEMANTIC_LAYER = layer_of(
     "semantic_layer",
     "transaction_date",
@@ -158,12 +165,11 @@ SEMANTIC_LAYER = layer_of(
         *[Dimension(f"transaction__{c}", label, column=c) for c, label in FACT_ATTRIBUTES.items()],
     ),
     metrics=(
-        *SIMPLE,
-        *COMPOSED,
-        *[replace(m, include_today=True) for m in TRAILING],
-        *RUNNING,
+        *_plain(*SIMPLE, *COMPOSED),
+        *_plain(*TRAILING, include_today=True),
+        *_plain(*RUNNING),
         Derived("day_over_day_revenue_growth", "Day-over-Day Growth %",
-                "Change against the day before, in percent.", (), PERCENT,
+                "Change against the day before, in percent.", (), None,
                 (Input("total_net_revenue"), Input("total_net_revenue", days_ago=1)), growth_percent),
     ),
     entities=(

@@ -10,13 +10,23 @@ from pyspark.sql import Column, DataFrame
 
 @dataclass(frozen=True)
 class Format:
-    """How a value is shown. ``fraction`` marks ratios that are not yet percent."""
+    """How a value is shown. No ``places`` are all of them. ``fraction`` marks ratios that are not yet percent; ``grouped``
+    separates thousands; dates are shown in ``date_order``, their parts filled up with ``leading_zeros``."""
 
     type: str = "number"
     currency_code: str | None = None
     places: int | None = None
     compact: bool = False
     fraction: bool = False
+    grouped: bool = True
+    date_order: str = "year_month_day"
+    leading_zeros: bool = True
+
+    @property
+    def declared(self) -> str:
+        """The format in words: type, currency, places and whether it is compact."""
+        places = () if self.type == "date" else ("all" if self.places is None else str(self.places),)
+        return " ".join(filter(None, (self.type, self.currency_code, *places, "compact" if self.compact else None)))
 
 
 @dataclass(frozen=True)

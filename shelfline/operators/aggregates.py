@@ -65,6 +65,6 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, day: str) -> DataFrame:
-    """Rows of the last date. The one-row maximum is broadcast."""
-    last = df.agg(F.max(day).alias("_last"))
-    return df.join(F.broadcast(last), F.col(day) == F.col("_last"), "inner").drop("_last")
+    """Rows of the last date. Where the frame is a table partitioned by the date,
+    the maximum comes from its partition values and only that partition is read."""
+    return df.where(F.col(day) == df.agg(F.max(day)).scalar())

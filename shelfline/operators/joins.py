@@ -10,10 +10,22 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.ordinals import ordinal_within
 from shelfline.operators.sizing import broadcast_if_small, is_small
+from shelfline.operators.validity import best_valid
+from shelfline.sources.scratch import stored
 
 SPREAD = 64
 
 
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """The rows of a dimension, with an error if two of them have the same key. NULL keys, which nothing looks for, are left out."""
+    others = [c for c in dim.columns if c != key]
+    row = F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(1).alias("_any")])
+    repeated = F.raise_error(F.concat(F.lit(f"repeated key {key}: "), F.col(key).cast("string")))
+    rows = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.any_value(row).alias("_row"), F.count(F.lit(1)).alias("_rows"))
+    checked = rows.select(key, F.when(F.col("_rows") == 1, F.col("_row")).otherwise(repeated).alias("_row"))
+    return checked.select(key, *[F.col(f"_row.`{c}`").alias(c) for c in others])
+
+
 def many_to_one(
     fact: DataFrame,
     dim: DataFrame,
@@ -21,17 +33,20 @@ def many_to_one(
     dim_key: str | None = None,
     how: str = "left",
     hot_keys: Sequence[object] = (),
+    guarded: bool = True,
 ) -> DataFrame:
     """Look up one dimension row per fact row.
 
-    A small dimension is broadcast. A large one is shuffled; then NULL keys and
-    the keys named in ``hot_keys`` are spread over many partitions first, and
-    adaptive execution splits any other heavy key.
+    A key that the dimension has twice raises an error, so facts are never multiplied; ``guarded=False`` leaves the check out
+    where the dimension is made by a grouping on its key. A small dimension is broadcast. A large one is shuffled; then NULL
+    keys and the keys named in ``hot_keys`` are spread over many partitions first, and adaptive execution splits any other
+    heavy key.
     """
     dim_key = dim_key or fact_key
+    small = is_small(dim)
     # Renamed so that the condition is unambiguous when both share a source.
-    dim = dim.withColumnRenamed(dim_key, "_dim_key")
-    if is_small(dim):
+    dim = (one_per_key(dim, dim_key) if guarded else dim).withColumnRenamed(dim_key, "_dim_key")
+    if small:
         joined = fact.join(F.broadcast(dim), F.col(fact_key) == F.col("_dim_key"), how)
         return joined.drop("_dim_key")
     return _spread_lookup(fact, dim, fact_key, how, list(hot_keys))
@@ -73,17 +88,11 @@ def left_composite(
 def valid_promotion(
     sales: DataFrame, promotions: DataFrame, day: str = "transaction_date", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Keep a sale's promotion only if the sale falls in its validity; never drop
-    the sale. ``keep`` names promotion columns to add, NULL where none is valid.
-
-    A promotion has one validity, so this is a lookup by key whose result is
-    cleared outside the dates; most sales have no promotion at all."""
-    offers = promotions.select(
-        "promotion_sk", F.col("start_date").alias("_from"), F.col("end_date").alias("_to"), *keep
-    )
-    found = many_to_one(sales, offers, "promotion_sk")
-    valid = F.col(day).between(F.col("_from"), F.col("_to"))
-    return found.withColumns({c: F.when(valid, F.col(c)) for c in ("promotion_sk", *keep)}).drop("_from", "_to")
+    """Keep a sale's promotion only if the sale falls in one of its validities; never
+    drop or repeat the sale. ``keep`` names promotion columns to add, NULL where none
+    is valid; of several validities that cover the day the latest counts."""
+    found = best_valid(sales, promotions, "promotion_sk", day, keep=keep)
+    return found.withColumn("promotion_sk", F.when(F.col("_covered"), F.col("promotion_sk"))).drop("_covered")
 
 
 def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
@@ -99,11 +108,18 @@ def only_known(fact: DataFrame, known: DataFrame, fact_key: str, known_key: str)
     return fact.join(broadcast_if_small(keys), F.col(fact_key) == F.col("_known"), "left_semi")
 
 
-def flag_matches(left: DataFrame, right: DataFrame, left_key: str, right_key: str, flag: str) -> DataFrame:
-    """Set ``flag`` to Y where the right side holds the key, else N."""
-    known = right.select(F.col(right_key).alias("_known")).where(F.col("_known").isNotNull()).distinct()
-    joined = left.join(known, F.col(left_key) == F.col("_known"), "left")
-    return joined.withColumn(flag, F.when(F.col("_known").isNotNull(), "Y").otherwise("N")).drop("_known")
+def flag_matches(
+    left: DataFrame, right: DataFrame, left_key: str | Sequence[str], right_key: str | Sequence[str], flag: str
+) -> DataFrame:
+    """Set ``flag`` to Y where the right side holds the key, else N. A key may have
+    several columns: natural keys tell rows apart whose surrogate keys collide."""
+    mine, theirs = ([k] if isinstance(k, str) else list(k) for k in (left_key, right_key))
+    names = [f"_known_{i}" for i in range(len(theirs))]
+    known = right.select(*[F.col(k).alias(n) for k, n in zip(theirs, names, strict=True)])
+    known = known.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in names])).distinct()
+    same = reduce(Column.__and__, [F.col(k) == F.col(n) for k, n in zip(mine, names, strict=True)])
+    joined = left.join(known, same, "left")
+    return joined.withColumn(flag, F.when(F.col(names[0]).isNotNull(), "Y").otherwise("N")).drop(*names)
 
 
 def on_spine(spine: DataFrame, daily: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -148,23 +164,6 @@ def _merge_one_row(results: Sequence[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
-def with_ancestors(
-    geography: DataFrame, levels: int, key: str = "geo_sk", parent: str = "parent_geo_sk", name: str = "geo_name"
-) -> DataFrame:
-    """Follow the parent key ``levels`` times; adds parent_1_name, parent_2_name, ..."""
-    walked = geography.withColumn("_next", F.col(parent))
-    for step in range(1, levels + 1):
-        up = geography.select(
-            F.col(key).alias("_key"), F.col(parent).alias("_up"), F.col(name).alias(f"parent_{step}_name")
-        )
-        walked = (
-            walked.join(up, F.col("_next") == F.col("_key"), "left")
-            .drop("_next", "_key")
-            .withColumnRenamed("_up", "_next")
-        )
-    return walked.drop("_next")
-
-
 def with_first_match(left: DataFrame, right: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     """Add the smallest ``value`` of each key on the right, NULL where there is none."""
     first = right.groupBy(F.col(key).alias("_key")).agg(F.min(value).alias(alias))
@@ -177,11 +176,21 @@ def pair_in_order(
     """Give the n-th left row of a group, counting the rows whose ``takes_part`` is
     true, the key of the n-th right row of the same group; NULL for all others.
 
-    Both sides are numbered without putting a whole group into one task. Rows
-    that take no part get negative numbers: they match nothing and stay spread."""
-    numbered_left = ordinal_within(left, [group, takes_part], left_key, alias="_n")
-    numbered_left = numbered_left.withColumn("_n", F.when(F.col(takes_part), F.col("_n")).otherwise(-F.col("_n")))
-    numbered_right = ordinal_within(right.select(group, right_key), [group], right_key, alias="_rn")
-    numbered_right = numbered_right.select(F.col(group).alias("_group"), "_rn", right_key)
-    same = (F.col(group) == F.col("_group")) & (F.col("_n") == F.col("_rn"))
-    return numbered_left.join(numbered_right, same, "left").drop("_group", "_rn", "_n")
+    Both sides are written as one table, numbered in one pass over slices of
+    their keys, and meet by group and number: no group is put into one task, and
+    neither side is computed twice. Rows that take no part are not shuffled."""
+    row = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    active = F.coalesce(F.col(takes_part), F.lit(False)) & F.col(group).isNotNull()
+    ours = left.select(F.col(group).alias("_group"), F.col(left_key).alias("_key"), F.lit(True).alias("_left"), active.alias("_active"), row.alias("_row"))
+    theirs = right.where(F.col(group).isNotNull()).select(
+        F.col(group).alias("_group"), F.col(right_key).alias("_key"), F.lit(False).alias("_left"),
+        F.lit(True).alias("_active"), F.lit(None).cast(ours.schema["_row"].dataType).alias("_row"),
+    )
+    both = stored(ours.unionByName(theirs), "pairs")
+    numbered = ordinal_within(both.where("_active"), ["_group", "_left"], "_key", alias="_n")
+    met = numbered.groupBy("_group", "_n").agg(
+        F.any_value("_row", ignoreNulls=True).alias("_row"), F.max(F.when(~F.col("_left"), F.col("_key"))).alias(right_key)
+    )
+    idle = both.where("_left and not _active").select("_row", F.lit(None).cast(both.schema["_key"].dataType).alias(right_key))
+    rows = met.where("_row is not null").select("_row", right_key).unionByName(idle)
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in left.columns], right_key)

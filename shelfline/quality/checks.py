@@ -45,15 +45,16 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKe
     """Orphan keys per relationship whose tables are both given; NULL keys are fine.
 
     Each table is read once, however many relationships it takes part in: its
-    keys are stacked as (relationship, key), reduced to different ones before
-    the shuffle, and both sides meet in one aggregation. Keys are integers."""
+    keys are stacked as (relationship, key), and all tables meet in one
+    aggregation, which brings each task's rows to different keys before its
+    shuffle. Keys are integers."""
     present = [k for k in keys if k.fact in tables and k.dim in tables]
     spark = next(iter(tables.values())).sparkSession
 
     def stacked(table: str, named: list[tuple[int, str]], in_fact: bool) -> DataFrame:
         cells = [F.struct(F.lit(i).alias("_check"), F.col(c).cast("bigint").alias("_key")) for i, c in named]
         seen = tables[table].select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
-        side = seen.where(F.col("_key").isNotNull()).distinct()
+        side = seen.where(F.col("_key").isNotNull())
         return side.select("_check", "_key", F.lit(in_fact).alias("_used"), F.lit(not in_fact).alias("_known"))
 
     sides: dict[tuple[str, bool], list[tuple[int, str]]] = {}
@@ -74,45 +75,77 @@ def check_foreign_keys(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKe
     )
 
 
-def check_primary_key(df: DataFrame, table: str, key: Sequence[str] | str) -> DataFrame:
-    """Number of key values that occur more than once, of rows beyond the first
-    of each, and of rows with a NULL key."""
-    names = [key] if isinstance(key, str) else list(key)
-    missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
-    per_key = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_missing", missing)
-    repeated = ~F.col("_missing") & (F.col("_rows") > 1)
-    return per_key.agg(
+def check_primary_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str] | str]]) -> DataFrame:
+    """Per table, given with its key: the number of key values that occur more than
+    once, of rows beyond the first of each, and of rows with a NULL in the key.
+
+    The keys of all tables are stacked and counted in one aggregation. A key of
+    several columns is compared as their texts, each with its length."""
+
+    def stacked(name: str, df: DataFrame, key: Sequence[str] | str) -> DataFrame:
+        texts = [F.col(c).cast("string") for c in ([key] if isinstance(key, str) else key)]
+        parts = [F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]
+        return df.select(F.lit(name).alias("table_name"), (F.concat(*parts) if len(parts) > 1 else texts[0]).alias("_key"))
+
+    rows = reduce(DataFrame.unionByName, [stacked(name, df, key) for name, (df, key) in tables.items()])
+    per_key = rows.groupBy("table_name", "_key").agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = F.col("_key").isNotNull() & (F.col("_rows") > 1)
+    found = per_key.groupBy("table_name").agg(
         F.count_if(repeated).alias("duplicate_keys"),
         F.coalesce(F.sum(F.when(repeated, F.col("_rows") - 1)), F.lit(0)).alias("surplus_rows"),
-        F.coalesce(F.sum(F.when(F.col("_missing"), F.col("_rows"))), F.lit(0)).alias("null_rows"),
-    ).select(F.lit(table).alias("table_name"), "duplicate_keys", "surplus_rows", "null_rows")
+        F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_rows"))), F.lit(0)).alias("null_rows"),
+    )
+    return _for_each(found, list(tables), ("duplicate_keys", "surplus_rows", "null_rows"))
+
+
+def _for_each(found: DataFrame, names: Sequence[str], counts: Sequence[str]) -> DataFrame:
+    """One row per table, also for those without rows."""
+    listed = found.sparkSession.createDataFrame([(n,) for n in names], "table_name STRING")
+    zeros = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts]
+    return listed.join(found, "table_name", "left").select("table_name", *zeros)
+
+
+def check_primary_key(df: DataFrame, table: str, key: Sequence[str] | str) -> DataFrame:
+    """The same for one table."""
+    return check_primary_keys({table: (df, key)})
+
+
+def check_not_nulls(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows with a NULL per required column of each table; a table's columns are counted in one pass."""
+
+    def counted(name: str) -> DataFrame:
+        required = list(columns[name])
+        counts = tables[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+        return counts.unpivot([], required, "column_name", "null_rows").select(
+            F.lit(name).alias("table_name"), "column_name", "null_rows"
+        )
+
+    return reduce(DataFrame.unionByName, [counted(name) for name in columns if columns[name]])
 
 
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Rows with a NULL per required column, counted in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counts.unpivot([], list(columns), "column_name", "null_rows").select(
-        F.lit(table).alias("table_name"), "column_name", "null_rows"
-    )
+    """The same for one table."""
+    return check_not_nulls({table: df}, {table: columns})
+
+
+def check_all_allowed(tables: Mapping[str, DataFrame], allowed: Mapping[str, Mapping[str, Sequence[str]]]) -> DataFrame:
+    """Values outside the declared sets with their row counts. The cells of all
+    tables are stacked; only bad ones are shuffled, in one aggregation."""
+
+    def bad(name: str) -> DataFrame:
+        cells = [
+            F.when(~F.col(c).isin(*values), F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).alias("value")))
+            for c, values in allowed[name].items()
+        ]
+        return tables[name].select(F.explode(F.filter(F.array(*cells), lambda cell: cell.isNotNull())).alias("_cell")).select("_cell.*")
+
+    rows = reduce(DataFrame.unionByName, [bad(name) for name in allowed if allowed[name]])
+    return rows.groupBy("table_name", "column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def check_allowed_values(df: DataFrame, table: str, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Values outside the declared sets with their row counts."""
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in allowed])
-    ).alias("_cell")
-    bad = reduce(
-        lambda a, b: a | b,
-        [(F.col("column_name") == c) & ~F.col("value").isin(*values) for c, values in allowed.items()],
-    )
-    return (
-        df.select(cells)
-        .select("_cell.*")
-        .where(bad)
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(table).alias("table_name"), "column_name", "value", "row_count")
-    )
+    """The same for one table."""
+    return check_all_allowed({table: df}, {table: allowed})
 
 
 def check_conversions(sessions: DataFrame) -> DataFrame:

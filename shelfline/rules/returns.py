@@ -43,7 +43,8 @@ def build_fact_returns(sales: DataFrame, horizon: date) -> DataFrame:
     """One return line per sale given; returns after the horizon are dropped.
 
     Needs the sale's keys and prices, ``order_number``, ``return_delay`` and
-    ``quantity_returned``."""
+    ``quantity_returned``. A natural key of the sale, ``transaction_nk``, goes
+    along as ``original_transaction_nk``."""
     reason = pick(words(params.RETURN_REASONS), F.col("product_sk"))
     coded = sales.withColumns(
         {
@@ -79,4 +80,5 @@ def build_fact_returns(sales: DataFrame, horizon: date) -> DataFrame:
         fee.alias("restocking_fee"),
         F.col("return_delay").alias("days_since_purchase"),
         within_window(F.col("return_delay")).alias("is_within_return_window"),
+        *[F.col(c).alias(f"original_{c}") for c in sales.columns if c == "transaction_nk"],
     )

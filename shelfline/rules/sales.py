@@ -24,6 +24,8 @@ LINE_COLUMNS = (
     "transaction_year", "customer_sk", "product_sk", "store_sk", "channel_sk", "promotion_sk",
     "employee_sk", "quantity_sold", "discount_rate", "tax_rate", "return_flag", "order_number",
 )
+# Not a column of the fact: joins between facts use it, since surrogate keys are hashes and may collide.
+NATURAL_KEYS = ("transaction_nk",)
 PRICE_COLUMNS = (
     "unit_retail_price", "unit_cost_price", "gross_revenue", "discount_amount", "net_revenue", "tax_amount",
     "total_transaction_amount", "cost_of_goods_sold", "gross_margin", "gross_margin_pct",
@@ -37,12 +39,12 @@ PRICES = {"standard_retail_price": "unit_retail_price", "standard_cost": "unit_c
 def needed_line_columns(columns: Iterable[str], entities: Iterable[str] = ()) -> list[str]:
     """Line columns that the wanted sales columns and entity keys are made from."""
     wanted = set(columns)
-    needed = wanted & set(LINE_COLUMNS) | {"transaction_date_sk"} | {f"{e}_sk" for e in entities}
+    needed = wanted & {*LINE_COLUMNS, *NATURAL_KEYS} | {"transaction_date_sk"} | {f"{e}_sk" for e in entities}
     if wanted & {*PRICE_COLUMNS, *USD_COLUMNS}:
         needed |= {"product_sk", "quantity_sold", "discount_rate", "tax_rate"}
     if wanted & {*STORE_COLUMNS, *USD_COLUMNS}:
         needed |= {"store_sk", "order_number"}
-    return [c for c in LINE_COLUMNS if c in needed]
+    return [c for c in (*LINE_COLUMNS, *NATURAL_KEYS) if c in needed]
 
 
 def sales_columns(

@@ -32,6 +32,11 @@ class TableSpec:
     def column_names(self) -> list[str]:
         return [d[0] for d in self._declarations]
 
+    @property
+    def types(self) -> dict[str, str]:
+        """Declared type of each column."""
+        return {d[0]: d[1] for d in self._declarations}
+
     @property
     def required(self) -> list[str]:
         return [d[0] for d in self._declarations if d[-2:] == ["NOT", "NULL"]]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +25,12 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a table in a new folder, written now, so that what reads it several times computes it once."""
+def stored(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The frame as a table in a new folder, written now, so that what reads it several times computes it once. Partitions are
+    written by few tasks each, so that the table has few files."""
     path = scratch_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

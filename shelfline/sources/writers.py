@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,13 +27,17 @@ def drop_tables(spark: SparkSession, tables: Iterable[str]) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
+def conform(df: DataFrame, spec: TableSpec, given: Mapping[str, Column] | None = None) -> DataFrame:
     """The declared columns in declared order and type. Columns the frame lacks,
-    and NULLs, get the declared default where there is one."""
+    and NULLs, get the declared default where there is one. ``given`` has values
+    that a job sets itself, such as the time of the load, the same for all rows."""
+    given = given or {}
     out = []
     for f in spec.schema.fields:
         value = F.col(f.name) if f.name in df.columns else F.lit(None)
-        if f.name in spec.defaults:
+        if f.name in given:
+            value = F.coalesce(value.cast(f.dataType), given[f.name])
+        elif f.name in spec.defaults:
             value = F.coalesce(value, F.expr(spec.defaults[f.name]))
         out.append(value.cast(f.dataType).alias(f.name))
     return df.select(*out)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfline.operators import aggregates, joins, ordinals, sampling, windows
+from shelfline.operators import aggregates, hierarchy, joins, ordinals, sampling, validity, windows
 
 DAY0 = date(2024, 1, 1)
 
@@ -181,3 +181,88 @@ def test_samples_repeat(spark):
     df = spark.range(1000)
     assert sampling.sample_percent(df, F.col("id"), 8).count() == 80
     assert sampling.sample_rows(df, "id", 50).collect() == sampling.sample_rows(df.repartition(7), "id", 50).collect()
+
+
+# --- hierarchies, validities, keys ------------------------------------------------
+
+
+def test_hierarchy_of_any_depth(spark):
+    chain = [(i, i + 1 if i < 9 else None, f"n{i}") for i in range(10)]
+    nodes = [*chain, (20, 3, "side"), (21, 99, "lost parent"), (22, None, "alone"), (23, 20, "leaf")]
+    df = frame(spark, nodes, "k INT, p INT, name STRING")
+    parents, names = {k: p for k, p, _ in nodes}, {k: n for k, _, n in nodes}
+
+    def up(k):
+        out = []
+        while (k := parents[k]) in names:
+            out.append(names[k])
+        return out
+
+    got = {r.k: list(r.ancestor_names) for r in hierarchy.with_ancestors(df, key="k", parent="p", name="name").collect()}
+    assert got == {k: up(k) for k in names}
+    fixed = {r.k: (r.parent_1_name, r.parent_5_name) for r in hierarchy.with_ancestors(df, 5, "k", "p", "name").collect()}
+    assert fixed == {k: ((up(k) + [None] * 5)[0], (up(k) + [None] * 5)[4]) for k in names}
+
+
+def test_circles_and_repeated_nodes_raise(spark):
+    for circle in ([(1, 2, "a"), (2, 3, "b"), (3, 1, "c")], [(1, 1, "self")], [(0, 1, "in"), (1, 2, "a"), (2, 1, "b")]):
+        with pytest.raises(ValueError, match="circle"):
+            hierarchy.with_ancestors(frame(spark, circle, "k INT, p INT, name STRING"), key="k", parent="p", name="name")
+    with pytest.raises(Exception, match="repeated key"):
+        hierarchy.with_ancestors(frame(spark, [(1, None, "a"), (1, None, "b"), (2, 1, "c")], "k INT, p INT, name STRING"), key="k", parent="p", name="name")
+
+
+def test_repeated_dimension_keys_raise(spark):
+    fact = frame(spark, [(1, 1), (2, 2)], "id BIGINT, k BIGINT")
+    dim = frame(spark, [(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k BIGINT, name STRING")
+    with pytest.raises(Exception, match="repeated key k: 1"):
+        joins.many_to_one(fact, dim, "k").collect()
+    assert joins.many_to_one(fact, dim, "k").count() == 2
+    assert sorted(map(tuple, joins.many_to_one(fact, dim.where("name != 'b'"), "k").collect())) == [(1, 1, "a"), (2, 2, None)]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_overlapping_validities(spark, broadcast, request):
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+        request.getfixturevalue("monkeypatch").setattr(validity, "is_small", lambda df, limit=0: False)
+    rng = random.Random(4)
+    offers = [(rng.randint(1, 4), on(b := rng.randint(0, 400)), on(b + rng.choice([0, 3, 40, 5000])), f"o{i}") for i in range(60)]
+    offers += [(1, on(9), on(2), "upside down"), (None, on(0), on(99), "no key"), (2, on(-900), date(9999, 12, 31), "always")]
+    sales = [(i, rng.choice([1, 1, 1, 2, 3, 4, 5, None]), None if i % 40 == 0 else on(rng.randint(-30, 460))) for i in range(400)]
+    facts = frame(spark, sales, "id INT, k INT, d DATE").repartition(5)
+    known = frame(spark, offers, "k INT, a DATE, b DATE, name STRING")
+
+    def valid(k, d):
+        return [(a, b, n) for ok, a, b, n in offers if ok is not None and ok == k and d is not None and a <= d <= b]
+
+    every = sorted((r.id, r.name) for r in validity.every_valid(facts, known, "k", "d", "a", "b", ["name"]).collect())
+    assert every == sorted((i, n) for i, k, d in sales for _, _, n in valid(k, d))
+    best = {r.id: (r._covered, r.name) for r in validity.best_valid(facts, known, "k", "d", "a", "b", ["name"]).collect()}
+    want = {}
+    for i, k, d in sales:
+        held = sorted(valid(k, d), key=lambda o: (-o[0].toordinal(), o[1], o[2]))
+        want[i] = (bool(held), held[0][2] if held else None)
+    assert best == want
+
+
+def test_flags_by_natural_keys_when_surrogates_collide(spark):
+    left = frame(spark, [(7, "A", 1), (7, "A", 2), (7, "B", 1), (8, None, 1)], "sk BIGINT, order_id STRING, line INT")
+    right = frame(spark, [(7, "A", 2), (7, None, 1)], "sk BIGINT, o STRING, n INT")
+    got = {(r.order_id, r.line): r.f for r in joins.flag_matches(left, right, ["order_id", "line"], ["o", "n"], "f").collect()}
+    assert got == {("A", 1): "N", ("A", 2): "Y", ("B", 1): "N", (None, 1): "N"}
+
+
+def test_pairs_in_order(spark):
+    rng = random.Random(6)
+    left = [(rng.choice(["x", "x", "y", None]), k, rng.choice([True, True, False, None]), f"row{k}") for k in rng.sample(range(2**58), 120)]
+    right = [(rng.choice(["x", "y", "z", None]), k) for k in rng.sample(range(2**58), 60)]
+    got = joins.pair_in_order(frame(spark, left, "g STRING, k BIGINT, active BOOLEAN, note STRING"), frame(spark, right, "g STRING, t BIGINT"), "g", "k", "t", "active")
+    want = {k: None for _, k, _, _ in left}
+    for g in ("x", "y"):
+        ours = sorted(k for h, k, a, _ in left if h == g and a)
+        theirs = sorted(t for h, t in right if h == g)
+        want |= dict(zip(ours, theirs))
+    rows = got.collect()
+    assert got.columns == ["g", "k", "active", "note", "t"] and len(rows) == len(left)
+    assert {r.k: r.t for r in rows} == want and all(r.note == f"row{r.k}" for r in rows)

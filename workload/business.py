@@ -9,9 +9,8 @@ from shelfline.functions.ratios import unit_sum
 from shelfline.operators.joins import many_to_one
 from shelfline.rules import calendar, pricing, promotions, stores
 from shelfline.schemas import TABLES
-from workload.oracle import calendar_sql, key60, units
+from workload.oracle import calendar_sql, key60, units, whole_sql
 from workload.registry import add, query
-from workload.scans import CUSTOMER_OUT, PRODUCT_OUT, SALES_OUT, STORE_OUT
 from workload.star import Star
 
 # --- dimensions ------------------------------------------------------------------------
@@ -29,9 +28,16 @@ add(
     lambda s: calendar.build_dim_date(ordered_days(s)),
     f"SELECT {', '.join(DATE_OUT)} FROM ({calendar_sql(SPAN)})",
 )
-add("build_dim_store", lambda s: s.stores(), f"SELECT {', '.join(STORE_OUT)} FROM c_stores")
-add("build_dim_product", lambda s: s.products(), f"SELECT {', '.join(PRODUCT_OUT)} FROM c_products")
-add("build_dim_customer", lambda s: s.customers(), f"SELECT {', '.join(CUSTOMER_OUT)} FROM c_customers")
+
+
+def whole_table(name: str, table: str, source: str) -> None:
+    """A built table with all its declared columns and types."""
+    add(name, lambda s: s.declared(table), whole_sql(table, source))
+
+
+whole_table("build_dim_store", "dim_store", "c_stores")
+whole_table("build_dim_product", "dim_product", "c_products")
+whole_table("build_dim_customer", "dim_customer", "c_customers")
 add(
     "build_dim_employee",
     lambda s: s.employees(),
@@ -51,10 +57,7 @@ REGION_KEY = key60("'REGION'", "region_code")
 COUNTRY_KEY = key60("'COUNTRY'", "region_code", "country_code")
 STATE_KEY = key60("'STATE'", "region_code", "country_code", "state_code")
 CITY_KEY = key60("'CITY'", "region_code", "country_code", "state_code", "city")
-add(
-    "build_dim_geography",
-    lambda s: stores.build_dim_geography(s.raw_stores()),
-    f"""SELECT DISTINCT {REGION_KEY} AS geo_sk, 'REGION' AS geo_level, region_code AS geo_code, region_code AS geo_name,
+GEOGRAPHY_SQL = f"""SELECT DISTINCT {REGION_KEY} AS geo_sk, 'REGION' AS geo_level, region_code AS geo_code, region_code AS geo_name,
   CAST(NULL AS BIGINT) AS parent_geo_sk, region_code AS world_region, NULL AS sub_region, NULL AS country_code, NULL AS country_name,
   NULL AS state_code, NULL AS state_name, NULL AS metro_market, NULL AS city, 'TIER_1' AS market_priority FROM c_rawstores
 UNION ALL SELECT DISTINCT {COUNTRY_KEY}, 'COUNTRY', country_code, country_name, {REGION_KEY}, region_code, region_code, country_code,
@@ -62,8 +65,8 @@ UNION ALL SELECT DISTINCT {COUNTRY_KEY}, 'COUNTRY', country_code, country_name,
 UNION ALL SELECT DISTINCT {STATE_KEY}, 'STATE', state_code, state_code, {COUNTRY_KEY}, region_code, region_code, country_code,
   country_name, state_code, state_code, NULL, NULL, 'TIER_2' FROM c_rawstores
 UNION ALL SELECT DISTINCT {CITY_KEY}, 'CITY', state_code || '_' || upper(substr(city, 1, 3)), city, {STATE_KEY}, region_code,
-  region_code, country_code, country_name, state_code, state_code, city, city, 'TIER_3' FROM c_rawstores""",
-)
+  region_code, country_code, country_name, state_code, state_code, city, city, 'TIER_3' FROM c_rawstores"""
+whole_table("build_dim_geography", "dim_geography", f"({GEOGRAPHY_SQL})")
 add(
     "build_dim_channel",
     lambda s: many_to_one(
@@ -79,25 +82,10 @@ add(
 
 # --- facts ---------------------------------------------------------------------------------
 
-add(
-    "build_fact_sales",
-    lambda s: s.promoted_sales().select(*SALES_OUT),
-    f"SELECT {', '.join(SALES_OUT)} FROM c_promoted",
-)
-SESSION_OUT = [c for c in TABLES["fact_web_sessions"].column_names if c != "load_timestamp"]
-add(
-    "build_fact_web_sessions",
-    lambda s: s.sessions().select(*SESSION_OUT),
-    f"SELECT {', '.join(SESSION_OUT)} FROM c_sessions",
-)
-RETURN_OUT = [c for c in TABLES["fact_returns"].column_names if c not in ("load_timestamp", "return_shipping_cost")]
-add("returns_build", lambda s: s.returns(*RETURN_OUT), f"SELECT {', '.join(RETURN_OUT)} FROM c_returns")
-STOCK_OUT = (
-    "inventory_sk", "snapshot_date_sk", "product_sk", "store_sk", "on_hand_qty", "in_transit_qty", "on_order_qty",
-    "reserved_qty", "available_to_sell_qty", "units_received_today", "units_sold_today", "inventory_cost_value",
-    "inventory_retail_value", "reorder_point", "days_of_supply", "stock_turn_rate", "stockout_flag",
-)
-add("inventory_snapshot_build", lambda s: s.inventory().select(*STOCK_OUT), f"SELECT {', '.join(STOCK_OUT)} FROM c_inventory")
+whole_table("build_fact_sales", "fact_sales_transactions", "c_promoted")
+whole_table("build_fact_web_sessions", "fact_web_sessions", "c_sessions")
+whole_table("returns_build", "fact_returns", "c_returns")
+whole_table("inventory_snapshot_build", "fact_inventory_snapshot", "c_inventory")
 
 # --- pricing rules -------------------------------------------------------------------------------
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +9,9 @@ from shelfline.quality import checks, kpis
 from shelfline.rules import stores
 from shelfline.schemas import TABLES
 from shelfline.sources.readers import table_summary
-import workload.business  # noqa: F401  for the SQL of dim_geography
+from workload.business import GEOGRAPHY_SQL
 from workload.oracle import money, ratio, units
-from workload.registry import ENTRIES, add, query
+from workload.registry import add, query
 from workload.star import Star
 
 FACTS = {
@@ -69,39 +66,6 @@ def pk_sql(table: str, source: str, key: str) -> str:
 FROM (SELECT {key} AS k, count(*) AS n FROM {source} GROUP BY 1)"""
 
 
-@query(
-    "dq_primary_key",
-    " UNION ALL ".join(
-        (
-            pk_sql("fact_sales_transactions", "c_lines", "transaction_sk"),
-            pk_sql("ticket_numbers", "c_lines", "transaction_id"),
-            pk_sql("known_customers", "c_lines", "customer_sk"),
-            pk_sql("dim_product", "c_products", "product_sk"),
-        )
-    ),
-)
-def primary_keys(s: Star) -> DataFrame:
-    """Two real keys and two columns that are not keys."""
-    sales = s.sales("transaction_sk", "transaction_id", "customer_sk")
-    return (
-        checks.check_primary_key(sales, "fact_sales_transactions", "transaction_sk")
-        .unionByName(checks.check_primary_key(sales, "ticket_numbers", "transaction_id"))
-        .unionByName(checks.check_primary_key(sales, "known_customers", "customer_sk"))
-        .unionByName(checks.check_primary_key(s.products("product_sk"), "dim_product", "product_sk"))
-    )
-
-
-CHECKED = [c for c in TABLES["fact_sales_transactions"].required if c != "load_timestamp"] + ["customer_sk", "promotion_sk"]
-add(
-    "dq_not_null",
-    lambda s: checks.check_not_null(s.sales(*CHECKED), "fact_sales_transactions", CHECKED),
-    " UNION ALL ".join(
-        f"SELECT 'fact_sales_transactions' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM c_sales"
-        for c in CHECKED
-    ),
-)
-
-
 def allowed_sql(table: str, source: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{table}' AS table_name, '{c}' AS column_name, {c} AS value, count(*) AS row_count FROM {source}
@@ -110,11 +74,6 @@ WHERE {c} NOT IN ({', '.join(f"'{v}'" for v in values)}) GROUP BY {c}"""
     )
 
 
-add(
-    "dq_allowed_values",
-    lambda s: checks.check_allowed_values(s.stores(), "dim_store", TABLES["dim_store"].allowed),
-    allowed_sql("dim_store", "c_stores"),
-)
 add(
     "dq_conversion_consistency",
     lambda s: checks.check_conversions(
@@ -154,7 +113,7 @@ add(
 )
 add(
     "kpi_inventory",
-    lambda s: kpis.kpi_inventory(s.inventory()),
+    lambda s: kpis.kpi_inventory(s.stored_inventory()),
     f"""SELECT {units("on_hand_qty")} AS total_on_hand, count(*) FILTER (WHERE stockout_flag = 'Y') AS stockout_count,
   {ratio("count(*) FILTER (WHERE stockout_flag = 'Y')", "count(*)")} * 100 AS stockout_rate_pct
 FROM c_inventory WHERE snapshot_date_sk = (SELECT max(snapshot_date_sk) FROM c_inventory)""",
@@ -179,7 +138,7 @@ SOURCES = {t: view for t, (view, _) in FACTS.items()} | DIMS | {
     "dim_promotion": "(SELECT *, 'P' || promotion_sk AS promotion_nk, 'P' || promotion_sk AS promotion_name, FALSE AS stackable_flag FROM c_promotions)",
     "dim_channel": f"""(SELECT * FROM (VALUES {CHANNEL_ROWS})
   c(channel_sk, channel_nk, channel_name, channel_category, channel_type, is_digital, is_owned))""",
-    "dim_geography": f"({ENTRIES['build_dim_geography'].oracle})",
+    "dim_geography": f"({GEOGRAPHY_SQL})",
 }
 #: Required columns that no rule builds: the declared default fills them when a table is written.
 DEFAULTED = {
@@ -196,26 +155,34 @@ def whole_tables(s: Star) -> dict[str, DataFrame]:
     }
 
 
-def over_tables(check: Callable[[DataFrame, str], DataFrame], names: Iterable[str]) -> Callable[[Star], DataFrame]:
-    return lambda s: reduce(DataFrame.unionByName, [check(df, t) for t, df in whole_tables(s).items() if t in names])
-
-
 add(
-    "dq_not_null_all",
-    over_tables(lambda df, t: checks.check_not_null(df, t, REQUIRED[t]), TABLES),
+    "dq_not_null",
+    lambda s: checks.check_not_nulls(whole_tables(s), REQUIRED),
     " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {SOURCES[t]}"
         for t, columns in REQUIRED.items() for c in columns
     ),
 )
-LISTED = [t for t, spec in TABLES.items() if spec.allowed]
+ALLOWED = {t: spec.allowed for t, spec in TABLES.items() if spec.allowed}
 add(
-    "dq_allowed_values_all",
-    over_tables(lambda df, t: checks.check_allowed_values(df, t, TABLES[t].allowed), LISTED),
-    " UNION ALL ".join(allowed_sql(t, SOURCES[t]) for t in LISTED),
+    "dq_allowed_values",
+    lambda s: checks.check_all_allowed(whole_tables(s), ALLOWED),
+    " UNION ALL ".join(allowed_sql(t, SOURCES[t]) for t in ALLOWED),
 )
-add(
-    "dq_primary_key_all",
-    over_tables(lambda df, t: checks.check_primary_key(df, t, TABLES[t].primary_key), TABLES),
-    " UNION ALL ".join(pk_sql(t, SOURCES[t], spec.primary_key) for t, spec in TABLES.items()),
+#: Columns that are no keys, to show what the check finds.
+NO_KEYS = {"ticket_numbers": "transaction_id", "known_customers": "customer_sk"}
+
+
+@query(
+    "dq_primary_key",
+    " UNION ALL ".join(
+        [pk_sql(t, SOURCES[t], spec.primary_key) for t, spec in TABLES.items()] + [pk_sql(name, "c_lines", c) for name, c in NO_KEYS.items()]
+    ),
 )
+def primary_keys(s: Star) -> DataFrame:
+    """The keys of all twelve tables, and two columns that are not keys."""
+    whole = whole_tables(s)
+    sales = whole["fact_sales_transactions"]
+    return checks.check_primary_keys(
+        {t: (df, TABLES[t].primary_key) for t, df in whole.items()} | {name: (sales, c) for name, c in NO_KEYS.items()}
+    )

@@ -172,7 +172,7 @@ add(
 FROM c_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM c_inventory) GROUP BY 1, 2""",
 )
 def latest_snapshot(s: Star) -> DataFrame:
-    return aggregates.latest_rows(s.inventory(), "snapshot_date").groupBy("snapshot_date", "store_sk").agg(
+    return aggregates.latest_rows(s.stored_inventory("snapshot_date"), "snapshot_date").groupBy("snapshot_date", "store_sk").agg(
         F.sum("on_hand_qty").cast("bigint").alias("on_hand"), money_sum("inventory_cost_value").alias("cost_value")
     )
 

@@ -9,6 +9,7 @@ from shelfline.functions.ratios import money_sum, unit_sum
 from shelfline.metrics.layers import SEMANTIC_LAYER
 from shelfline.metrics.query import with_entities
 from shelfline.operators import joins, windows
+from shelfline.operators.hierarchy import with_ancestors
 from shelfline.plans.reports import sold_and_returned
 from shelfline.rules import inventory, sessions, stores
 from workload.oracle import money
@@ -90,9 +91,9 @@ AND employee_sk NOT IN (SELECT employee_sk FROM c_employees WHERE is_active)""",
 add(
     "join_semi_flag",
     lambda s: joins.flag_matches(
-        s.sales("transaction_sk"), s.returns("original_transaction_sk"),
-        "transaction_sk", "original_transaction_sk", "return_flag",
-    ),
+        s.sales("transaction_sk", "transaction_nk"), s.returns("original_transaction_nk"),
+        "transaction_nk", "original_transaction_nk", "return_flag",
+    ).drop("transaction_nk"),
     """SELECT transaction_sk, CASE WHEN transaction_sk IN (SELECT original_transaction_sk FROM c_returns) THEN 'Y' ELSE 'N' END
   AS return_flag FROM c_lines""",
 )
@@ -155,7 +156,7 @@ PLACES_SQL = """
 
 @query("join_parent_hierarchy", PLACES_SQL)
 def parent_hierarchy(s: Star) -> DataFrame:
-    walked = joins.with_ancestors(stores.build_dim_geography(s.raw_stores()), levels=3)
+    walked = with_ancestors(stores.build_dim_geography(s.raw_stores()), levels=3)
     return walked.select("geo_level", "geo_name", "parent_1_name", "parent_2_name", "parent_3_name")
 
 
@@ -177,9 +178,9 @@ def weekly_grid(s: Star) -> DataFrame:
 FROM c_returns r JOIN c_sales f ON f.transaction_sk = r.original_transaction_sk""",
 )
 def return_to_sale(s: Star) -> DataFrame:
-    sold = s.sales("transaction_sk", "transaction_date", "unit_retail_price", "net_revenue")
-    back = s.returns("return_sk", "original_transaction_sk", "quantity_returned", "refund_amount")
-    return joins.many_to_one(back, sold, "original_transaction_sk", "transaction_sk", "inner").select(
+    sold = s.sales("transaction_nk", "transaction_date", "unit_retail_price", "net_revenue")
+    back = s.returns("return_sk", "original_transaction_nk", "quantity_returned", "refund_amount")
+    return back.join(sold, F.col("original_transaction_nk") == F.col("transaction_nk")).select(
         "return_sk", "transaction_date", "unit_retail_price", "net_revenue", "quantity_returned", "refund_amount"
     )
 

@@ -17,6 +17,7 @@ from shelfline.metrics.query import metric_query
 from shelfline.sources.readers import read_parquet
 from shelfline.sources.scratch import scratch_folder
 from shelfline.sources.writers import nullable, write_parquet
+from workload.declared import entry_rows, formatted, shown_sql
 from workload.oracle import money
 from workload.published import ATOMS, D244, FROM_STAR, LAST_1, MONTH, SO_FAR, SPINE, daily_sql, over, plain_sql, spine_over
 from workload.registry import add, query
@@ -275,43 +276,6 @@ def query_semi_joined(s: Star) -> DataFrame:
 
 # --- catalog, synonyms, formats --------------------------------------------------------------
 
-SHOWN = ("total_net_revenue", "total_gross_revenue", "total_discount", "total_quantity", "transaction_count",
-         "gross_margin_pct", "avg_order_value", "discount_rate", "return_rate")
-
-
-def totals_by_year(s: Star) -> DataFrame:
-    """One row per year and metric, in double precision."""
-    wide = metric_query(METRIC_VIEW, s.metric_sources(), list(SHOWN), {"year": "transaction_year"})
-    doubles = wide.select("year", *[F.col(m).cast("double").alias(m) for m in SHOWN])
-    return doubles.unpivot(["year"], list(SHOWN), "name", "value")
-
-
-TOTALS = " UNION ALL ".join(
-    f"SELECT transaction_year AS year, '{m}' AS name, CAST({ATOMS[m]} AS DOUBLE) AS value FROM c_sales GROUP BY 1" for m in SHOWN
-)
-
-
-def metric_rows() -> str:
-    rows = []
-    for m in SHOWN:
-        entry = METRIC_VIEW.metrics[m]
-        kind = "derived" if m in ("gross_margin_pct", "avg_order_value", "discount_rate", "return_rate") else "simple"
-        rows.append(f"('{m}', '{kind}', '{entry.label}', '{entry.format.type}', '{', '.join(entry.synonyms)}')")
-    return ", ".join(rows)
-
-
-@query(
-    "metric_catalog",
-    f"""SELECT year, c.name, kind, label, format_type, synonyms, value FROM ({TOTALS}) t
-JOIN (VALUES {metric_rows()}) c(name, kind, label, format_type, synonyms) ON c.name = t.name""",
-)
-def catalog(s: Star) -> DataFrame:
-    """Catalog entries next to the value of each metric per year."""
-    entries = metric_catalog(s.spark, METRIC_VIEW).select(
-        "name", "kind", "label", F.col("format.type").alias("format_type"), F.array_join("synonyms", ", ").alias("synonyms")
-    )
-    return totals_by_year(s).join(F.broadcast(entries), "name")
-
 
 @query(
     "metric_synonym_lookup",
@@ -337,29 +301,6 @@ def term_lookup(s: Star) -> DataFrame:
     return lookup_terms(asked, metric_catalog(s.spark, METRIC_VIEW)).select("o_orderkey", "term", "name")
 
 
-@query(
-    "metric_format",
-    f"""SELECT year, name, CASE
-  WHEN name = 'total_net_revenue' THEN '$' || CASE WHEN value >= 1e9 THEN format('{{:,.2f}}', round(CAST(value / 1e9 AS DECIMAL(38,2)), 2)) || 'B'
-    WHEN value >= 1e6 THEN format('{{:,.2f}}', CAST(CAST(value / 1e6 AS DECIMAL(38,2)) AS DOUBLE)) || 'M'
-    WHEN value >= 1e3 THEN format('{{:,.2f}}', CAST(CAST(value / 1e3 AS DECIMAL(38,2)) AS DOUBLE)) || 'K'
-    ELSE format('{{:,.2f}}', CAST(CAST(value AS DECIMAL(38,2)) AS DOUBLE)) END
-  WHEN name IN ('total_gross_revenue', 'total_discount', 'avg_order_value') THEN '$' || format('{{:,.2f}}', CAST(CAST(value AS DECIMAL(38,2)) AS DOUBLE))
-  WHEN name IN ('total_quantity', 'transaction_count') THEN format('{{:,.0f}}', value)
-  WHEN name IN ('discount_rate', 'return_rate') THEN format('{{:,.2f}}', CAST(CAST(value * 100 AS DECIMAL(38,2)) AS DOUBLE)) || '%'
-  ELSE format('{{:,.2f}}', CAST(CAST(value AS DECIMAL(38,2)) AS DOUBLE)) || '%' END AS shown FROM ({TOTALS})""",
-)
-def formats(s: Star) -> DataFrame:
-    shown = reduce(
-        lambda rest, m: F.when(F.col("name") == m, format_value(F.col("value"), METRIC_VIEW.metrics[m].format)).otherwise(rest),
-        SHOWN,
-        F.lit(None).cast("string"),
-    )
-    return totals_by_year(s).select("year", "name", shown.alias("shown"))
-
-
-# --- catalog and formats, whole ----------------------------------------------------------------
-
 LAYERS = ((METRIC_VIEW, "transaction_year"), (SEMANTIC_LAYER, "metric_time__year"))
 
 
@@ -411,74 +352,28 @@ ALL_VALUES = " UNION ALL ".join(
 )
 
 
-def text_sql(value: str | None) -> str:
-    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
-
-
-def entry_rows() -> str:
-    """What the layers declare, as rows."""
-    kinds = {"Simple": "simple", "Derived": "derived", "Windowed": "cumulative"}
-    rows = []
-    for layer, _ in LAYERS:
-        for e in (*layer.metrics.values(), *layer.dimensions.values()):
-            cells = (layer.name, e.name, kinds.get(type(e).__name__, "dimension"), e.label, e.format and e.format.type, ", ".join(e.synonyms))
-            rows.append(f"({', '.join(map(text_sql, cells))})")
-    return ", ".join(rows)
-
-
-def shown_sql() -> str:
-    """The text of each metric that declares a format."""
-
-    def fixed(value: str, places: int) -> str:
-        return f"format('{{:,.{places}f}}', CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,{places})) AS DOUBLE))"
-
-    cases = []
-    for layer, _ in LAYERS:
-        for m in layer.metrics.values():
-            if m.format is None:
-                continue
-            f = m.format
-            text = fixed("value * 100" if f.fraction else "value", f.places)
-            if f.compact:
-                steps = " ".join(
-                    f"WHEN abs(value) >= {step} THEN {fixed(f'value / {step}', f.places)} || '{letter}'" for step, letter in (("1e9", "B"), ("1e6", "M"), ("1e3", "K"))
-                )
-                text = f"CASE {steps} ELSE {text} END"
-            text = {"currency": f"'$' || {text}", "percentage": f"{text} || '%'"}.get(f.type, text)
-            cases.append(f"WHEN layer = '{layer.name}' AND name = '{m.name}' THEN {text}")
-    return f"CASE {' '.join(cases)} END"
-
-
-UNFORMATTED = ", ".join(f"'{m.name}'" for layer, _ in LAYERS for m in layer.metrics.values() if m.format is None)
-
-
 @query(
-    "metric_catalog_all",
-    f"""SELECT c.layer, year, c.name, kind, label, format_type, synonyms, value
-FROM (VALUES {entry_rows()}) c(layer, name, kind, label, format_type, synonyms)
+    "metric_catalog",
+    f"""SELECT c.layer, year, c.name, kind, label, declared_format, synonyms, value
+FROM (VALUES {entry_rows()}) c(layer, name, kind, label, declared_format, synonyms)
 LEFT JOIN ({ALL_VALUES}) t ON t.layer = c.layer AND t.name = c.name""",
 )
-def catalog_all(s: Star) -> DataFrame:
+def catalog(s: Star) -> DataFrame:
     """Every metric and dimension of both layers, metrics with their value per year."""
 
     def of(layer: Layer, year: str) -> DataFrame:
-        entries = metric_catalog(s.spark, layer).select(
-            "layer", "name", "kind", "label", F.col("format.type").alias("format_type"), F.array_join("synonyms", ", ").alias("synonyms")
-        )
+        entries = metric_catalog(s.spark, layer).select("layer", "name", "kind", "label", "declared_format", F.array_join("synonyms", ", ").alias("synonyms"))
         values = all_by_year(s, layer, year).unpivot(["year"], list(layer.metrics), "name", "value")
-        return entries.join(values, "name", "left").select("layer", "year", "name", "kind", "label", "format_type", "synonyms", "value")
+        return entries.join(values, "name", "left").select("layer", "year", "name", "kind", "label", "declared_format", "synonyms", "value")
 
     return reduce(DataFrame.unionByName, [of(*layer) for layer in LAYERS])
 
 
-@query("metric_format_all", f"SELECT layer, year, name, {shown_sql()} AS shown FROM ({ALL_VALUES}) WHERE name NOT IN ({UNFORMATTED})")
-def formats_all(s: Star) -> DataFrame:
-    """Every metric of both layers that declares a format, as text per year."""
-
-    def of(layer: Layer, year: str) -> DataFrame:
-        declared = [m.name for m in layer.metrics.values() if m.format]
-        shown = [format_value(F.col(m), layer.metrics[m].format).alias(m) for m in declared]
-        texts = all_by_year(s, layer, year).select("year", *shown).unpivot(["year"], declared, "name", "shown")
-        return texts.select(F.lit(layer.name).alias("layer"), "year", "name", "shown")
-
-    return reduce(DataFrame.unionByName, [of(*layer) for layer in LAYERS])
+@query("metric_format", f"SELECT layer, year, name, {shown_sql()} AS shown FROM ({ALL_VALUES}) WHERE (layer, name) IN ({formatted()})")
+def formats(s: Star) -> DataFrame:
+    """Every metric that declares a format, as text per year; the semantic layer declares none."""
+    declared = [m.name for m in METRIC_VIEW.metrics.values() if m.format]
+    values = metric_query(METRIC_VIEW, s.metric_sources(), declared, {"year": "transaction_year"})
+    shown = [format_value(F.col(m).cast("double"), METRIC_VIEW.metrics[m].format).alias(m) for m in declared]
+    texts = values.select("year", *shown).unpivot(["year"], declared, "name", "shown")
+    return texts.select(F.lit(METRIC_VIEW.name).alias("layer"), "year", "name", "shown")

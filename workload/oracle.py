@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfline.schemas import TABLES
+
 import re
 
 KEY60 = "CAST(('0x' || substr(md5({}), 1, 15)) AS BIGINT)"
@@ -388,3 +390,28 @@ def ratio(a: str, b: str) -> str:
 
 def half_up(value: str, places: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(38,8)), {places}) AS DOUBLE)"
+
+
+def declared_sql(table: str, source: str, missing: dict[str, str], more: str = "") -> str:
+    """All declared columns of a table, in their types; `missing` has the values of those that the source lacks."""
+    names = {"STRING": "VARCHAR", "INT": "INTEGER"}
+    columns = [f"CAST({missing.get(c, c)} AS {names.get(t, t)}) AS {c}" for c, t in TABLES[table].types.items()]
+    return f"SELECT {', '.join(columns)}{more} FROM {source}"
+
+
+LOAD = {c: "TIMESTAMP '2024-01-01 00:00:00'" for c in ("load_timestamp", "created_timestamp", "updated_timestamp")}
+# Columns that no rule fills: the declared default, or NULL.
+UNFILLED = {
+    "fact_sales_transactions": LOAD,
+    "fact_inventory_snapshot": LOAD | {"units_returned_today": "0", "units_shrinkage_today": "0"},
+    "fact_returns": LOAD | {"return_shipping_cost": "0"},
+    "fact_web_sessions": LOAD,
+    "dim_customer": LOAD,
+    "dim_product": LOAD | {"collab_partner": "NULL"},
+    "dim_store": LOAD | {"store_manager_employee_sk": "NULL"},
+    "dim_geography": {"population": "NULL", "gdp_per_capita_usd": "NULL"},
+}
+
+
+def whole_sql(table: str, source: str, more: str = "") -> str:
+    return declared_sql(table, source, UNFILLED[table], more)

@@ -22,13 +22,20 @@ from shelfline.operators.filters import admissible_channels, pick
 from shelfline.operators.joins import many_to_one
 from shelfline.operators.sizing import broadcast_if_small
 from shelfline.rules import calendar, customers, inventory, products, promotions, returns, sales, sessions, stores
+from shelfline.schemas import TABLES
 from shelfline.sources.readers import read_parquet
+from shelfline.sources.scratch import stored
+from shelfline.sources.writers import conform
 
 TIERS = ((Decimal("30000"), "High-Value"), (Decimal("10000"), "Mid-Value"))
 OPENING_STOCK = 100
 # Events are dated 2024; moved back 25 years they fall among the sales.
 EVENT_SHIFT_DAYS = 9131
 
+# What the load sets itself, and when the load of these tests took place.
+LOAD_TIMES = ("load_timestamp", "created_timestamp", "updated_timestamp")
+LOADED_AT = "TIMESTAMP '2024-01-01 00:00:00'"
+
 RAW_SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
@@ -218,11 +225,15 @@ class Star:
             cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
             return stable_key(order, F.col("l_linenumber"), F.col("l_partkey"), store, cents)
 
+        def natural_key() -> Column:
+            return F.concat_ws("-", order, F.col("l_linenumber"), F.col("l_partkey"), store, F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+
         def staff() -> Column:
             return F.when(~digital, store * 100 + 1 + F.pmod(order, F.pmod(store, F.lit(11)) + 5))
 
         known = {
             "transaction_sk": line_key,
+            "transaction_nk": natural_key,
             "transaction_id": lambda: order.cast("string"),
             "line_number": lambda: F.col("l_linenumber"),
             "transaction_date": lambda: day,
@@ -242,7 +253,7 @@ class Star:
             "return_delay": lambda: (_mod("l_orderkey", 40) + 5).cast("int"),
             "quantity_returned": lambda: (F.pmod(order, quantity.cast("bigint")) + 1).cast("int"),
         }
-        return joined.select(*[known[c]().alias(c) for c in columns or known])
+        return joined.select(*[known[c]().alias(c) for c in columns or [c for c in known if c != "transaction_nk"]])
 
     def sales(self, *columns: str, carried: dict[str, list[str]] | None = None) -> DataFrame:
         """Columns of the sales fact, optionally with attributes of product and store."""
@@ -268,15 +279,16 @@ class Star:
     def promoted_sales(self) -> DataFrame:
         return sales.build_fact_sales(self.lines(), self.prices(), self._store_facts(), self.promotions())
 
-    def returned_lines(self) -> DataFrame:
+    def returned_lines(self, *more: str) -> DataFrame:
         back = self.lines(
             "transaction_sk", "transaction_date", "transaction_date_sk", "customer_sk", "product_sk", "store_sk",
-            "channel_sk", "return_flag", "order_number", "return_delay", "quantity_returned", returned_only=True,
+            "channel_sk", "return_flag", "order_number", "return_delay", "quantity_returned", *more, returned_only=True,
         )
         return many_to_one(back, self.prices(), "product_sk")
 
     def returns(self, *columns: str) -> DataFrame:
-        built = returns.build_fact_returns(self.returned_lines(), self.horizon)
+        natural = ["transaction_nk"] if "original_transaction_nk" in columns else []
+        built = returns.build_fact_returns(self.returned_lines(*natural), self.horizon)
         return built.select(*columns) if columns else built
 
     # --- sessions ----------------------------------------------------------------
@@ -347,6 +359,22 @@ class Star:
         stocked = many_to_one(self.levels(every), valued, "product_sk", how="inner")
         return inventory.build_inventory_snapshot(stocked, "move_date")
 
+    def stored_inventory(self, partition_by: str = "snapshot_date_sk") -> DataFrame:
+        """The snapshot as a table with one partition per date."""
+        return stored(self.inventory(), "inventory", [partition_by])
+
+    # --- declared tables -------------------------------------------------------------
+
+    def declared(self, table: str) -> DataFrame:
+        """One of the twelve tables with all declared columns and types, as of one time of load."""
+        build = {
+            "fact_sales_transactions": self.promoted_sales, "fact_inventory_snapshot": self.inventory, "fact_returns": self.returns,
+            "fact_web_sessions": self.sessions, "dim_customer": self.customers, "dim_promotion": self.promotions,
+            "dim_product": self.products, "dim_store": self.stores, "dim_date": self.dates, "dim_employee": self.employees,
+            "dim_channel": lambda: stores.build_dim_channel(self.spark), "dim_geography": lambda: stores.build_dim_geography(self.raw_stores()),
+        }
+        return conform(build[table](), TABLES[table], {c: F.expr(LOADED_AT) for c in LOAD_TIMES})
+
     # --- metric layers ---------------------------------------------------------------
 
     def metric_sources(self) -> Sources:
