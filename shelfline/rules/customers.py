@@ -48,7 +48,7 @@ def ltv_band(tier: Column, draw: Column) -> Column:
     return result
 
 
-def build_dim_customer(raw: DataFrame, epoch: date, columns: Sequence[str] = ()) -> DataFrame:
+def build_dim_customer(raw: DataFrame, epoch: date | Column, columns: Sequence[str] = ()) -> DataFrame:
     """From (customer_sk, customer_segment, country_code, state_code, city) to customers."""
     sk = F.col("customer_sk")
     member = F.pmod(sk, F.lit(20)) < 13
@@ -89,7 +89,7 @@ def build_dim_customer(raw: DataFrame, epoch: date, columns: Sequence[str] = ())
     return raw.select(*[attributes[c]().alias(c) for c in columns or attributes])
 
 
-def with_guest(customers: DataFrame, since: date) -> DataFrame:
+def with_guest(customers: DataFrame, since: date | Column) -> DataFrame:
     """Add the row that sales without a customer point to."""
     known = {
         "customer_sk": F.lit(params.GUEST_CUSTOMER_SK).cast("bigint"),

@@ -46,7 +46,7 @@ def _snapshot_days(every: str, first: Column, start: Column, stop: Column) -> Co
     return F.when(due <= stop, F.sequence(due, stop, F.expr("interval 7 days")))
 
 
-def snapshot_grid(movements: DataFrame, keys: Sequence[str], day: str, last_day: date, every: str) -> DataFrame:
+def snapshot_grid(movements: DataFrame, keys: Sequence[str], day: str, last_day: date | Column, every: str) -> DataFrame:
     """Snapshot days of each stocked pair, from its first movement on. Only pairs
     that moved get rows."""
     starts = movements.groupBy(*keys).agg(F.min(day).alias("_first"))
@@ -55,7 +55,7 @@ def snapshot_grid(movements: DataFrame, keys: Sequence[str], day: str, last_day:
 
 
 def stock_levels(
-    movements: DataFrame, keys: Sequence[str], day: str, opening: int, last_day: date, every: str = "month"
+    movements: DataFrame, keys: Sequence[str], day: str, opening: int, last_day: date | Column, every: str = "month"
 ) -> DataFrame:
     """Stock at each snapshot day, carried forward from the movements before it.
 

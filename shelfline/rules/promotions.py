@@ -24,16 +24,16 @@ def words(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def clamped_end(start: Column, days: Column, horizon: date) -> Column:
+def clamped_end(start: Column, days: Column, horizon: date | Column) -> Column:
     """Last day of a promotion, never after the horizon."""
     return F.least(F.date_add(start, days), F.lit(horizon))
 
 
-def status(end: Column, horizon: date) -> Column:
+def status(end: Column, horizon: date | Column) -> Column:
     return F.when(end >= F.lit(horizon), "ACTIVE").otherwise("COMPLETED")
 
 
-def build_dim_promotion(raw: DataFrame, horizon: date) -> DataFrame:
+def build_dim_promotion(raw: DataFrame, horizon: date | Column) -> DataFrame:
     """From (promotion_sk, start_date, duration_days, category_name) to promotions."""
     sk = F.col("promotion_sk")
     kind = pick(words(DISCOUNT_TYPES), sk)

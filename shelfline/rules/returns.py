@@ -39,7 +39,7 @@ def within_window(days: Column, limit: int = params.RETURN_WINDOW_DAYS) -> Colum
     return days <= limit
 
 
-def build_fact_returns(sales: DataFrame, horizon: date) -> DataFrame:
+def build_fact_returns(sales: DataFrame, horizon: date | Column) -> DataFrame:
     """One return line per sale given; returns after the horizon are dropped.
 
     Needs the sale's keys and prices, ``order_number``, ``return_delay`` and

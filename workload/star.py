@@ -7,9 +7,9 @@ product, and key arithmetic picks channels, reasons and the like.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 from decimal import Decimal
-from functools import cached_property, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,37 +89,32 @@ class Star:
         return read_parquet(self.spark, f"{self.folder}/{name}.parquet", schema)
 
     # --- the span of the data --------------------------------------------------
+    # Dates as one-row subqueries: a query that needs one computes it, and only then.
 
-    @cached_property
-    def _span(self) -> tuple[date, date, date]:
-        """First and last order date, and the last date of an order or shipment, of this data; one row of aggregates."""
-        ordered = self.raw("orders").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
-        shipped = self.raw("lineitem").agg(F.max("l_shipdate").alias("shipped"))
-        row = ordered.crossJoin(shipped).select(*[F.col(c).cast("date") for c in ("first", "last", "shipped")]).first()
-        first = row["first"] or date(1970, 1, 1)
-        last = row["last"] or first
-        return first, last, max(last, row["shipped"] or last)
+    def _date_of(self, table: str, value: Column) -> Column:
+        return self.raw(table).agg(F.coalesce(value.cast("date"), F.lit(date(1970, 1, 1)))).scalar()
 
     @property
-    def epoch(self) -> date:
+    def epoch(self) -> Column:
         """First day of the year of the first order."""
-        return self._span[0].replace(month=1, day=1)
+        return F.trunc(self._date_of("orders", F.min("o_orderdate")), "year")
 
     @property
-    def horizon(self) -> date:
+    def horizon(self) -> Column:
         """Day of the last order; what would come back later has not come back yet."""
-        return self._span[1]
+        return self._date_of("orders", F.max("o_orderdate"))
 
     @property
-    def calendar_end(self) -> date:
+    def calendar_end(self) -> Column:
         """Last day of the year of the last order or shipment."""
-        return date(self._span[2].year + 1, 1, 1) - timedelta(days=1)
+        last = F.greatest(self.horizon, self._date_of("lineitem", F.max("l_shipdate")))
+        return F.date_sub(F.add_months(F.trunc(last, "year"), 12), 1)
 
     # --- dimensions ----------------------------------------------------------
 
     def dates(self, *columns: str) -> DataFrame:
-        days = calendar.days_between(self.spark, self.epoch, self.calendar_end)
-        return calendar.build_dim_date(days, *columns)
+        days = F.sequence(self.epoch, self.calendar_end, F.expr("interval 1 day"))
+        return calendar.build_dim_date(self.spark.range(1).select(F.explode(days).alias("date_day")), *columns)
 
     def places(self) -> DataFrame:
         """Country and region of each nation key; both source tables have fixed size."""
