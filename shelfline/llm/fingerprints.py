@@ -6,11 +6,12 @@ fixed sequence of bins that depends only on the empty bin and the number of trie
 bits of each bin are packed. Two fingerprints agree in a bin with probability J + (1 - J) / 2^BITS, which `likeness` turns
 back into J.
 
-Edited texts need the next document in order of ids. The ids alone are sorted first; their range borders cut the corpus
-into blocks, each of which is read by one task in order, with the first document of the next block at its end.
+Edited texts need the next document in order of ids. Ids and hashes of the texts are sorted first; their range borders cut the
+corpus into blocks, each of which is read by one task in order, with the first document of the next block at its end. Documents
+without an id, or with the same, are many blocks unless their texts are equal too.
 
 Defined results: a null text is empty; without words there are no shingles, the fingerprint is the one of the empty set,
-which is like itself (1) and unlike all others (0); fewer than five words are one shingle; ties of ids go by the text;
+which is like itself (1) and unlike all others (0); fewer than five words are one shingle; ties of ids go by a hash of the text, then by the text;
 null ids come first; a single document is its own next one; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -96,42 +98,44 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - quarter] + following[:quarter]
 
 
-def _borders(ids: DataFrame, blocks: int) -> list[int]:
-    """Where the ids, range partitioned into `blocks`, have their partitions' first rows: at most one id a block."""
+def _borders(keys: DataFrame, blocks: int) -> list[tuple[int, int]]:
+    """Where the rows, range partitioned into `blocks` by id and hash of the text, have their partitions' first ones: at most
+    one key a block."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = min((batch.column(0).to_numpy().min() for batch in batches if batch.num_rows), default=None)
+        least = min((min(zip(*(c.to_pylist() for c in batch.columns), strict=True)) for batch in batches if batch.num_rows), default=None)
         if least is not None:
-            yield pa.RecordBatch.from_pydict({"id": pa.array([least], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"id": pa.array(least[:1], pa.int64()), "own": pa.array(least[1:], pa.int64())})
 
-    return sorted(r["id"] for r in ids.repartitionByRange(blocks, "id").mapInArrow(first, "id long").collect())
+    return sorted((r["id"], r["own"]) for r in keys.repartitionByRange(blocks, "id", "own").mapInArrow(first, "id long, own long").collect())
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    `blocks`: into how many ranges of ids the corpus is cut; eight for each shuffle partition unless given.
+    `blocks`: into how many ranges of ids and texts the corpus is cut; eight for each shuffle partition unless given.
     """
     spark = docs.sparkSession
     least = -(2**63)
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.xxhash64(text).alias("own"),
+        text.alias("text"),
     )
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    borders = _borders(rows.select("id"), blocks or 8 * partitions)
-    shared = spark.sparkContext.broadcast(np.array(borders, np.int64))
+    shared = spark.sparkContext.broadcast(_borders(rows.select("id", "own"), blocks or 8 * partitions))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each row to its block, and the rows that may be a block's first also to the end of the block before."""
         starts = shared.value
         for batch in batches:
-            ids = batch.column("id").to_numpy()
-            block = np.searchsorted(starts, ids, "right") - 1
-            own = pa.array(block, pa.int64()), pa.array(np.zeros(len(ids), np.int32)), *batch.columns
+            keys = list(zip(batch.column("id").to_pylist(), batch.column("own").to_pylist(), strict=True))
+            block = np.array([bisect_right(starts, key) - 1 for key in keys], np.int64)
+            own = pa.array(block, pa.int64()), pa.array(np.zeros(len(keys), np.int32)), *batch.columns
             yield pa.RecordBatch.from_arrays(list(own), names=["block", "guest", *batch.schema.names])
-            at = np.flatnonzero(starts[block] == ids) if len(starts) else np.array([], int)
+            at = np.array([i for i, key in enumerate(keys) if starts[block[i]] == key], np.int64)
             if len(at):
                 some = batch.take(pa.array(at))
                 before = (block[at] - 1) % len(starts)  # the first of all follows the last of all
@@ -162,7 +166,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             for block, guest, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("block", "guest", "doc_id", "text")), strict=True):
                 if guest and (held is None or held[0] != block):
-                    continue  # of several guests, which share one id, the first is the next document
+                    continue  # of several guests, which share id and text hash, the first is the next document
                 values = make(text)
                 if held is not None and held[0] == block:
                     row(held, text, values)
@@ -172,8 +176,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if out:
             yield batch_of()
 
-    schema = "block long, guest int, doc_id long, id long, text string"
-    blocked = rows.mapInArrow(dealt, schema).repartition(partitions, "block").sortWithinPartitions("block", "guest", "id", "text")
+    schema = "block long, guest int, doc_id long, id long, own long, text string"
+    blocked = rows.mapInArrow(dealt, schema).repartition(partitions, "block").sortWithinPartitions("block", "guest", "id", "own", "text")
     return blocked.mapInArrow(
         work,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",

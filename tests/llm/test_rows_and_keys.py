@@ -1,5 +1,6 @@
 """Rows without ids or with shared ones, keys of low weights, letters, and folders."""
 
+import hashlib
 import random
 from collections import defaultdict
 from types import SimpleNamespace
@@ -7,7 +8,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.llm import common, language_id, mixing, repeated_passages
+from shelfline.llm import common, fingerprints, language_id, mixing, repeated_passages
 
 
 def words(rng, n):
@@ -64,6 +65,24 @@ def test_documents_of_low_weight_are_taken_by_their_keys(spark):
     assert sum(low) / len(low) < sum(high) / len(high) / 2
 
 
+def test_fingerprints_of_rows_without_ids(spark):
+    """Blocks also part the documents that have no id, or one id."""
+    rng = random.Random(3)
+    rows = [(None if i % 3 else 7, words(rng, rng.randint(0, 30))) for i in range(300)] + [(8, "a b"), (8, "a b"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("own", F.xxhash64("text")).collect()
+    ordered = sorted(keyed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.own, r.text))
+    want = []
+    for r, following in zip(ordered, [*ordered[1:], ordered[0]]):
+        changed = fingerprints.edited(r.text, following.text)
+        want.append((str(r.doc_id), len(r.text), hashlib.sha256(changed.encode()).hexdigest()))
+    got = [(str(r.doc_id), r.n_chars, r.edited_sha256) for r in fingerprints.fingerprints(docs, blocks=40).collect()]
+    assert sorted(got) == sorted(want)
+    least = -(2**63)
+    keys = docs.select(F.coalesce("doc_id", F.lit(least)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own"))
+    assert len({key for key in fingerprints._borders(keys, 40) if key[0] == least}) > 10
+
+
 def test_numbers_are_no_letters(spark):
     assert [language_id.has_letter(t) for t in ("²", "½ 12", "_", "", "12 a", "ª", "日", "Ⅷ")] == [False, False, False, False, True, True, True, False]
     odd = spark.createDataFrame([(1, "²"), (2, "½ 12"), (3, "a" * 100_000)], "doc_id long, text string")
