@@ -99,7 +99,7 @@ def orphans(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> Dat
     """Distinct non-NULL fact keys that the dimension does not hold."""
     keys = fact.select(F.col(fact_key).alias("orphan_key")).where(F.col("orphan_key").isNotNull()).distinct()
     known = dim.select(F.col(dim_key).alias("_known"))
-    return keys.join(broadcast_if_small(known), F.col("orphan_key") == F.col("_known"), "left_anti")
+    return keys.join(known, F.col("orphan_key") == F.col("_known"), "left_anti")
 
 
 def only_known(fact: DataFrame, known: DataFrame, fact_key: str, known_key: str) -> DataFrame:

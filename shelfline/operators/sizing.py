@@ -11,10 +11,13 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int | None:
-    """Sum of the sizes of everything the frame reads; None when unknown."""
+    """An upper bound of the frame's size: the optimizer's estimate for the frame itself, in which columns that it leaves out
+    do not count, or the sum of all that it reads if that is less, as for joins. None when unknown."""
     try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        return min(read, int(str(plan.stats().sizeInBytes())))
     except AttributeError:  # a remote session has no JVM handle
         return None
 

@@ -23,20 +23,3 @@ def local_session(app_name: str = "shelfline", cores: int | str = "*") -> SparkS
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
-
-
-def cluster_settings(total_cores: int, input_bytes: int) -> dict[str, str]:
-    """Settings for a run over ``input_bytes``: about 200 MB per shuffle
-    partition before AQE merges small ones and splits skewed ones."""
-    by_size = max(1, input_bytes // (200 * 1024 * 1024))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-        "spark.sql.shuffle.partitions": str(max(2 * total_cores, by_size)),
-        "spark.sql.files.maxPartitionBytes": "256m",
-        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.session.timeZone": "UTC",
-    }

@@ -311,16 +311,13 @@ class Star:
 
     def items(self) -> DataFrame:
         """Stock-keeping items: one per brand and type, with the lowest unit values."""
-        keyed = self.raw_products().select(
-            "product_sk", stock_item(F.col("category_name"), F.col("division_name")).alias("item_sk"),
-            F.col("category_name"), F.col("division_name"),
-        )
-        priced = many_to_one(keyed, self.prices(), "product_sk", how="inner")
-        return priced.groupBy(F.col("item_sk").alias("product_sk")).agg(
+        priced = self.products("product_sk", "category_name", "division_name", "standard_cost", "standard_retail_price")
+        item = stock_item(F.col("category_name"), F.col("division_name"))
+        return priced.where(item.isNotNull()).groupBy(item.alias("product_sk")).agg(
             F.min("category_name").alias("category_name"),
             F.min("division_name").alias("subcategory_name"),
-            F.min("unit_cost_price").alias("unit_cost"),
-            F.min("unit_retail_price").alias("unit_retail"),
+            F.min("standard_cost").alias("unit_cost"),
+            F.min("standard_retail_price").alias("unit_retail"),
         )
 
     def sites(self) -> DataFrame:
@@ -351,7 +348,7 @@ class Star:
 
     def inventory(self, every: str = "month") -> DataFrame:
         valued = self.items().select("product_sk", "unit_cost", "unit_retail")
-        stocked = many_to_one(self.levels(every), valued, "product_sk", how="inner")
+        stocked = many_to_one(self.levels(every), valued, "product_sk", how="inner", guarded=False)
         return inventory.build_inventory_snapshot(stocked, "move_date")
 
     def stored_inventory(self, partition_by: str = "snapshot_date_sk") -> DataFrame:
