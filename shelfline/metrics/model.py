@@ -141,11 +141,12 @@ Metric = Simple | Windowed | Derived
 
 @dataclass(frozen=True)
 class Entity:
-    """A dimension table reached through a key of the fact."""
+    """A dimension table reached through a key of the fact. ``hot_keys`` are keys that a large part of the facts has."""
 
     name: str
     fact_key: str
     dim_key: str
+    hot_keys: tuple[object, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -166,11 +167,17 @@ class Sources:
     A fact that is itself built from a dimension's table can bring that
     dimension's attributes along, which saves a second join. ``carried`` names
     such entities; ``fact`` then gets their attributes by entity as a second
-    argument and returns them as _entity_column."""
+    argument and returns them as _entity_column.
+
+    ``spine`` is a stored time spine, a table of days. Windowed and shifted
+    metrics of a layer with a spine are shown for its days, from the first to
+    the last day of the facts; without a table these are all days."""
 
     fact: Callable[..., DataFrame]
     entities: dict[str, Callable[[list[str]], DataFrame]]
     carried: frozenset[str] = frozenset()
+    spine: Callable[[], DataFrame] | None = None
+    spine_day: str = "date_day"
 
 
 def layer_of(name: str, date_column: str, dimensions, metrics, entities, spine: bool = False) -> Layer:

@@ -228,7 +228,7 @@ def with_entities(
         entity, wanted = layer.entities[name], sorted(attributes[name])
         frame = sources.entities[name]([entity.dim_key, *wanted])
         renamed = frame.select(entity.dim_key, *[F.col(c).alias(f"_{name}_{c}") for c in wanted])
-        out = many_to_one(out, renamed, entity.fact_key, entity.dim_key)
+        out = many_to_one(out, renamed, entity.fact_key, entity.dim_key, hot_keys=entity.hot_keys)
     return out
 
 
@@ -358,7 +358,11 @@ def _over_days(query: _Query, base: DataFrame) -> DataFrame:
         else:
             computed[name] = windows.value_days_ago(f"_now_{name}", keys, DAY, item.days_ago)
     days = daily.select(*keys, DAY, *counted, *plain, *[c.alias(n) for n, c in computed.items()])
-    return days.withColumns(later) if later else days
+    days = days.withColumns(later) if later else days
+    sources = query.sources
+    if query.layer.spine and sources.spine:  # after the windows, which run over all days
+        days = only_known(days, sources.spine(), DAY, sources.spine_day)
+    return days
 
 
 def _period_columns(query: _Query) -> dict[str, Column]:

@@ -13,7 +13,8 @@ from shelfline.operators.sizing import broadcast_if_small, is_small
 from shelfline.operators.validity import best_valid
 from shelfline.sources.scratch import stored
 
-SPREAD = 64
+# NULL keys find nothing, so they may lie in any of so many slots; the dimension has no row for these.
+NULL_SLOTS = 1 << 20
 
 
 def one_per_key(dim: DataFrame, key: str) -> DataFrame:
@@ -52,20 +53,20 @@ def many_to_one(
     return _spread_lookup(fact, dim, fact_key, how, list(hot_keys))
 
 
-def _spread_lookup(
-    fact: DataFrame, dim: DataFrame, fact_key: str, how: str, hot_keys: list[object], spread: int = SPREAD
-) -> DataFrame:
+def _spread_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, how: str, hot_keys: list[object]) -> DataFrame:
+    """Facts with hot keys are dealt over 16 slots for each partition of a shuffle, so that all partitions get about as many,
+    and the few dimension rows of these keys are repeated for each slot."""
+    spread = 16 * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     others = [c for c in fact.columns if c != fact_key] or [fact_key]
-    key = F.col(fact_key)
-    heavy = key.isNull()
+    key, row = F.col(fact_key), F.xxhash64(*others)
     # Zero for every key; written over the key so that it stays a join key.
     slots = F.array(F.pmod(F.xxhash64("_dim_key"), F.lit(1)).cast("int"))
+    slot = F.when(key.isNull(), F.pmod(row, F.lit(NULL_SLOTS)))
     if hot_keys:
-        heavy = heavy | key.isin(hot_keys)
         all_slots = F.sequence(F.lit(0), F.lit(spread - 1))
         slots = F.when(F.col("_dim_key").isin(hot_keys), all_slots).otherwise(slots)
-    slot = F.when(heavy, F.pmod(F.xxhash64(*others), F.lit(spread)).cast("int")).otherwise(F.lit(0))
-    left = fact.withColumn("_slot", slot)
+        slot = slot.when(key.isin(hot_keys), F.pmod(row, F.lit(spread)))
+    left = fact.withColumn("_slot", slot.otherwise(F.lit(0)).cast("int"))
     right = dim.withColumn("_dim_slot", F.explode(slots))
     matched = (key == F.col("_dim_key")) & (F.col("_slot") == F.col("_dim_slot"))
     return left.join(right, matched, how).drop("_slot", "_dim_slot", "_dim_key")

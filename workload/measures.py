@@ -15,7 +15,7 @@ from shelfline.metrics.layers import CUSTOMERS, METRIC_VIEW, NET, SEMANTIC_LAYER
 from shelfline.metrics.model import Condition, Derived, Input, Layer, Simple
 from shelfline.metrics.query import metric_query
 from shelfline.sources.readers import read_parquet
-from shelfline.sources.scratch import scratch_folder
+from shelfline.sources.scratch import scratch_folder, stored
 from shelfline.sources.writers import nullable, write_parquet
 from workload.declared import entry_rows, formatted, shown_sql
 from workload.oracle import money
@@ -67,6 +67,26 @@ def customer_attributes(s: Star) -> DataFrame:
     return metric_query(SEMANTIC_LAYER, s.metric_sources(), ["total_net_revenue"], keys)
 
 
+OTHER_ATTRIBUTES = {
+    "store__state_province_name": "s.state_province_name", "store__city": "s.city", "store__is_active": "s.is_active",
+    "product__subcategory_name": "p.subcategory_name", "product__age_group": "p.age_group",
+    "product__sport_occasion": "p.sport_occasion", "product__is_hero_product": "p.is_hero_product",
+    "customer__country_code": "c.country_code", "customer__acquisition_channel": "c.acquisition_channel",
+    "transaction__return_flag": "f.return_flag",
+}
+
+
+@query(
+    "metric_dimension_alias_other",
+    f"""SELECT {', '.join(f"{v} AS {k}" for k, v in OTHER_ATTRIBUTES.items())}, {ATOMS["total_quantity"]} AS total_quantity
+FROM c_sales f LEFT JOIN c_stores s USING (store_sk) LEFT JOIN c_products p USING (product_sk) LEFT JOIN c_customers c USING (customer_sk)
+GROUP BY ALL""",
+)
+def other_attributes(s: Star) -> DataFrame:
+    """The attributes of the semantic layer that no other query groups by."""
+    return metric_query(SEMANTIC_LAYER, s.metric_sources(), ["total_quantity"], list(OTHER_ATTRIBUTES))
+
+
 def by_channel_daily(keys: str) -> str:
     return f"(SELECT {keys}, transaction_date, {money('net_revenue_usd')} AS rev {FROM_STAR} GROUP BY ALL)"
 
@@ -90,6 +110,18 @@ def on_all_days(key: str, daily: str) -> str:
   LEFT JOIN {daily} r ON r.{key} IS NOT DISTINCT FROM k.{key} AND r.transaction_date = n.transaction_date)"""
 
 
+@query(
+    "metric_stored_spine",
+    f"""SELECT metric_time__day, {D244.format("sum(rev) " + spine_over("INTERVAL 6 DAY PRECEDING AND CURRENT ROW"))} AS trailing_7d_revenue,
+  {D244.format("sum(rev) " + spine_over(SO_FAR))} AS cumulative_revenue FROM {SPINE} QUALIFY isodow(metric_time__day) < 6""",
+)
+def stored_spine(s: Star) -> DataFrame:
+    """A stored spine that has working days only: windows run over all days, results are shown for those of the spine."""
+    working_days = stored(s.dates("full_date", "is_weekday").where("is_weekday").select(F.col("full_date").alias("date_day")), "time_spine")
+    sources = replace(s.metric_sources(), spine=lambda: working_days)
+    return metric_query(SEMANTIC_LAYER, sources, ["trailing_7d_revenue", "cumulative_revenue"], ["metric_time__day"])
+
+
 @query(
     "metric_offset",
     f"""SELECT country_name AS country, transaction_date AS day, (CAST(rev AS DOUBLE) - CAST(prev AS DOUBLE))
