@@ -1,8 +1,9 @@
 """Metric queries: metrics, group keys, conditions and order in; a frame out.
 
 A request reads the fact once for its sums and each kind of distinct count it has. A request with windows or shifted values
-reads it once altogether: the fact is brought to one row per group, day and counted member, which is stored, and all windows,
-sums and counts are made from that table.
+stores one row per group and day, from which all its sums are made. Its distinct counts read the fact, too, if one read more
+does; otherwise the fact is first brought to one row per group, day and counted member, which is stored, so that it is read
+once altogether.
 """
 
 from __future__ import annotations
@@ -275,14 +276,27 @@ def _as_day(value: object) -> date | None:
     return value if isinstance(value, date) else None
 
 
-def _members_by_day(query: _Query) -> DataFrame:
-    """The one table that a request over days is answered from: a row per group, day and combination of counted members, with
-    sums, and whether the members meet the metrics' conditions."""
+def _history(query: _Query) -> DataFrame:
+    """The fact rows that a request over days can need."""
     rows = _rows(query, query.metrics)
     if query.date_filter == "before":
-        rows = _where(rows, query.dated)
-    elif start := _history_start(query):
-        rows = rows.where(F.col(DAY) >= F.lit(start))
+        return _where(rows, query.dated)
+    start = _history_start(query)
+    return rows if start is None else rows.where(F.col(DAY) >= F.lit(start))
+
+
+def _reads(query: _Query) -> int:
+    """How often a request over days reads the fact if each of its distinct counts does so by itself. Sums take one read, and
+    the counts per day of one kind of member go along with it."""
+    plain = {_member(m) for m in query.simple.values() if m.measure.kind == "distinct"}
+    windowed = [m for m in query.windowed.values() if m.measure.kind == "distinct"]
+    shifted = [i for i in query.shifted if query.layer.metrics[i.metric].measure.kind == "distinct" and i.metric not in query.windowed]
+    return 1 + max(len(plain) - query.by_day, 0) + len(windowed) + len(shifted)
+
+
+def _members_by_day(query: _Query, rows: DataFrame) -> DataFrame:
+    """A row per group, day and combination of counted members, with sums, and whether the members meet the metrics'
+    conditions: the one table that a request with several kinds of counts is answered from."""
     members = sorted({_member(m) for m in query.metrics if m.measure.kind == "distinct"})
     aggs = []
     for m in query.metrics:
@@ -294,6 +308,14 @@ def _members_by_day(query: _Query) -> DataFrame:
     return stored(rows.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct(), "members_by_day")
 
 
+def _daily(query: _Query, rows: DataFrame) -> DataFrame:
+    """A row per group and day with all sums that the request needs, and for requests by day its plain metrics."""
+    summed = {f"_day_{n}": m for n, m in query.windowed.items() if m.measure.kind != "distinct"}
+    shifted = {f"_now_{_shifted_name(i)}": query.layer.metrics[i.metric] for i in query.shifted if i.metric not in query.windowed}
+    plain = query.simple if query.by_day else {f"_sum_{n}": m for n, m in _sums(query.simple).items()}
+    return _totals(rows, [*query.attributes, DAY], {**summed, **shifted, **plain})
+
+
 # --- aggregates -------------------------------------------------------------------------------------
 
 
@@ -334,21 +356,18 @@ def _window_column(metric: Windowed, keys: Sequence[str]) -> Column:
     return windows.running_total(value, keys, DAY)
 
 
-def _over_days(query: _Query, base: DataFrame) -> DataFrame:
+def _over_days(query: _Query, rows: DataFrame, daily: DataFrame) -> DataFrame:
     """One row per group and day with all windowed, shifted and, for queries by
     day, simple metrics."""
     keys = list(query.attributes)
-    summed = {f"_day_{n}": m for n, m in query.windowed.items() if m.measure.kind != "distinct"}
     counted = {n: m for n, m in query.windowed.items() if m.measure.kind == "distinct"}
-    shifted = {f"_now_{_shifted_name(i)}": query.layer.metrics[i.metric] for i in query.shifted if i.metric not in query.windowed}
     plain = query.simple if query.by_day else {}
-    daily = _totals(base, [*keys, DAY], {**summed, **shifted, **plain})
     if query.layer.spine:
-        daily = windows.fill_days(daily, DAY, keys, base)
+        daily = windows.fill_days(daily, DAY, keys)
     for name, metric in counted.items():
         if metric.span != "trailing":
             raise ValueError(f"{name}: distinct counts are only windowed over trailing days")
-        daily = windows.with_trailing_distinct(daily, base, keys, DAY, _member(metric), metric.days, name, metric.include_today)
+        daily = windows.with_trailing_distinct(daily, rows, keys, DAY, _member(metric), metric.days, name, metric.include_today)
     computed = {n: _window_column(m, keys) for n, m in query.windowed.items() if n not in counted}
     later = {}
     for item in query.shifted:
@@ -407,26 +426,33 @@ def metric_query(
         query.collect(name)
 
     if query.runs_over_days:
-        base = _members_by_day(query)
-        days = _where(_over_days(query, base), query.dated).withColumns(_period_columns(query))
-        result = days if query.by_day else _last_days(query, days, base)
+        rows = _history(query)
+        if _reads(query) > 2:
+            rows = _members_by_day(query, rows)
+        daily = stored(_daily(query, rows), "daily")
+        days = _where(_over_days(query, rows, daily), query.dated).withColumns(_period_columns(query))
+        result = days if query.by_day else _last_days(query, days, rows, daily)
     else:
-        result = _simple_results(query, _rows(query, query.metrics))
+        result = _simple_results(query, query.simple, _rows(query, query.metrics))
 
     columns = [F.col(k) for k in keys] + [_evaluate(layer, n).alias(o) for o, n in outputs.items()]
     answer = result.select(*columns)
     return answer.orderBy(*order_by) if order_by else answer
 
 
-def _simple_results(query: _Query, rows: DataFrame) -> DataFrame:
+def _simple_results(query: _Query, metrics: Mapping[str, Simple], rows: DataFrame) -> DataFrame:
     dated = _where(rows, query.dated).withColumns(_period_columns(query))
-    return _totals(dated, list(query.keys), query.simple)
+    return _totals(dated, list(query.keys), metrics)
+
+
+def _sums(metrics: Mapping[str, Simple]) -> dict[str, Simple]:
+    return {n: m for n, m in metrics.items() if m.measure.kind != "distinct"}
 
 
-def _last_days(query: _Query, days: DataFrame, base: DataFrame) -> DataFrame:
+def _last_days(query: _Query, days: DataFrame, rows: DataFrame, daily: DataFrame) -> DataFrame:
     """Windowed metrics at coarser keys: the value of the last day of each group.
-    Shifted sums add up; shifted distinct counts and simple metrics are counted
-    over the members of all days."""
+    Plain and shifted sums add up over the days; distinct counts are made from
+    the members."""
     names = list(query.keys)
     aggs = [F.max_by(n, DAY).alias(n) for n in query.windowed]
     parts = []
@@ -435,19 +461,19 @@ def _last_days(query: _Query, days: DataFrame, base: DataFrame) -> DataFrame:
         if isinstance(metric, Windowed):
             aggs.append(F.max_by(name, DAY).alias(name))
         elif metric.measure.kind == "distinct":
-            parts.append(_shifted_count(query, item, metric, base))
+            parts.append(_shifted_count(query, item, metric, rows, daily))
         else:
             aggs.append(F.sum(name).alias(name))
     if aggs:
         parts.append(days.groupBy(*names).agg(*aggs))
-    if query.simple:
-        parts.append(_simple_results(query, base))
+    sums = _sums(query.simple)
+    counts = {n: m for n, m in query.simple.items() if n not in sums}
+    parts += [_simple_results(query, chosen, source) for chosen, source in ((sums, daily), (counts, rows)) if chosen]
     return merge_results(parts, names)
 
 
-def _shifted_count(query: _Query, item: Input, metric: Simple, base: DataFrame) -> DataFrame:
+def _shifted_count(query: _Query, item: Input, metric: Simple, rows: DataFrame, daily: DataFrame) -> DataFrame:
     """A distinct count some days earlier at coarser keys: over the members of the
     earlier days, none of which reaches beyond the last day."""
-    moved = base.withColumn(DAY, F.date_add(DAY, item.days_ago)).where(F.col(DAY) <= base.agg(F.max(DAY)).scalar())
-    dated = _where(moved, query.dated).withColumns(_period_columns(query))
-    return _totals(dated, list(query.keys), {_shifted_name(item): metric})
+    moved = rows.withColumn(DAY, F.date_add(DAY, item.days_ago)).where(F.col(DAY) <= daily.agg(F.max(DAY)).scalar())
+    return _simple_results(query, {_shifted_name(item): metric}, moved)

@@ -46,7 +46,9 @@ def many_to_one(
     dim_key = dim_key or fact_key
     small = is_small(dim)
     # Renamed so that the condition is unambiguous when both share a source.
-    dim = (one_per_key(dim, dim_key) if guarded else dim).withColumnRenamed(dim_key, "_dim_key")
+    if guarded:  # what is broadcast fits one task, which then groups it without a shuffle
+        dim = one_per_key(dim.coalesce(1) if small else dim, dim_key)
+    dim = dim.withColumnRenamed(dim_key, "_dim_key")
     if small:
         joined = fact.join(F.broadcast(dim), F.col(fact_key) == F.col("_dim_key"), how)
         return joined.drop("_dim_key")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 from decimal import Decimal
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,17 +94,17 @@ class Star:
     def _date_of(self, table: str, value: Column) -> Column:
         return self.raw(table).agg(F.coalesce(value.cast("date"), F.lit(date(1970, 1, 1)))).scalar()
 
-    @property
+    @cached_property
     def epoch(self) -> Column:
         """First day of the year of the first order."""
         return F.trunc(self._date_of("orders", F.min("o_orderdate")), "year")
 
-    @property
+    @cached_property
     def horizon(self) -> Column:
         """Day of the last order; what would come back later has not come back yet."""
         return self._date_of("orders", F.max("o_orderdate"))
 
-    @property
+    @cached_property
     def calendar_end(self) -> Column:
         """Last day of the year of the last order or shipment."""
         last = F.greatest(self.horizon, self._date_of("lineitem", F.max("l_shipdate")))
