@@ -18,6 +18,8 @@ Tasks write under names of their own into the shared folder and hand over the na
 committed are read, so a task that is lost or runs twice leaves a file that nobody reads. Files are opened through
 pyarrow's file systems, so the shared folder may be any of those (local or NFS, HDFS, object stores).
 
+Payloads count as equal when their SHA-1 and their length are. A very long payload is one record and held whole by its task.
+
 Defined results: a null payload is empty; empty payloads are equal like any others (`least` sets from how many bytes on);
 a null key makes a response that nothing refers to; rows with the same key and payload leave one response; a null URL is
 `about:blank`, and characters that a header line cannot hold are percent-encoded; no rows give no archives and no rows;
@@ -58,31 +60,36 @@ def _member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+_GIVEN = 1 << 15
+
+
 class _Members:
     """Reads a file's gzip members (or, if it is not compressed, its bytes) as one stream that knows where members begin."""
 
     def __init__(self, file) -> None:
-        self.file, self.raw, self.data, self.at = file, b"", b"", 0
+        self.file, self.raw, self.used, self.data, self.at = file, b"", 0, b"", 0
         self.start = self.read_to = 0  # offsets in the file: of the member that gave the last data, and of `raw`
         self.plain: bool | None = None
         self.z = None
 
     def _more(self) -> bool:
-        if not self.raw:
-            self.raw = self.file.read(1 << 20)
+        if self.used == len(self.raw):
+            self.raw, self.used = self.file.read(1 << 20), 0
             if not self.raw:
                 return False
         if self.plain is None:
             self.plain = self.raw[:2] != b"\x1f\x8b"
         if self.plain:
-            fresh, self.raw = self.raw, b""
+            fresh, self.used = self.raw, len(self.raw)
         else:
             if self.z is None:
                 self.z, self.start = zlib.decompressobj(31), self.read_to
-            before = len(self.raw)
-            fresh = self.z.decompress(self.raw)
-            self.raw = self.z.unused_data
-            self.read_to += before - len(self.raw)
+            # a little at a time, since what follows a member's end is copied
+            given = self.raw[self.used : self.used + _GIVEN]
+            fresh = self.z.decompress(given)
+            taken = len(given) - len(self.z.unused_data)
+            self.used += taken
+            self.read_to += taken
             if self.z.eof:
                 self.z = None
         self.data = self.data[self.at :] + fresh
@@ -99,13 +106,17 @@ class _Members:
         return out.rstrip(b"\r")
 
     def take(self, n: int) -> bytes:
-        while len(self.data) - self.at < n and self._more():
-            pass
-        out = self.data[self.at : self.at + n]
-        self.at += len(out)
-        if len(out) < n:
+        parts, missing = [], n
+        while True:  # each piece is taken whole before the next one is read, so that none is copied twice
+            part = self.data[self.at : self.at + missing]
+            self.at += len(part)
+            missing -= len(part)
+            parts.append(part)
+            if not missing or not self._more():
+                break
+        if missing:
             raise ValueError("a record ends before its declared length")
-        return out
+        return b"".join(parts)
 
 
 def parse_arc(file) -> Iterator[tuple[dict, bytes, int]]:

@@ -1,14 +1,16 @@
 """Rows without ids or with shared ones, keys of low weights, letters, and folders."""
 
 import hashlib
+import io
 import random
+import time
 from collections import defaultdict
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.llm import common, fingerprints, language_id, mixing, repeated_passages
+from shelfline.llm import common, fingerprints, language_id, mixing, repeated_passages, web_archives
 
 
 def words(rng, n):
@@ -91,6 +93,18 @@ def test_numbers_are_no_letters(spark):
     assert [(r.doc_id, r.lang_pred == "und") for r in sorted(got)] == [(1, True), (2, True), (3, False)]
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_long_and_many_small_records(packed):
+    rng = random.Random(1)
+    bodies = [rng.randbytes(30_000_000), *[rng.randbytes(rng.randint(0, 300)) for _ in range(5000)], rng.randbytes(3_000_000)]
+    made = [web_archives.arc_version_block(1, "f.arc", "20010203040506")]
+    made += [web_archives.arc_record(1, f"http://h/{i}", "20010203", b) for i, b in enumerate(bodies)]
+    data = b"".join(web_archives._member(m) if packed else m for m in made)
+    began = time.process_time()
+    assert [c for _, c, _ in web_archives.parse_arc(io.BytesIO(data))] == bodies
+    assert time.process_time() - began < 10
+
+
 def test_folder_without_a_setting():
     def session(master):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master))
