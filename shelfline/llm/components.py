@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """From edges (a, b) of longs: (node, component), the component being its least node, for every node with an edge.
 
     Each step joins edges with one row per node; a node with very many edges is split by the adaptive skew join. The
-    number of steps grows with the logarithm of a component's diameter.
+    number of steps grows with the logarithm of a component's diameter. Edges with a null at an end, or from a node to itself,
+    are left out; repeated edges count once; without edges there are no rows.
     """
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = stored(edges.distinct(), "edges")

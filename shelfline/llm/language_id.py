@@ -9,8 +9,8 @@ the id; every whole text is classified in place, by its text only.
 
 Defined results: a null text, or one without a letter, is `und` with score 0, as is every text where nothing can be
 learned; a language with no known family is a family of its own; with one language all texts with a letter get it, score 1;
-ties go to the class that is first by name; repeated rows are classified row by row; an empty table gives no rows; extra
-columns are ignored.
+ties go to the class that is first by name; very long texts are read whole, in memory of their size; repeated rows are
+classified row by row; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
