@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns the columns of the documents;
 the last returns their token ids. Stages keep rows with nulls: a null text is scored like an empty one, is one class of the
 exact copies, links with nothing, and encodes to no ids.
+
+Very long texts go through each stage whole, one row of a task. Equal scores fall on the same side of the classifier's bound; of
+equal texts, repeated rows among them, the exact stage leaves one, and of documents of one near-duplicate group that share the
+least id all stay. Columns beyond those of documents are carried up to the mix, whatever their names; the encoder keeps the
+source. An empty table stays empty through all stages.
 """
 
 from __future__ import annotations
