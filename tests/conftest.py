@@ -19,9 +19,10 @@ def spark():
 @pytest.fixture
 def no_broadcast(spark, monkeypatch):
     """Make every join shuffle, as it would with large sides."""
-    from shelfline.operators import joins, sizing
+    from shelfline.operators import joins, sizing, validity
 
-    monkeypatch.setattr(joins, "is_small", lambda df, limit=0: False)
+    for module in (joins, validity):
+        monkeypatch.setattr(module, "is_small", lambda df, limit=0: False)
     monkeypatch.setattr(joins, "broadcast_if_small", lambda df, limit=0: df)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

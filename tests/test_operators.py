@@ -225,7 +225,6 @@ def test_repeated_dimension_keys_raise(spark):
 def test_overlapping_validities(spark, broadcast, request):
     if not broadcast:
         request.getfixturevalue("no_broadcast")
-        request.getfixturevalue("monkeypatch").setattr(validity, "is_small", lambda df, limit=0: False)
     rng = random.Random(4)
     offers = [(rng.randint(1, 4), on(b := rng.randint(0, 400)), on(b + rng.choice([0, 3, 40, 5000])), f"o{i}") for i in range(60)]
     offers += [(1, on(9), on(2), "upside down"), (None, on(0), on(99), "no key"), (2, on(-900), date(9999, 12, 31), "always")]
