@@ -1,9 +1,9 @@
 """Metric queries: metrics, group keys, conditions and order in; a frame out.
 
 A request reads the fact once for its sums and each kind of distinct count it has. A request with windows or shifted values
-stores one row per group and day, from which all its sums are made. Its distinct counts read the fact, too, if one read more
-does; otherwise the fact is first brought to one row per group, day and counted member, which is stored, so that it is read
-once altogether.
+makes all its sums from one row per group and day, which is stored where it is read several times. Its distinct counts read
+the fact, too, if one read more does; otherwise the fact is first brought to one row per group, day and counted member, which
+is stored, so that it is read once altogether.
 """
 
 from __future__ import annotations
@@ -415,7 +415,7 @@ def metric_query(
     those on the date alone apply after the windows, so the first days shown
     have their full history; ``date_filter="before"`` cuts history too.
     Without a date among the keys, windowed metrics show their last day.
-    A request with windows or shifted values stores its daily table at once.
+    A request with windows or shifted values may store its daily table at once.
     """
     outputs = {o: resolve_name(n, layer.metrics) for o, n in _as_mapping(metrics).items()}
     keys = {o: layer.dimensions[resolve_name(n, layer.dimensions)] for o, n in _as_mapping(group_by).items()}
@@ -429,7 +429,9 @@ def metric_query(
         rows = _history(query)
         if _reads(query) > 2:
             rows = _members_by_day(query, rows)
-        daily = stored(_daily(query, rows), "daily")
+        daily = _daily(query, rows)
+        if not query.by_day or (layer.spine and query.attributes):  # it is read several times
+            daily = stored(daily, "daily")
         days = _where(_over_days(query, rows, daily), query.dated).withColumns(_period_columns(query))
         result = days if query.by_day else _last_days(query, days, rows, daily)
     else:
