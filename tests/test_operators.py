@@ -82,6 +82,22 @@ def test_spine_and_last_day(spark):
 # --- joins ---------------------------------------------------------------------
 
 
+def test_tasks_of_a_large_join_follow_the_bytes(spark, tmp_path, monkeypatch, no_broadcast):
+    lines = [(i % 50 if i % 7 else None, i) for i in range(300)]
+    frame(spark, lines, "l BIGINT, v BIGINT").write.parquet(f"{tmp_path}/lines")
+    frame(spark, [(i, -i) for i in range(40)] + [(3, 9), (None, 1)], "o BIGINT, w BIGINT").write.parquet(f"{tmp_path}/orders")
+    left, right = (spark.read.parquet(f"{tmp_path}/{t}") for t in ("lines", "orders"))
+    plain = joins.large_inner(left, right, "l", "o")
+    assert "repartition" not in str(plain._jdf.queryExecution().logical()).lower()
+    monkeypatch.setattr(joins, "TASK_BYTES", 100)
+    dealt = joins.large_inner(left, right, "l", "o")
+    tasks = -(-(joins.input_bytes(left) + joins.input_bytes(right)) // 100)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 4 and plan.count(f", {tasks})") == 2, plan
+    assert plan.count("Exchange") == 2  # the join needs no other
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_lookup_of_hot_and_missing_keys(spark, no_broadcast):
     rows = [(i, None if i % 3 == 0 else 0 if i % 3 == 1 else i % 7) for i in range(400)]
     fact = frame(spark, rows, "id BIGINT, k BIGINT")
