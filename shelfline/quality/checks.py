@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -79,15 +79,26 @@ def check_primary_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str] | str
     """Per table, given with its key: the number of key values that occur more than
     once, of rows beyond the first of each, and of rows with a NULL in the key.
 
-    The keys of all tables are stacked and counted in one aggregation. A key of
-    several columns is compared as their texts, each with its length."""
+    The keys of all tables are stacked and counted in one aggregation. A frame
+    given under several names is read once for all its keys. A key of several
+    columns is compared as their texts, each with its length."""
 
-    def stacked(name: str, df: DataFrame, key: Sequence[str] | str) -> DataFrame:
+    def text(key: Sequence[str] | str) -> Column:
         texts = [F.col(c).cast("string") for c in ([key] if isinstance(key, str) else key)]
         parts = [F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]
-        return df.select(F.lit(name).alias("table_name"), (F.concat(*parts) if len(parts) > 1 else texts[0]).alias("_key"))
-
-    rows = reduce(DataFrame.unionByName, [stacked(name, df, key) for name, (df, key) in tables.items()])
+        return F.concat(*parts) if len(parts) > 1 else texts[0]
+
+    def stacked(df: DataFrame, named: list[tuple[str, Sequence[str] | str]]) -> DataFrame:
+        if len(named) == 1:
+            name, key = named[0]
+            return df.select(F.lit(name).alias("table_name"), text(key).alias("_key"))
+        cells = [F.struct(F.lit(name).alias("table_name"), text(key).alias("_key")) for name, key in named]
+        return df.select(F.explode(F.array(*cells)).alias("_cell")).select("_cell.*")
+
+    frames: dict[int, tuple[DataFrame, list[tuple[str, Sequence[str] | str]]]] = {}
+    for name, (df, key) in tables.items():
+        frames.setdefault(id(df), (df, []))[1].append((name, key))
+    rows = reduce(DataFrame.unionByName, [stacked(df, named) for df, named in frames.values()])
     per_key = rows.groupBy("table_name", "_key").agg(F.count(F.lit(1)).alias("_rows"))
     repeated = F.col("_key").isNotNull() & (F.col("_rows") > 1)
     found = per_key.groupBy("table_name").agg(

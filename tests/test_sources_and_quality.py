@@ -87,6 +87,17 @@ def test_keys_nulls_and_values(spark):
     assert [(r.value, r.row_count) for r in bad] == [("MOON", 1)]
 
 
+def test_several_keys_of_one_table_take_one_read(spark, tmp_path):
+    path = f"{tmp_path}/rows"
+    spark.createDataFrame([(1, "x", None), (1, "x", 5), (None, "y", 5), (2, None, 5)], "k INT, t STRING, c INT").write.parquet(path)
+    df, other = spark.read.parquet(path), spark.createDataFrame([(7,)], "k INT")
+    found = checks.check_primary_keys({"k": (df, "k"), "other": (other, "k"), "pair": (df, ["k", "t"]), "c": (df, "c")})
+    assert {(r.table_name, r.duplicate_keys, r.surplus_rows, r.null_rows) for r in found.collect()} == {
+        ("k", 1, 1, 1), ("other", 0, 0, 0), ("pair", 1, 1, 2), ("c", 1, 2, 1),
+    }
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
 def test_conversion_flags(spark):
     df = spark.createDataFrame([(1, True, 5), (2, True, None), (3, False, None)],
                                "id INT, purchase_completed_flag BOOLEAN, purchase_transaction_sk BIGINT")
