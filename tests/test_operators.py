@@ -79,6 +79,22 @@ def test_spine_and_last_day(spark):
     assert last == {"a": 2, "b": 5}
 
 
+def test_filled_days_carry_earlier_values(spark):
+    rows = [("a", on(0), 1, None), ("a", on(2), None, 7), ("a", on(9), 2, 3), (None, on(1), 8, 1), ("b", on(12), 5, 5), ("c", None, 6, 6)]
+    df = frame(spark, rows, "k STRING, d DATE, v BIGINT, w BIGINT").withColumn("w", F.col("w").cast("decimal(12,4)"))
+    for keys in (["k"], []):
+        some = df if keys else df.where("k = 'a'").drop("k")
+        filled = windows.fill_days(some, "d", keys)
+        want = filled.select("*", windows.value_days_ago("v", keys, "d", 2).alias("v2"), windows.value_days_ago("w", keys, "d", 7).alias("w7"))
+        got = windows.fill_days(some, "d", keys, {"v2": ("v", 2), "w7": ("w", 7)})
+        assert got.dtypes == want.dtypes
+        # windows sort the rows, never the days that fill the gaps
+        assert got._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError):
+        windows.fill_days(df, "d", ["k"], {"v": ("v", windows.CARRIED_DAYS + 1)})
+
+
 # --- joins ---------------------------------------------------------------------
 
 
