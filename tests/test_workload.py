@@ -111,6 +111,18 @@ def test_facts_are_read_once(spark, monkeypatch):
         assert scans(answer, "lineitem") == 1 and "Expand" not in answer._jdf.queryExecution().executedPlan().toString()
 
 
+@needs_tables
+def test_transactions_are_counted_where_lines_met_orders(spark, monkeypatch):
+    from shelfline.operators import joins
+
+    monkeypatch.setattr(joins, "TASK_BYTES", 1)  # lines and orders are dealt by the order
+    plan = ENTRIES["q_mv_kpi_board"].run(Star(spark, FOLDER))._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert any("l_orderkey" in line for line in dealt)
+    assert not any("_member_transaction_id" in line for line in dealt)
+    assert "_sum_trailing_7d_revenue" not in plan  # five metrics sum one column
+
+
 def test_contract():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert {n for n in contract.ENTRIES if n not in contract.oracle_sql()} == {"fn_uuid", "fn_current_timestamp"}
