@@ -175,3 +175,19 @@ def test_csv_header_must_match(spark, tmp_path):
     schema = spark.createDataFrame([], "a INT, b BIGINT").schema
     with pytest.raises(Exception, match="header"):
         readers.read_csv(spark, str(tmp_path / "c"), schema).collect()
+
+
+def test_tables_of_a_star_are_written_side_by_side(monkeypatch):
+    from threading import Barrier
+
+    from shelfline.sources import writers
+
+    both, done = Barrier(2), []
+
+    def write(df, path, partition_by=()):
+        both.wait(timeout=20)
+        done.append((df, path, tuple(partition_by)))
+
+    monkeypatch.setattr(writers, "write_parquet", write)
+    writers.write_star({"dim_store": "a", "dim_date": "b"}, "root")
+    assert sorted(done) == [("a", "root/dim_store", ("region_code",)), ("b", "root/dim_date", ())]
