@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfline.operators import aggregates, hierarchy, joins, ordinals, sampling, validity, windows
+from shelfline.operators import aggregates, hierarchy, joins, ordinals, sampling, sizing, validity, windows
 
 DAY0 = date(2024, 1, 1)
 
@@ -138,6 +138,17 @@ def test_hot_keys_are_spread(spark, no_broadcast):
     assert used == 4
 
 
+def test_a_table_that_shrinks_in_its_files_is_not_broadcast(spark, tmp_path):
+    """Few bytes of files may be very many rows, and leaving columns out makes no row less."""
+    texts = {f"t{i}": F.lit("the same words in every row") for i in range(4)}
+    spark.range(1_000_000).withColumns(texts).coalesce(1).write.parquet(f"{tmp_path}/dim")
+    dim = spark.read.parquet(f"{tmp_path}/dim")
+    assert sizing.input_bytes(dim) < 16 * 1024 * 1024
+    assert not sizing.is_small(dim) and not sizing.is_small(dim.select("id", "t0"))
+    assert sizing.memory_bytes(dim) >= 1_000_000 * 48
+    assert sizing.is_small(dim.limit(100)) and sizing.is_small(spark.range(1000))
+
+
 def test_promotion_validity_is_inclusive(spark):
     sales = frame(spark, [(1, on(5), 9), (2, on(6), 9), (3, on(7), 9), (4, on(5), None)], "id INT, transaction_date DATE, promotion_sk INT")
     promos = frame(spark, [(9, on(4), on(6))], "promotion_sk INT, start_date DATE, end_date DATE")
