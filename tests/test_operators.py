@@ -149,6 +149,18 @@ def test_a_table_that_shrinks_in_its_files_is_not_broadcast(spark, tmp_path):
     assert sizing.is_small(dim.limit(100)) and sizing.is_small(spark.range(1000))
 
 
+def test_a_large_lookup_is_not_broadcast_by_the_optimizer(spark, monkeypatch):
+    fact = spark.range(300).select("id", (F.col("id") % 7).alias("k"))
+    dim = spark.range(5).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    assert "BroadcastHashJoin" in joins.many_to_one(fact, dim, "k")._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins, "is_small", lambda df, limit=0: False)
+    for guarded in (True, False):
+        found = joins.many_to_one(fact, dim, "k", guarded=guarded)
+        assert {r.id: r.name for r in found.collect()} == {i: f"n{i % 7}" if i % 7 < 5 else None for i in range(300)}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+
+
 def test_promotion_validity_is_inclusive(spark):
     sales = frame(spark, [(1, on(5), 9), (2, on(6), 9), (3, on(7), 9), (4, on(5), None)], "id INT, transaction_date DATE, promotion_sk INT")
     promos = frame(spark, [(9, on(4), on(6))], "promotion_sk INT, start_date DATE, end_date DATE")
