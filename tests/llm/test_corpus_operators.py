@@ -5,7 +5,7 @@ import hashlib
 import io
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -76,6 +76,23 @@ def test_token_counts(docs, empty, rows):
     assert token_counts.token_counts(empty, path).count() == 0
 
 
+def test_frequent_pretokens_are_counted_in_all_documents(spark, monkeypatch):
+    """Also those that no task meets twice, in many documents, and where a task hands its counts over often."""
+    rng = random.Random(8)
+    some = [f"n{i} w{int(rng.paretovariate(0.7))}" for i in range(6000)] + [None, "", "x" * 65 + " " + "x" * 65]
+    some += [f"once{k}" for _ in range(4) for k in range(40)]
+    docs = spark.createDataFrame([(t,) for t in some], "text string").repartition(8)
+    counted = Counter(p for t in some for p in (t or "").encode().split() if len(p) <= 64)
+    ordered = sorted((p for p in counted if counted[p] > 1), key=lambda p: (-counted[p], p))
+    for bound in (200_000, 7):
+        monkeypatch.setattr(token_counts, "_COUNTED", bound)
+        for most in (1, 30, 100_000):
+            rest = {counted[p] for p in ordered[most:]}
+            want = [p for p in ordered[:most] if counted[p] not in rest]
+            assert token_counts.frequent_pretokens(docs, "text", most) == want
+            assert len(want) == most if most == 1 else len(want) > 15
+
+
 def test_token_counts_odd_characters(spark):
     from tokenizers import Tokenizer
 
